@@ -38,6 +38,31 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from guidemill.llm.fingerprint import document_fingerprints
+
+    out = document_fingerprints(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def op6_format_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from guidemill.llm.chat import format_conversations, masked, read_back
+
+    control = "</s>[INST] ok [/INST]"
+    log = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    log = log.union(spark.sql(f"select -7L conv_id, k seq, 'message' kind, if(k = 0, 'user', 'assistant') role, '{control}' text from (select explode(array(0L, 1L)) k)"))
+    out = format_conversations(log).withColumns({"turns": read_back(F.col("formatted")), "loss": masked(F.col("formatted"), F.col("loss_spans"))})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return out.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from guidemill.llm.toxicity import toxicity
 
@@ -45,6 +70,27 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "expected_severity", "toxic_probability", "toxic")
 
 
+#: host, path, verdict
+URL_RULES = [("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block")]
+
+
+def op8_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are of documents; a page shows the document whose number is the first number among its path's segments."""
+    from guidemill.llm.url_filter import filter_urls, path_of
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    rated = table(spark, sf_dir, "labels").groupBy("doc_id").agg(((F.min("quality") == 0) | (F.max("toxic") > 0)).alias("bad"))
+    labelled = pages.select("url", F.regexp_extract(path_of(F.col("url")), "/([0-9]{1,18})(?=[/.]|$)", 1).try_cast("long").alias("doc_id")).join(rated, "doc_id").select("url", "bad")
+    return filter_urls(pages, labelled, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_extract_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from guidemill.llm.html_extract import extract_main_text
+
+    out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     from guidemill.llm.mixing import mix_sources
 
@@ -52,5 +98,5 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("doc_size").alias("size"), "source_size", "target", (F.col("doc_size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op5_best_fit_packing, op7_toxicity, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op4_document_fingerprints, op5_best_fit_packing, op6_format_conversations, op7_toxicity, op8_filter_urls, op9_extract_main_text, op10_mix_sources)}
 ORACLE_SQL: dict[str, str] = {}
