@@ -85,7 +85,8 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), most: f
     gap = F.abs(F.col("wanted") - F.col("reached") - F.col("size"))
     extra = chosen.where(~in_rank & (F.col("size") > 0) & F.col("bin").isNotNull() & (gap < F.col("wanted") - F.col("reached")))
     extra = extra.groupBy("source").agg(F.min(F.struct(gap.alias("gap"), "q", "id", "h")).alias("extra")).select("source", F.struct("extra.q", "extra.id", "extra.h").alias("extra"))
-    plan = plan.alias("t").join(extra.alias("x"), F.col("t.source").eqNullSafe(F.col("x.source")), "left").select("t.*", "extra")
+    # a row for each source, written, so that Spark knows its size and, if it is small, joins it without moving the documents
+    plan = written(plan.alias("t").join(extra.alias("x"), F.col("t.source").eqNullSafe(F.col("x.source")), "left").select("t.*", "extra"), "plan")
 
     out = rows.alias("s").join(plan.alias("t"), F.col("s.source").eqNullSafe(F.col("t.source"))).withColumn("b", F.floor(F.col("u") * bins)).withColumn("q", q)
     taken = F.when(in_rank | key.eqNullSafe(F.col("extra")), 1).otherwise(0)
