@@ -24,6 +24,12 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op2_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from guidemill.llm.embed_dedup import embedding_near_duplicates
+
+    return embedding_near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from guidemill.llm.quality import quality_classifier
 
@@ -98,5 +104,5 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("doc_size").alias("size"), "source_size", "target", (F.col("doc_size") * F.col("copies")).alias("taken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_quality_classifier, op4_document_fingerprints, op5_best_fit_packing, op6_format_conversations, op7_toxicity, op8_filter_urls, op9_extract_main_text, op10_mix_sources)}
+QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_embedding_near_duplicates, op3_quality_classifier, op4_document_fingerprints, op5_best_fit_packing, op6_format_conversations, op7_toxicity, op8_filter_urls, op9_extract_main_text, op10_mix_sources)}
 ORACLE_SQL: dict[str, str] = {}
