@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 
 def _common(a: str, b: str) -> int:
@@ -77,7 +78,7 @@ def blend(a: str, b: str, weights: tuple[float, float, float, float] = (0.35, 0.
 
 
 def _vector(f):
-    @pandas_udf("double")
+    @pandas_udf(DoubleType())
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([None if x is None or y is None else f(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 #: Titles that say nothing: fixed values.
 EMPTY_TITLES = [
@@ -23,7 +24,7 @@ EMPTY_TITLES = [
 EMPTY_TITLE = r"^(no|not)\s+((programme|program|event|epg|schedule)\s+)?(information\s*)?(available|unavailable)?$"
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def plain(text: pd.Series) -> pd.Series:
     """Compatibility decomposition without combining marks."""
 
@@ -35,13 +36,13 @@ def plain(text: pd.Series) -> pd.Series:
     return text.map(one)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def compat(text: pd.Series) -> pd.Series:
     """Compatibility composition (NFKC)."""
     return text.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def repair_encoding(text: pd.Series) -> pd.Series:
     """UTF-8 that was read as a one-byte encoding, read again, at most twice and only if that leaves fewer signs of it."""
     marks = "ÃÂâðï�"

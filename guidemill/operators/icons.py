@@ -7,13 +7,14 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from guidemill.functions.text import icon_key
 
 EXTENSIONS = ["png", "jpg", "jpeg", "webp", "gif", "svg"]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def joined_url(base: pd.Series, url: pd.Series) -> pd.Series:
     return pd.Series([x if not b or x is None else urljoin(b, x) for b, x in zip(base, url, strict=True)], dtype="object")
 

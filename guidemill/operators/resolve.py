@@ -99,7 +99,7 @@ def rule_match(channels: DataFrame, rules: DataFrame, candidates: DataFrame, key
     Regions are the equi-key of the join; the patterns are tested on what that leaves. A rule that no known id follows doesn't decide."""
     r = rules.withColumnRenamed("region", "rule_region")
     q = in_regions(channels)
-    fits = F.col(key).rlike(F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")$"))) & (F.col("category_pattern").isNull() | F.col("category_name").rlike(F.col("category_pattern")))
+    fits = F.rlike(F.col(key), F.concat(F.lit("^(?:"), F.col("pattern"), F.lit(")$"))) & (F.col("category_pattern").isNull() | F.rlike(F.col("category_name"), F.col("category_pattern")))
     met = q.join(r, (F.col("region") == F.col("rule_region")) & fits).select("stream_id", "region_pos", "pos", F.posexplode("epg_ids").alias("id_pos", "wanted"))
     known = candidates.groupBy(F.lower("epg_id").alias("folded")).agg(F.min(F.struct("source_priority", "epg_id", "feed", "family")).alias("c"))
     best = met.join(known, F.lower("wanted") == F.col("folded")).groupBy("stream_id").agg(F.min(F.struct("region_pos", "pos", "id_pos", "c")).alias("x"))
@@ -187,7 +187,7 @@ def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, alia
     c = with_keys(candidates, "display_name")
     blank = dummies.where(F.lower("name") == "blank").select(F.col("epg_id").alias("blank_id"))
     heading = q.where(decorative_heading(F.col("channel_name"))).crossJoin(blank).select("stream_id", F.lit("heading_placeholder").alias("method"), F.lit(100.0).alias("score"), F.col("blank_id").alias("epg_id"), F.lit("DUMMY_CHANNELS").alias("feed"), F.lit("AUTO_DUMMY").alias("action"))
-    met = q.join(special.join(dummies.select(F.lower("name").alias("dn"), F.col("epg_id").alias("dummy_id")), F.lower("dummy_name") == F.col("dn"), "left"), F.col("strict").rlike(F.col("pattern")))
+    met = q.join(special.join(dummies.select(F.lower("name").alias("dn"), F.col("epg_id").alias("dummy_id")), F.lower("dummy_name") == F.col("dn"), "left"), F.rlike(F.col("strict"), F.col("pattern")))
     safety = met.groupBy("stream_id").agg(F.min(F.struct("pos", "dummy_name", "dummy_id")).alias("x"))
     safety = safety.select("stream_id", F.lit("safety_rule").alias("method"), F.lit(100.0).alias("score"), F.col("x.dummy_id").alias("epg_id"), F.when(F.col("x.dummy_name").isNotNull(), "DUMMY_CHANNELS").alias("feed"), F.when(F.col("x.dummy_name").isNotNull(), "AUTO_DUMMY").otherwise("UNMATCHED").alias("action"))
     usable = panel.where("status = 'USABLE'").select(F.lower("epg_id").alias("pid")).distinct()
