@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -30,3 +32,14 @@ def ship(spark: SparkSession) -> None:
         f.write(out.getvalue())
     sc.addPyFile(path)
     _shipped.add(sc.applicationId)
+
+
+def shipped(f: Callable) -> Callable:
+    """f, whose first argument is the session, with the package sent before."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, *args):
+        ship(spark)
+        return f(spark, *args)
+
+    return run
