@@ -12,18 +12,22 @@ from guidemill.llm.packing import best_fit_packing
 from guidemill.llm.quality import quality_classifier
 from guidemill.llm.queries import table, tokenizer_path
 from guidemill.llm.toxicity import toxicity
+from guidemill.sources.session import shipped
 
 
+@shipped
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier keeps. Its model is fitted on the rated rows of this stage's documents."""
     return quality_classifier(docs, table(spark, sf_dir, "labels")).where("keep").select(docs.columns)
 
 
+@shipped
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't toxic."""
     return toxicity(docs, table(spark, sf_dir, "labels")).where("not toxic").select(docs.columns)
 
 
+@shipped
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the smallest doc_id; of rows with that id, the first by text, lang and source.
 
@@ -36,12 +40,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return named.select(docs.columns).union(docs.where("doc_id is null"))
 
 
+@shipped
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     mixed = mix_sources(docs)
     return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
 
 
+@shipped
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens."""
     out = best_fit_packing(docs, tokenizer_path(), capacity=2048, end_id=0, keep_ids=False)
