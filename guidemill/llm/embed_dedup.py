@@ -23,6 +23,7 @@ from guidemill.llm.common import components, written
 
 SAMPLE = 16_384  # rows that the codebooks and the stop are fitted on, at most
 CODEWORDS_MOST = 64  # of each half
+TRIALS = 4_096  # neighbours that the stop is measured on, at least
 BLOCK = 1_024  # vectors of a cell in one block
 
 
@@ -49,6 +50,7 @@ class Index:
         k = max(1, min(codewords, len(np.unique(sample, axis=0))))
         self.half, self.one, self.two = half, _codebook(sample[:, :half], k), _codebook(sample[:, half:], k)
         chance = np.random.default_rng(7)
+        sample = np.tile(sample, (-(-TRIALS // len(sample)), 1))
         away = chance.standard_normal(sample.shape)
         away -= (away * sample).sum(1)[:, None] * sample
         away /= np.maximum(np.linalg.norm(away, axis=1), 1e-30)[:, None]

@@ -23,6 +23,10 @@ _RAW = {"script", "style", "textarea", "title", "xmp", "iframe", "noembed", "nof
 _NEVER = _RAW | {"head", "nav", "header", "footer", "aside", "form", "noscript", "template", "svg", "math", "canvas", "object", "audio", "video", "select", "button", "menu", "dialog", "input", "label", "fieldset", "map", "applet"}
 #: Elements that have no end.
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
+#: Elements that end an open paragraph.
+_ENDS_P = {"address", "article", "aside", "blockquote", "center", "details", "dialog", "dir", "div", "dl", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul"}
+#: Elements that end an open one of the first names, unless one of the second is nearer.
+_PEERS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
 #: Elements inside a line.
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 #: Words in class, id or role that mark what isn't the article.
@@ -95,14 +99,15 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
             end_line()
             while stack and stack[-1][0] in _INLINE:  # an inline element that was never closed ends with its line
                 leave(len(stack) - 1)
-        if tag in ("li", "p", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
-            leave(len(stack) - 1)
+            if stack and stack[-1][0] == "p" and tag in _ENDS_P:
+                leave(len(stack) - 1)
+        if tag in _PEERS:
+            peers, scope = _PEERS[tag]
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in peers or stack[k][0] in scope), None)
+            if k is not None and stack[k][0] in peers:
+                leave(k)
         if tag in _VOID or attributes.rstrip().endswith("/") and tag not in _RAW:
             continue
-        if tag == "p" and any(x == "p" for x, _ in stack):
-            k = max(k for k, (x, _) in enumerate(stack) if x == "p")
-            if not any(x in ("div", "section", "article", "td", "li", "blockquote", "aside", "main") for x, _ in stack[k:]):
-                leave(k)
         if tag in _RAW:
             close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = close.end() if close else len(page)
