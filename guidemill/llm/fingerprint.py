@@ -15,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guidemill.llm.common import written
-
 
 def _leaves(text: Column, block: int) -> Column:
     """Hashes of the blocks in order, as 16 hexadecimal digits, a point behind those that end a paragraph; of a paragraph's last block the text has its line feed, if there is one."""
@@ -50,21 +48,24 @@ def likeness(one: Column, other: Column) -> Column:
     return F.when(F.split_part(one, F.lit(":"), F.lit(1)) == F.split_part(other, F.lit(":"), F.lit(1)), 1.0).otherwise(F.coalesce(share, F.lit(0.0)))
 
 
-def _with_next(keys: DataFrame) -> DataFrame:
-    """keys (id, h, n) with the key that follows in descending order of id (null last), the first after the last: next_id, next_h.
+def _ranges(rows: DataFrame, count: int) -> tuple[Column, dict[str, list[int]]]:
+    """A column with the number of the row's range, in descending order of id (null: the last), and for each key (id and hash) that begins a range the
+    ranges whose last row it follows; the first key follows the last range. At most count + 1 ranges."""
+    shares = [k / count for k in range(1, count)]
+    bounds = rows.agg(F.percentile_approx("id", shares, 100 * count).alias("b")).first()["b"] if shares else []
+    bounds = sorted(set(bounds or []))
+    found = F.size(F.filter(F.array(*[F.lit(b) for b in bounds]).cast("array<bigint>"), lambda b: b >= F.col("id")))
+    number = F.when(F.col("id").isNull(), len(bounds) + 1).otherwise(found)
+    order = F.struct((-F.col("id")).alias("m"), "h")
+    firsts = rows.groupBy(number.alias("part")).agg(F.min(F.struct(order.alias("o"), _key().alias("k")))["k"].alias("k")).orderBy("part").collect()  # a row for each range
+    after: dict[str, list[int]] = {}
+    for k, (part, _) in enumerate(firsts):
+        after.setdefault(firsts[(k + 1) % len(firsts)][1], []).append(part)
+    return number, after
+
 
-    The order is found without one task for all: keys are dealt by ranges, each range is ordered by itself, and the first key of the following
-    range, one row for each range, follows a range's last."""
-    order = [F.col("id").desc_nulls_last(), F.col("h")]
-    dealt = written(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "keys")
-    key = F.struct("id", "h")
-    firsts = dealt.groupBy("part").agg(F.min(F.struct(F.col("id").isNull().alias("z"), (-F.col("id")).alias("m"), "h", key.alias("key")))["key"].alias("first"))
-    over = Window.orderBy("part")  # one row for each range
-    every = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    firsts = firsts.select("part", F.coalesce(F.lead("first").over(over), F.first("first").over(every)).alias("following"))
-    inside = Window.partitionBy("part").orderBy(*order)
-    follows = dealt.withColumn("next", F.lead(key).over(inside)).join(F.broadcast(firsts), "part")
-    return follows.select("id", "h", "n", F.coalesce("next", "following").alias("next")).select("id", "h", "n", F.col("next.id").alias("next_id"), F.col("next.h").alias("next_h"))
+def _key() -> Column:
+    return F.concat_ws("|", F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("h").cast("string"))
 
 
 def document_fingerprints(docs: DataFrame, edited_share: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -74,21 +75,21 @@ def document_fingerprints(docs: DataFrame, edited_share: int = 3, id_col: str =
     the next lower id, after the last one the first. near_edited and near_next are the likeness of the row's fingerprint to that of its edited
     text and of the next document, 0 to 1.
 
-    Null text counts as empty and has the fingerprint of an empty text. Rows without an id come after all others. Rows with equal ids are in
-    order of a hash of their texts; equal rows count as one document in the order and each have its result. A single document follows itself. An
-    empty table gives an empty one. Other columns are not read."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("h", F.xxhash64("text")).withColumn("n", F.length("text").cast("long"))
-    keys = written(_with_next(rows.groupBy("id", "h").agg(F.first("n").alias("n"))), "next")
-    # each document's beginning, as long as the one before it wants, goes to that one
-    before = keys.select(F.col("next_id").alias("id"), F.col("next_h").alias("h"), F.col("id").alias("for_id"), F.col("h").alias("for_h"), F.floor(F.col("n") / edited_share).cast("int").alias("wanted"))
-    r, b = rows.alias("r"), before.alias("b")
-    same = lambda x, y: F.col(f"{x}.id").eqNullSafe(F.col(f"{y}.id")) & (F.col(f"{x}.h") == F.col(f"{y}.h"))
-    heads = r.join(b, same("r", "b")).select(F.col("for_id").alias("id"), F.col("for_h").alias("h"), F.left("text", F.col("wanted")).alias("head"), fingerprint(F.col("text")).alias("next_fingerprint"))
-    heads = heads.groupBy("id", "h").agg(F.first("head").alias("head"), F.first("next_fingerprint").alias("next_fingerprint"))
-    k = F.floor(F.col("n") / edited_share).cast("int")
-    edited = F.concat(F.left("text", F.col("n").cast("int") - k), "head")
-    both = r.join(heads.alias("x"), same("r", "x")).select(F.col("r.id").alias("doc_id"), F.col("n").alias("n_chars"), "text", edited.alias("edited_text"), "next_fingerprint")
-    both = both.withColumns({"fingerprint": fingerprint(F.col("text")), "edited_fingerprint": fingerprint(F.col("edited_text"))})
+    Null text counts as empty and has the fingerprint of an empty text. Rows without an id come after all others. Rows with equal ids follow each other in
+    order of a hash of their texts; equal rows follow each other too. A single row follows itself. An empty table gives an empty one. Other
+    columns are not read.
+
+    Texts move once: rows are dealt by ranges of id, as many as there are shuffle partitions, and each range also gets the row that follows its last."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    part, after = _ranges(rows.select("id", "h"), max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    follows = F.create_map(*[x for k, parts in after.items() for x in (F.lit(k), F.array(*[F.lit(p) for p in parts]))]) if after else F.lit(None).cast("map<string,array<int>>")
+    places = F.concat(F.array(F.struct(part.cast("int").alias("part"), F.lit(0).alias("guest"))), F.transform(F.coalesce(F.try_element_at(follows, _key()), F.array().cast("array<int>")), lambda p: F.struct(p.alias("part"), F.lit(1).alias("guest"))))
+    dealt = rows.select("id", "h", "text", F.explode(places).alias("at")).select("id", "h", "text", "at.part", "at.guest").repartition("part")
+    dealt = dealt.withColumns({"n": F.length("text"), "fingerprint": fingerprint(F.col("text"))})
+    inside = Window.partitionBy("part").orderBy("guest", F.col("id").desc_nulls_last(), "h")
+    both = dealt.withColumns({"next_text": F.lead("text").over(inside), "next_fingerprint": F.lead("fingerprint").over(inside)}).where("guest = 0")
+    cut = F.floor(F.col("n") / edited_share).cast("int")
+    edited = F.concat(F.left("text", F.col("n") - cut), F.left("next_text", cut))
+    both = both.select(F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_chars"), "text", edited.alias("edited_text"), "fingerprint", "next_fingerprint").withColumn("edited_fingerprint", fingerprint(F.col("edited_text")))
     own, changed, following = F.col("fingerprint"), F.col("edited_fingerprint"), F.col("next_fingerprint")
     return both.select("doc_id", "n_chars", "text", "edited_text", own, changed, likeness(own, changed).alias("near_edited"), likeness(own, following).alias("near_next"))
