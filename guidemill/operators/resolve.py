@@ -221,3 +221,54 @@ def numbered_banks(channels: DataFrame, category: str, base: Column, slot: Colum
     """(category, base) with at least `least` different slot numbers."""
     rows = channels.select(F.col(category).alias("category"), base.alias("base"), slot.alias("slot")).where("slot is not null")
     return rows.groupBy("category", "base").agg(F.countDistinct("slot").alias("slots"), F.count("*").alias("channels"), F.min("slot").alias("first_slot"), F.max("slot").alias("last_slot")).where(F.col("slots") >= least)
+
+
+def route_plan(channels: DataFrame, markets: DataFrame) -> DataFrame:
+    """channels with regions: those of the strongest market that the channel's name speaks of, unless the category's is strictly stronger; then ALL.
+
+    markets: pos, field (name or category), pattern, regions in order, strength. Among equally strong ones of a field the first in pos counts."""
+    rows = channels.select("stream_id", F.lower("channel_name").alias("name"), F.lower("category_name").alias("category"))
+    said = F.when(F.col("field") == "category", F.col("category")).otherwise(F.col("name"))
+    met = rows.join(markets, F.rlike(said, F.col("pattern")))
+    best = met.groupBy("stream_id", "field").agg(F.max(F.struct("strength", (-F.col("pos")).alias("p"), "regions")).alias("x"))
+    best = best.groupBy("stream_id").agg(F.max(F.struct("x.strength", (F.col("field") != "category").alias("own"), "x.regions")).alias("b"))
+    out = channels.drop("regions").join(best.select("stream_id", F.col("b.regions").alias("regions")), "stream_id", "left")
+    return out.withColumn("regions", F.array_distinct(F.concat(F.coalesce("regions", F.array().cast("array<string>")), F.array(F.lit("ALL")))))
+
+
+def callsigns(name: Column) -> Column:
+    """North American call signs in a name as written: K or W and two or three capitals, with an optional -TV, -DT, -CD or -LD and subchannel."""
+    return F.array_distinct(F.regexp_extract_all(name, F.lit(r"(?<![A-Za-z0-9])([KW][A-Z]{2,3})(?:-(?:TV|DT|CD|LD)\d*)?(?![A-Za-z0-9])"), F.lit(1)))
+
+
+def callsign_match(channels: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Stage of call signs: candidates that have all call signs of a channel's name; they must be one family."""
+    q = channels.select("stream_id", callsigns(F.col("channel_name")).alias("signs")).where(F.size("signs") > 0)
+    c = candidates.select("epg_id", "feed", "family", "source_priority", "words", F.explode(callsigns(F.col("display_name"))).alias("sign"))
+    met = q.select("stream_id", F.size("signs").alias("wanted"), F.explode("signs").alias("sign")).alias("q").join(c.alias("c"), "sign")
+    rows = met.select("q.stream_id", "q.wanted", "sign", "c.family", preference().alias("pref")).groupBy("stream_id", "wanted", "family", "pref").agg(F.countDistinct("sign").alias("n")).where("n = wanted")
+    return unique_family(rows.withColumns({"method": F.lit("verified_station_identity"), "score": F.lit(99.0)}), ["stream_id", "method", "score"])
+
+
+def extension_match(channels: DataFrame, candidates: DataFrame, region_words: list[str], most: int = 2) -> DataFrame:
+    """Stage of catalogue names that say more: all words of the channel are in the candidate's name, which has at most `most` others, all region words."""
+    rare = lambda w: F.element_at(F.array_sort(F.transform(w, lambda x: F.struct((-F.length(x)).alias("l"), x.alias("w")))), 1)["w"]
+    q = in_regions(channels).where(F.size("words") > 0).withColumn("block", rare(F.col("words")))
+    c = candidates.select("*", F.explode(F.array_distinct("words")).alias("block"))
+    extra = F.array_except("c.words", "q.words")
+    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("q.words", "c.words")) == 0) & F.size(extra).between(1, most) & (F.size(F.array_except(extra, F.array(*[F.lit(x) for x in region_words]))) == 0))
+    return unique_family(met.select("q.stream_id", F.lit("regional_catalog_extension").alias("method"), F.lit(97.0).alias("score"), "c.family", preference().alias("pref")), ["stream_id", "method", "score"])
+
+
+def multiset_difference(a: Column, b: Column) -> Column:
+    """The words of a that b lacks, as often as it lacks them."""
+    counted = lambda w: F.transform(w, lambda x, k: F.concat(x, F.lit("\x00"), F.size(F.filter(F.slice(w, 1, k + 1), lambda y: y == x))))
+    return F.transform(F.array_except(counted(a), counted(b)), lambda x: F.split_part(x, F.lit("\x00"), F.lit(1)))
+
+
+def review_report(resolved: DataFrame, quality: DataFrame) -> DataFrame:
+    """resolved with the quality of its panel id: NO_PANEL_ID without one, NOT_CHECKED if the id wasn't looked at."""
+    q = quality.select(F.lower("epg_id").alias("pid"), F.col("status").alias("panel_status"), "live_rows", "latest_stop")
+    out = resolved.join(q, F.lower(F.trim("panel_epg_id")) == F.col("pid"), "left").drop("pid")
+    blank = F.trim(F.coalesce("panel_epg_id", F.lit(""))) == ""
+    return out.withColumns({"panel_status": F.when(blank, "NO_PANEL_ID").otherwise(F.coalesce("panel_status", F.lit("NOT_CHECKED"))), "live_rows": F.coalesce("live_rows", F.lit(0))})

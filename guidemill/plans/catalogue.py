@@ -323,6 +323,35 @@ def q42_near_exact_join(spark, sf_dir):
     return resolve.near_exact_match(channels, c, 40.0).select("stream_id", "method", F.round("score", 6).alias("score"), "epg_id", "family")
 
 
+MARKETS = [(0, "category", "auto|mach", ["US", "CA"], 3), (1, "name", "[02468]$", ["IN"], 3), (2, "name", "7$", ["UK"], 4), (3, "category", "build", ["DE"], 1), (4, "name", "11", ["FR"], 1)]
+
+
+def q43_route_plan(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("stream_id"), F.col("c_name").alias("channel_name"), F.col("c_mktsegment").alias("category_name"))
+    markets = spark.createDataFrame(MARKETS, "pos int, field string, pattern string, regions array<string>, strength int")
+    return resolve.route_plan(c, markets).select("stream_id", F.array_join("regions", "|").alias("regions"))
+
+
+def q44_callsign_join(spark, sf_dir):
+    letters = lambda k: F.concat(F.char(65 + k % 5), F.char(65 + F.floor(k / 5) % 4), F.char(65 + F.floor(k / 20) % 3))
+    k = F.col("c_custkey")
+    channels = table(spark, sf_dir, "customer").select(k.alias("stream_id"), F.concat(F.lit("News "), F.when(k % 2 == 0, "W").otherwise("K"), letters(k), F.when(k % 3 == 0, "-DT2").otherwise("")).alias("channel_name"))
+    s = F.col("s_suppkey")
+    c = table(spark, sf_dir, "supplier").select(F.concat(F.lit("id"), s).alias("epg_id"), F.lit("F1").alias("feed"), F.concat(F.lit("f"), s % 70).alias("family"), (s % 4).alias("source_priority"), F.concat(F.when(s % 2 == 0, "W").otherwise("K"), letters(s), F.lit(" TV")).alias("display_name"))
+    return resolve.callsign_match(channels, resolve.with_keys(c, "display_name")).select("stream_id", "score", "epg_id", "family")
+
+
+def q45_extension_join(spark, sf_dir):
+    channels, c = _sides(spark, sf_dir)
+    longer = resolve.with_keys(c.select("epg_id", "feed", "region", "family", "source_priority", F.concat_ws(" ", "p_name", F.lower("family")).alias("name")), "name")
+    return resolve.extension_match(channels, longer, ["economy", "small", "large"]).select("stream_id", "score", "epg_id", "family")
+
+
+def q46_multiset_difference(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.split(F.concat_ws(" ", "p_name", F.lower("p_type"), "p_name"), " ").alias("a"), F.split(F.concat_ws(" ", F.lower("p_type"), F.lit("ring"), "p_name"), " ").alias("b"))
+    return p.select("p_partkey", F.array_join(F.array_sort(resolve.multiset_difference(F.col("a"), F.col("b"))), " ").alias("rest"))
+
+
 QUERIES = {k: f for k, f in dict(globals()).items() if k[0] == "q" and k[1:3].isdigit()}
 
 CANON = f"""{PREP}, {WIN}, met as (select feed, epg_id, count(*) programme_rows, count(*) filter (stop > {NOW}) future_rows, max(stop) latest_stop,
@@ -419,4 +448,15 @@ ORACLE_SQL = {
       select channel_id, x.ef feed, x.epg_id epg_id, case when x.ef = f.ef and x.epg_id = f.epg_id then f.et else x.et end entry_type, case when x.ef = f.ef and x.epg_id = f.epg_id then f.pr else x.pr end priority, display_names from b""",
     "q39_safe_mapping": f"""with {RAW} select stream_id, "action", epg_id, epg_feed, row_idx from (select *, row_number() over (partition by stream_id order by row_idx desc) k from raw where "action" in ('AUTO_DUMMY', 'AUTO_EPGSHARE', 'KEEP_PANEL', 'MANUAL', 'APPROVED')) where k = 1""",
     "q40_guide_validation": f"""with {PREP}, {WIN}, c as (select epg_id, count(*) n from prep where epg_id <> 'u3' group by all) select cast((select sum(n) from c) as bigint) channels, (select count(*) from c where n > 1) repeated_channels, 0::bigint blank_channels, (select count(*) from win w anti join c on c.epg_id = w.epg_id) undeclared_programmes, (select count(*) from win) programmes, 0::bigint blank_titles""",
+    "q43_route_plan": """with m as (select c_custkey, case when regexp_matches(lower(c_mktsegment), 'auto|mach') then 3 when regexp_matches(lower(c_mktsegment), 'build') then 1 else 0 end cs, case when regexp_matches(lower(c_mktsegment), 'auto|mach') then 'US|CA|' when regexp_matches(lower(c_mktsegment), 'build') then 'DE|' else '' end cr,
+      case when regexp_matches(c_name, '7$') then 4 when regexp_matches(c_name, '[02468]$') then 3 when regexp_matches(c_name, '11') then 1 else 0 end ns, case when regexp_matches(c_name, '7$') then 'UK|' when regexp_matches(c_name, '[02468]$') then 'IN|' when regexp_matches(c_name, '11') then 'FR|' else '' end nr from customer)
+      select c_custkey stream_id, (case when cs > ns then cr else nr end) || 'ALL' regions from m""",
+    "q44_callsign_join": """with q as (select c_custkey stream_id, (case when c_custkey % 2 = 0 then 'W' else 'K' end) || chr(cast(65 + c_custkey % 5 as int)) || chr(cast(65 + (c_custkey // 5) % 4 as int)) || chr(cast(65 + (c_custkey // 20) % 3 as int)) sign from customer),
+      c as (select 'id' || s_suppkey epg_id, 'f' || (s_suppkey % 70) family, s_suppkey % 4 pr, (case when s_suppkey % 2 = 0 then 'W' else 'K' end) || chr(cast(65 + s_suppkey % 5 as int)) || chr(cast(65 + (s_suppkey // 5) % 4 as int)) || chr(cast(65 + (s_suppkey // 20) % 3 as int)) sign from supplier)
+      select stream_id, 99.0::double score, epg_id, family from (select *, row_number() over (partition by stream_id order by pr, length(epg_id), epg_id) k, count(distinct family) over (partition by stream_id rows between unbounded preceding and unbounded following) f from q join c using (sign)) where k = 1 and f = 1""",
+    "q45_extension_join": f"""with {SIDES}, w as (select *, string_split(nm || ' ' || lower(family), ' ') w2 from c), m as (select stream_id, w.*, list_filter(list_distinct(w2), lambda x: not list_contains(string_split(q.nm, ' '), x)) e from q join w using (region) where list_has_all(w2, string_split(q.nm, ' '))),
+      t as (select *, row_number() over (partition by stream_id order by pr, len(w2), length(epg_id), lower(epg_id)) k, count(distinct family) over (partition by stream_id rows between unbounded preceding and unbounded following) f from m where len(e) between 1 and 2 and list_has_all(['economy', 'small', 'large'], e))
+      select stream_id, 97.0::double score, epg_id, family from t where k = 1 and f = 1""",
+    "q46_multiset_difference": """with p as (select p_partkey, unnest(string_split(p_name || ' ' || lower(p_type) || ' ' || p_name, ' ')) w, 1 n from part union all select p_partkey, unnest(string_split(lower(p_type) || ' ring ' || p_name, ' ')), -1 from part),
+      d as (select p_partkey, w, sum(n) n from p group by all having sum(n) > 0), r as (select p_partkey, w, unnest(generate_series(1, cast(n as bigint))) from d) select k.p_partkey, coalesce((select string_agg(w, ' ' order by w) from r where r.p_partkey = k.p_partkey), '') rest from part k""",
 }
