@@ -31,14 +31,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_path = path
+    system, where = _file_system(spark, path)
+    system.deleteOnExit(where)  # what isn't removed before goes with the application
     return out
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def remove(df: DataFrame) -> None:
     """Delete what written() made, once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.written_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    system, where = _file_system(df.sparkSession, df.written_path)
+    system.delete(where, True)
 
 
 # ---------------------------------------------------------------- word kernel
@@ -68,7 +74,7 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
-def utf8_slices(column, budget: int = 2 << 20):
+def utf8_slices(column, budget: int = 1 << 20):
     """(first row, bytes, offsets of rows) for runs of rows of an Arrow string column, each of about `budget` bytes or one row.
 
     Null counts as empty."""
