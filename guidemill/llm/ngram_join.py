@@ -4,7 +4,7 @@
 2. A sketch of bounded size orders shingles from rare to frequent. A set's prefix is its n - ceil(t*n) + 1 rarest shingles: two sets whose
    Jaccard similarity reaches t share a shingle of their prefixes.
 3. Nodes with the same prefix and size are one group; inverted lists hold groups. Sizes and places in the order filter group pairs.
-4. Group pairs are expanded to their members and each pair is verified on the whole sets.
+4. Group pairs are expanded to their members; pairs whose prefixes share enough are verified on the whole sets.
 
 Only components are asked for, so pairs that are already connected need no check. The first round checks every list's members against one of
 them; the second round takes each pair of a list whose two sides are still apart. No link between different components can be lost.
@@ -21,7 +21,7 @@ from guidemill.llm.common import combined, components, remove, shingle_sets, wri
 
 SKETCH_BITS = 18  # the order's sketch has 2**18 cells of one byte, whatever the input
 LOCAL_LEAST = 4  # a task reports shingles that it saw in so many of its documents
-FILTER_BITS = 23  # the candidates' bitmap: 1 MB, whatever the input
+FILTER_BITS = 24  # the candidates' bitmap: 2 MB at most, whatever the input
 
 
 def _local_counts(width: int):
@@ -32,7 +32,7 @@ def _local_counts(width: int):
         def fold(whole, held):
             values, counts = np.unique(np.concatenate([whole[0], *held]), return_inverse=True)
             total = np.bincount(counts, weights=np.concatenate([whole[1], np.ones(len(counts) - len(whole[1]))]), minlength=len(values)).astype(np.int64)
-            if len(values) > 4_000_000:  # bounded memory: once-seen shingles are the ones forgotten
+            if len(values) > 1_500_000:  # bounded memory: once-seen shingles are the ones forgotten
                 keep = total > 1
                 return values[keep], total[keep]
             return values, total
@@ -41,7 +41,7 @@ def _local_counts(width: int):
             for found in shingle_sets(batch.column(0), width):
                 held.append(found)
                 size += len(found)
-                if size > 2_000_000:
+                if size > 500_000:
                     whole, held, size = fold(whole, held), [], 0
         if held:
             whole = fold(whole, held)
@@ -97,37 +97,85 @@ def _signatures(width: int, percent: int, sketch: bytes):
 
 
 def _sets(width: int, bitmap: bytes):
+    """The sets of rows whose id may be needed; a task gives each set once."""
+
     def run(batches):
-        bits = np.frombuffer(bitmap, np.uint8)
+        bits, mask, seen = np.frombuffer(bitmap, np.uint8), np.uint64(8 * len(bitmap) - 1), set()
         for batch in batches:
             ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64).view(np.uint64)
-            at = (combined(ids, 1) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+            at = (combined(ids, 1) & mask).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
             rows = np.flatnonzero(bits[at >> 3] >> (at & 7) & 1)
-            if len(rows):
-                found = list(shingle_sets(batch.column(1).take(pa.array(rows)), width))
-                yield pa.RecordBatch.from_arrays([pa.array([set_id(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())], ["node", "shingles"])
+            found = [(set_id(x), x.tobytes()) for x in shingle_sets(batch.column(1).take(pa.array(rows, pa.int64())), width)]
+            found = [x for x in dict(found).items() if x[0] not in seen]
+            seen.update(k for k, _ in found)
+            for k in range(0, len(found), 1000):
+                some = found[k : k + 1000]
+                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in some], pa.int64()), pa.array([x for _, x in some], pa.binary())], ["node", "shingles"])
 
     return run
 
 
-def _bits(batches):
-    for batch in batches:
-        ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        at = np.unique((combined(ids, 1) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)) if len(ids) else np.zeros(0, np.int64)
-        word, inverse = np.unique(at >> 5, return_inverse=True)
-        value = np.zeros(len(word), np.int64)
-        np.bitwise_or.at(value, inverse, np.int64(1) << (at & 31))
-        yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], ["word", "bits"])
+def _bits(size: int):
+    def run(batches):
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            at = np.unique((combined(ids, 1) & np.uint64((1 << size) - 1)).astype(np.int64)) if len(ids) else np.zeros(0, np.int64)
+            word, inverse = np.unique(at >> 5, return_inverse=True)
+            value = np.zeros(len(word), np.int64)
+            np.bitwise_or.at(value, inverse, np.int64(1) << (at & 31))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(value)], ["word", "bits"])
+
+    return run
 
 
 def _bitmap(ids: DataFrame) -> bytes:
-    """A bitmap of 2**FILTER_BITS bits that has every id's bit; others may be set too."""
-    out = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    for word, bits in ids.mapInArrow(_bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits")).collect():  # at most 2**(FILTER_BITS - 5) rows
+    """A bitmap that has every id's bit, about 16 bits for an id, at most 2**FILTER_BITS; others may be set too."""
+    size = min(FILTER_BITS, max(10, (16 * ids.count()).bit_length()))
+    out = np.zeros(1 << (size - 5), np.uint32)
+    for word, bits in ids.mapInArrow(_bits(size), "word long, bits long").groupBy("word").agg(F.bit_or("bits")).collect():  # at most 2**(FILTER_BITS - 5) rows
         out[word] = bits
     return out.tobytes()
 
 
+def _prefixes(bitmap: bytes):
+    """node, n and prefix of rows whose id may be needed; a task gives each node once."""
+
+    def run(batches):
+        bits, mask, seen = np.frombuffer(bitmap, np.uint8), np.uint64(8 * len(bitmap) - 1), set()
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            at = (combined(ids, 1) & mask).astype(np.int64) if len(ids) else np.zeros(0, np.int64)
+            nodes = batch.column(1).to_pylist()
+            rows = []
+            for k in np.flatnonzero(bits[at >> 3] >> (at & 7) & 1).tolist():
+                if nodes[k] not in seen:
+                    seen.add(nodes[k])
+                    rows.append(k)
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(k).take(pa.array(rows)) for k in (1, 2, 3)], ["node", "n", "prefix"])
+
+    return run
+
+
+def _shared_enough(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes share enough for the similarity.
+
+    Up to the end of the prefix that ends first in the order, all that two sets share is in both prefixes; beyond it, no more than what that set has
+    there. So the overlap is at most what the prefixes share and the longer rest."""
+    rows = marked.where("n > 0 and doc_id is not null").select("doc_id", "node", "n", "prefix")
+    ends = written(rows.mapInArrow(_prefixes(_bitmap(_documents(pairs, nodes))), "node long, n long, prefix array<long>"), "prefixes")
+    both = pairs.join(ends.toDF("v", "nv", "pv"), "v").join(ends.toDF("u", "nu", "pu"), "u")
+    most = F.size(F.array_intersect("pu", "pv")) + F.greatest(F.col("nu") - F.size("pu"), F.col("nv") - F.size("pv"))
+    out = written(both.where(most * (100 + percent) >= percent * (F.col("nu") + F.col("nv"))).select("u", "v").distinct(), "close")
+    remove(ends)
+    return out
+
+
+def _documents(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The documents that stand for the nodes of pairs."""
+    return pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes.select("node", "doc_id"), "node").select("doc_id")
+
+
 def _verified(percent: int):
     def run(batches):
         for batch in batches:
@@ -147,16 +195,16 @@ def _verified(percent: int):
     return run
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+def _verify(pairs: DataFrame, texts: DataFrame, marked: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) of nodes whose whole sets link. Sets are made again from the texts, only of documents that stand for a node in a pair."""
     pairs = written(pairs, "pairs")
-    needed = written(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes.select("node", "doc_id"), "node"), "needed")
-    sets = texts.mapInArrow(_sets(width, _bitmap(needed.select("doc_id"))), "node long, shingles binary")
-    sets = written(sets.join(needed.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
-    both = pairs.join(sets.toDF("v", "sv"), "v").join(sets.toDF("u", "su"), "u").select("u", "v", "su", "sv")
+    close = _shared_enough(pairs, marked, nodes, percent)
+    remove(pairs)
+    sets = written(texts.mapInArrow(_sets(width, _bitmap(_documents(close, nodes))), "node long, shingles binary"), "sets")
+    both = close.join(sets.toDF("v", "sv"), "v").join(sets.toDF("u", "su"), "u").select("u", "v", "su", "sv")
     out = written(both.mapInArrow(_verified(percent), "u long, v long"), "links")
-    for x in (pairs, needed, sets):
-        remove(x)
+    remove(close)
+    remove(sets)
     return out
 
 
@@ -184,18 +232,19 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     # groups: the same prefix and size; a group is named by its member with the smallest document
     groups = nodes.groupBy("n", "pname").agg(F.min(F.struct("doc_id", "node")).alias("g"), F.sum("copies").alias("copies"), F.count("*").alias("members"))
     groups = written(groups.select("n", "pname", F.col("g.node").alias("g"), F.col("g.doc_id").alias("doc_id"), "copies", "members"), "groups")
-    lists = marked.join(groups, ["n", "pname", "doc_id"]).dropDuplicates(["g"]).select("g", "n", "copies", F.posexplode("prefix").alias("pos", "tok"))
-    lists = written(lists.withColumn("pos", F.col("pos").cast("long")), "lists")
-    shared = lists.groupBy("tok").agg(F.count("*").alias("k"), F.min(F.struct((-F.col("copies")).alias("c"), "pos", "g", "n")).alias("p")).where("k > 1").drop("k")
-    shared = written(lists.join(shared.hint("shuffle_hash"), "tok").select("tok", "g", "n", "pos", "p"), "shared")
+    lists = marked.join(groups, ["n", "pname", "doc_id"]).dropDuplicates(["g"]).select("g", "n", F.posexplode("prefix").alias("pos", "tok"))
+    lists = written(lists.select("tok", "g", (F.shiftleft("n", 32) + F.col("pos")).alias("np")), "lists")  # n and pos in one number: half the bytes to move
+    shared = lists.groupBy("tok").agg(F.count("*").alias("k")).where("k > 1").select("tok")
+    shared = written(lists.join(shared.hint("shuffle_hash"), "tok", "left_semi").select("tok", "g", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND((1 << 32) - 1).alias("pos")), "met")
     remove(lists)
+    pivots = shared.join(groups.select("g", "copies"), "g").groupBy("tok").agg(F.min(F.struct((-F.col("copies")).alias("c"), "pos", "g", "n")).alias("p"))
 
     members = nodes.join(groups.where("members > 1").select("n", "pname", "g"), ["n", "pname"]).select("g", "node", "n")
-    first = shared.where("g <> p.g").select(F.struct("n", "pos").alias("a"), F.col("p").alias("b"), "g").where(_may_link(percent, "a", "b")).select(F.col("b.g").alias("u"), F.col("g").alias("v"))
+    first = shared.join(pivots, "tok").where("g <> p.g").select(F.struct("n", "pos").alias("a"), F.col("p").alias("b"), "g").where(_may_link(percent, "a", "b")).select(F.col("b.g").alias("u"), F.col("g").alias("v"))
     first = first.union(members.where("node <> g").select("g", "node"))
     pairs = first.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     pairs = written(pairs, "first")
-    links = _verify(pairs, named, nodes, width, percent)
+    links = _verify(pairs, named, marked, nodes, width, percent)
     comp = written(components(links), "comp")
 
     # second round, on members: lists whose members are still in more than one component
@@ -207,18 +256,20 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     a, b = wide.alias("a"), wide.alias("b")
     second = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _may_link(percent, "a", "b"))
     second = second.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
-    more = _verify(second, named, nodes, width, percent)
+    more = _verify(second, named, marked, nodes, width, percent)
     final = components(links.union(more))
-    out = _result(marked, nodes, final)
+    slim = written(marked.select("doc_id", "node", "n"), "slim")
+    remove(marked)
+    out = _result(slim, nodes, final)
     for x in (shared, pairs, comp, wide):
         remove(x)
     return out
 
 
-def _result(marked: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
+def _result(slim: DataFrame, nodes: DataFrame, comp: DataFrame) -> DataFrame:
     named = nodes.join(comp, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = named.join(least, "component").select("node", "component_id")
-    rows = marked.select("doc_id", "node", F.col("n").alias("n_shingles"))
+    rows = slim.select("doc_id", "node", F.col("n").alias("n_shingles"))
     linked = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
     return rows.join(by_node, "node", "left").select("doc_id", "n_shingles", F.when(linked, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
