@@ -59,7 +59,10 @@ class Index:
         a, b = self.sides(sample)
         rows = np.arange(len(sample))
         beyond = a[rows, cells // k] + b[rows, cells % k] - a.min(1) - b.min(1)
-        self.stop = float(np.quantile(beyond, recall))
+        own = self.cells(sample)
+        a, b = self.sides(near)
+        back = a[rows, own // k] + b[rows, own % k] - a.min(1) - b.min(1)
+        self.stop = float(np.quantile(np.minimum(beyond, back), recall))  # a pair is met if the traversal of either side meets it
 
     def sides(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return _distances(x[:, : self.half], self.one), _distances(x[:, self.half :], self.two)
