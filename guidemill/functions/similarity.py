@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
 import pandas as pd
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -71,6 +74,63 @@ def weighted_ratio(a: str, b: str) -> float:
     return max(ratio(a, b), part * partial_ratio(a, b), 0.95 * part * partial_token_ratio(a, b))
 
 
+def _most(queries: list[str], choices: list[str]) -> np.ndarray:
+    """What no weighted ratio of a query and a choice exceeds, from lengths and counts of characters.
+
+    Two strings have no longer common subsequence than they share characters, m. So their ratio is at most 200 m / (sum of lengths), and that of the
+    shorter one, of length n, with a window of the other at most 200 m / (n + m). The token ratios are of the same characters unless a word is shared
+    or repeated or white space isn't single: there the bound is 100."""
+    place: dict[str, int] = {}
+    for x in (*queries, *choices):
+        for c in x:
+            place.setdefault(c, len(place))
+
+    def counted(strings: list[str]) -> np.ndarray:
+        out = np.zeros((len(strings), len(place)), np.int32)
+        for k, x in enumerate(strings):
+            for c in x:
+                out[k, place[c]] += 1
+        return out
+
+    a, b = counted(queries), counted(choices)
+    m = np.zeros((len(queries), len(choices)))
+    for c in range(len(place)):
+        m += np.minimum(a[:, c, None], b[None, :, c])
+    n, o = a.sum(1)[:, None], b.sum(1)[None, :]
+    short, long = np.maximum(np.minimum(n, o), 1), np.maximum(n, o)
+    part = np.where(long < 1.5 * short, 0.0, np.where(long <= 8 * short, 0.9, 0.6))
+    most = np.maximum(200 * m / np.maximum(n + o, 1), part * 200 * m / (short + m))
+    odd = lambda x: len(set(x.split())) < len(x.split()) or " ".join(x.split()) != x
+    most[[odd(x) for x in queries], :] = 100.0
+    most[:, [odd(x) for x in choices]] = 100.0
+    having: dict[str, list[int]] = {}
+    for k, x in enumerate(choices):
+        for w in set(x.split()):
+            having.setdefault(w, []).append(k)
+    for k, x in enumerate(queries):
+        for w in set(x.split()):
+            most[k, having.get(w, [])] = 100.0
+    return most
+
+
+def best_choices(queries: list[str], choices: list[str], limit: int, cutoff: float) -> list[list[tuple[str, float]]]:
+    """For each query the `limit` distinct choices of the highest weighted ratio, at least cutoff; of equal ones the first in order.
+
+    Choices are scored from the highest bound down, until none that is left can reach the cutoff or a place."""
+    out, slack = [], 1e-6
+    for q, most in zip(queries, _most(queries, choices), strict=True):
+        found, top = [], []
+        for k in np.argsort(-most, kind="stable"):
+            if most[k] < cutoff - slack or len(top) == limit and most[k] < top[0] - slack:
+                break
+            score = weighted_ratio(q, choices[k])
+            if score >= cutoff:
+                found.append((-score, choices[k]))
+                (heapq.heappush if len(top) < limit else heapq.heappushpop)(top, score)
+        out.append([(c, -s) for s, c in sorted(found)[:limit]])
+    return out
+
+
 def blend(a: str, b: str, weights: tuple[float, float, float, float] = (0.35, 0.30, 0.20, 0.15)) -> float:
     """Weighted blend of the weighted, token-set, token-sort and compact ratios."""
     parts = weighted_ratio(a, b), token_set_ratio(a, b), token_sort_ratio(a, b), ratio(a.replace(" ", ""), b.replace(" ", ""))

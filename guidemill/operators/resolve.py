@@ -6,10 +6,11 @@ score, epg_id, feed, family, action, reason); first_stage() keeps the first stag
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guidemill.functions.similarity import blend_of, ratio_of, weighted_ratio_of
+from guidemill.functions.similarity import best_choices, blend_of, ratio_of
 from guidemill.functions.text import acronym, bag_key, compact_key, split_camel, strict_key, tokens
 
 #: Words that say how, not what, is shown: fixed values.
@@ -132,28 +133,46 @@ def near_exact_match(channels: DataFrame, candidates: DataFrame, least_ratio: fl
     return unique_family(best.select("stream_id", "method", "score", "family", "pref"), ["stream_id", "method", "score"])
 
 
-def fuzzy_candidates(channels: DataFrame, candidates: DataFrame, limit: int = 30, cutoff: float = 58.0, block: bool = True, key: str = "descriptor_relaxed") -> DataFrame:
-    """The `limit` best candidate keys of each channel by weighted ratio, at least cutoff: stream_id, candidate_key, rough.
+def _blocks(keys: DataFrame, name: str, size: int) -> DataFrame:
+    """The keys of each region in blocks of about `size`: region, <name>_part, <name> as an array."""
+    parts = keys.groupBy("region").agg(F.ceil(F.count("*") / size).cast("long").alias("parts"))
+    return keys.join(parts, "region").groupBy("region", F.pmod(F.xxhash64(name), "parts").alias(f"{name}_part")).agg(F.collect_list(name).alias(name))
 
-    block: only keys of the region that share a word are compared; without it all keys of the region are, which is for small catalogues."""
-    q = in_regions(channels).select("stream_id", "region", F.col(key).alias("q"), F.split(F.col(key), " ").alias("w")).where("q <> ''")
-    c = candidates.select("region", F.col(key).alias("c"), F.split(F.col(key), " ").alias("w")).where("c <> ''").dropDuplicates(["region", "c"])
-    if block:
-        words = lambda df, name: df.select("*", F.explode(F.array_distinct("w")).alias("word")).drop("w")
-        pairs = words(q, "q").join(words(c, "c"), ["region", "word"]).select("stream_id", "q", "c").distinct()
-    else:
-        pairs = q.drop("w").join(c.drop("w"), "region").select("stream_id", "q", "c").distinct()
-    rough = pairs.withColumn("rough", weighted_ratio_of("q", "c")).where(F.col("rough") >= cutoff)
-    best = Window.partitionBy("stream_id").orderBy(F.desc("rough"), "c")
-    return rough.withColumn("place", F.row_number().over(best)).where(F.col("place") <= limit).select("stream_id", "q", F.col("c").alias("candidate_key"), "rough", "place")
+
+def _best_of_blocks(limit: int, cutoff: float):
+    def run(batches):
+        for batch in batches:
+            for region, queries, choices in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                rows = [(q, c, s) for q, best in zip(queries, best_choices(queries, choices, limit, cutoff), strict=True) for c, s in best]
+                if rows:
+                    q, c, s = zip(*rows, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([region] * len(rows), pa.string()), pa.array(q, pa.string()), pa.array(c, pa.string()), pa.array(s, pa.float64())], ["region", "q", "c", "rough"])
+
+    return run
+
+
+def fuzzy_candidates(channels: DataFrame, candidates: DataFrame, limit: int = 30, cutoff: float = 58.0, key: str = "descriptor_relaxed") -> DataFrame:
+    """For each channel and region of its plan the `limit` best of all candidate keys of that region by weighted ratio, at least cutoff.
+
+    Returns stream_id, region, q, candidate_key, rough, place. Each distinct key of a region meets the region's candidate keys in blocks; a pair is
+    scored unless its lengths and characters show that it can't reach the cutoff or a place, so none that counts is missed."""
+    q = in_regions(channels).select("stream_id", "region", F.col(key).alias("q")).where("q <> ''").distinct()
+    c = candidates.select("region", F.col(key).alias("c")).where("c <> ''").distinct()
+    met = _blocks(q.select("region", "q").distinct(), "q", 128).join(_blocks(c, "c", 512), "region")
+    parts = max(1, int(channels.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = met.repartition(parts, "region", "q_part", "c_part").select("region", "q", "c")
+    rough = met.mapInArrow(_best_of_blocks(limit, cutoff), "region string, q string, c string, rough double")
+    best = Window.partitionBy("region", "q").orderBy(F.desc("rough"), "c")
+    top = rough.withColumn("place", F.row_number().over(best)).where(F.col("place") <= limit)
+    return q.join(top, ["region", "q"]).select("stream_id", "region", "q", F.col("c").alias("candidate_key"), "rough", "place")
 
 
 def fuzzy_match(channels: DataFrame, candidates: DataFrame, least: float = 80.0, key: str = "descriptor_relaxed", **options) -> DataFrame:
     """Stage of similarity, for review only: the best family by blend, its margin over the second best family."""
     top = fuzzy_candidates(channels, candidates, key=key, **options).withColumn("score", blend_of("q", "candidate_key"))
     q = in_regions(channels)
-    met = top.alias("t").join(q.alias("q"), "stream_id").join(candidates.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("t.candidate_key") == F.col(f"c.{key}")) & compatible("q", "c"))
-    rows = met.select("stream_id", "t.score", "c.family", preference().alias("pref"))
+    met = top.alias("t").join(q.alias("q"), (F.col("t.stream_id") == F.col("q.stream_id")) & (F.col("t.region") == F.col("q.region"))).join(candidates.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("t.candidate_key") == F.col(f"c.{key}")) & compatible("q", "c"))
+    rows = met.select("t.stream_id", "t.score", "c.family", preference().alias("pref"))
     by_family = rows.groupBy("stream_id", "family").agg(F.max(F.struct("score")).alias("s"), F.min("pref").alias("pref")).withColumn("score", F.col("s.score"))
     order = Window.partitionBy("stream_id").orderBy(F.desc("score"), "family")
     ranked = by_family.withColumn("k", F.row_number().over(order)).withColumn("second", F.lead("score").over(order)).where((F.col("k") == 1) & (F.col("score") >= least))

@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -198,6 +199,24 @@ def test_resolution_waterfall(spark):
     assert got["10"].action in ("REVIEW", "UNMATCHED") and got["6"].method == "near_exact_orthography"
 
 
+def test_fuzzy_candidates_are_all_pairs(spark):
+    chance = random.Random(4)
+    words = ["red", "blue", "bolt", "rod", "eurosport", "eurosprt", "sports", "sport", "movies", "tv5", "é", "a", "news", "newsroom"]
+    name = lambda: " ".join(chance.choice(words) for _ in range(chance.choice([1, 1, 2, 2, 3, 7])))
+    q = [("red bolt", ["A", "B"]), ("eurosprt", ["A"]), *((name(), [chance.choice("AB")]) for _ in range(150))]
+    c = [("A", "blue rod"), ("B", "blue rod"), ("A", "eurosport"), *((chance.choice("AB"), name()) for _ in range(300))]
+    channels = spark.createDataFrame([(k, n, r) for k, (n, r) in enumerate(q)], "stream_id int, name string, regions array<string>")
+    got = resolve.fuzzy_candidates(channels, spark.createDataFrame(c, "region string, name string"), limit=9, key="name").collect()
+    want = set()
+    for k, (n, regions) in enumerate(q):
+        for region in regions:
+            scores = sorted((-similarity.weighted_ratio(n, x), x) for x in {x for r, x in c if r == region})
+            want |= {(k, region, x, -s, place) for place, (s, x) in enumerate([y for y in scores if -y[0] >= 58][:9], 1)}
+    assert {(r.stream_id, r.region, r.candidate_key, r.rough, r.place) for r in got} == want and len(got) == len(want)
+    some = spark.createDataFrame([("A", "blue rod"), ("B", "eurosport")], "region string, name string")
+    assert [(r.region, r.candidate_key) for r in resolve.fuzzy_candidates(channels.limit(1), some, key="name").collect()] == [("A", "blue rod")]
+
+
 def test_equivalence(spark):
     rows = [(i, NOW + 3600 * k + shift, NOW + 3600 * (k + 1), f"show {k if i != 'C' else k + 50}") for i, shift in (("A", 0), ("B", 290), ("C", 0)) for k in range(10)]
     p = spark.createDataFrame(rows, "epg_id string, start long, stop long, title string")
