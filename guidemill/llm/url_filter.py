@@ -1,7 +1,7 @@
 """URL filters by association rules, in DataFrame functions and Spark's own FP-growth only.
 
-A labelled url is a transaction of tokens (top-level domain, registered name, host, first path segment, query keys, file ending, scheme) and its
-label. FP-growth mines the frequent sets; rules tokens -> label stay if their support and confidence are high enough. A rule is indexed by its
+A labelled url is a transaction of tokens (top-level domain, registered name, host, first path segment, segments below it, all query keys, file
+ending, scheme) and its label. FP-growth mines the frequent sets; rules tokens -> label stay if their support and confidence are high enough. A rule is indexed by its
 rarest token: a set of tokens is compared with the rules of its own tokens only. Urls with the same tokens are judged once.
 
 Rules that people write (host, path, verdict) come first: the longest one that fits decides.
@@ -42,7 +42,9 @@ def tokens_of(url: Column) -> Column:
     keys = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.concat(F.lit("key:"), F.split_part(x, F.lit("="), F.lit(1))))
     ending = F.regexp_extract(path, r"\.([A-Za-z0-9]{1,5})$", 1)
     one = lambda name, x: F.when(x != "", F.concat(F.lit(f"{name}:"), x))
-    first = F.when(F.size(segments) > 0, F.concat(F.lit("at:"), F.regexp_replace(F.element_at(segments, 1), "[0-9]+", "0")))
+    folded = F.transform(segments, lambda x: F.regexp_replace(x, "[0-9]+", "0"))
+    first = F.when(F.size(folded) > 0, F.concat(F.lit("at:"), F.element_at(folded, 1)))
+    deeper = F.transform(F.slice(folded, 2, F.greatest(F.size(folded) - 1, F.lit(0))), lambda x: F.concat(F.lit("in:"), x))
     parts = F.array(
         F.when(size > 0, one("top", tail(1))),
         F.when(size > 1, one("name", tail(2))),
@@ -52,14 +54,15 @@ def tokens_of(url: Column) -> Column:
         one("ending", ending),
         one("scheme", F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://", 1)),
     )
-    return F.array_sort(F.array_distinct(F.filter(F.concat(parts, F.slice(keys, 1, 3)), lambda x: x.isNotNull())))
+    return F.array_sort(F.array_distinct(F.filter(F.concat(parts, deeper, keys), lambda x: x.isNotNull())))
 
 
 def mine_rules(labelled: DataFrame, support: float = 0.005, confidence: float = 0.6, url_col: str = "url", bad_col: str = "bad") -> DataFrame:
     """Rules (tokens, key, verdict, confidence, support) that labelled urls (url, bad) support; key: the rarest token of a rule.
 
     Rows with a null label or without tokens don't count. A rule that a shorter one of its tokens implies with no less confidence and the same verdict
-    goes. Without labelled urls there are no rules. There are at most 2**10 / support frequent sets."""
+    goes. Without labelled urls there are no rules.
+    Only support bounds the frequent sets: of n tokens that many urls have together there are 2**n."""
     rows = labelled.select(tokens_of(F.col(url_col)).alias("tokens"), F.col(bad_col).cast("boolean").alias("bad")).where("bad is not null and size(tokens) > 0")
     rows = written(rows.select(F.concat("tokens", F.array(F.when(F.col("bad"), BAD).otherwise(GOOD))).alias("items")), "labelled")
     schema = "tokens array<string>, key string, verdict string, confidence double, support double"

@@ -156,6 +156,15 @@ def test_mined_rules_are_brute_force(spark):
     assert want["https://b.spam.farm.net/ads/9"] == "block"
 
 
+def test_rules_on_late_keys_and_deep_segments(spark):
+    late = "https://a.org/x/shop?utm_a=1&utm_b=2&utm_c=3&{}=4"
+    rows = [(late.format("affid"), True), (late.format("id"), False), ("https://a.org/x/y/casino/3", True), ("https://a.org/x/y/news/3", False)] * 20
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    urls = ["https://b.net/z?q=1&p=2&o=3&n=4&affid=5", "https://b.net/z?affid=5&n=4&o=3&p=2&q=1", "https://b.net/q/r/s/casino/", "https://b.net/q/r/s/"]
+    got = {r.url: r.verdict for r in url_filter.filter_urls(spark.createDataFrame([(u,) for u in urls], "url string"), labelled, support=0.1, confidence=0.9).collect()}
+    assert [got[u] for u in urls] == ["block", "block", "block", "allow"]
+
+
 # ---------------------------------------------------------------- html
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p><p>no";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href="/a">A</a></li></ul></nav><div id="cookie-notice">We use cookies.</div>
