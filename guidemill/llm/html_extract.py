@@ -1,9 +1,10 @@
 """HTML extraction by line-block distribution.
 
-Markup is stripped into lines, one for each block of text in page order. A line's length counts unless it is in an element that never holds an
-article (menus, headers, footers, sidebars, notices, adverts, forms, comments), is mostly links outside the article, or, on pages that mark their
-article, is outside of it: such lines are blank. Lengths are summed over sliding windows of `window` lines. Text begins to surge where the sum leaves
-zero and dives where it comes back to it; of the stretches between, the one with most text is kept, with every line of it that counts.
+Markup is stripped into lines, one for each block of text in page order. Lines in elements that never hold an article (menus, headers, footers,
+sidebars, notices, adverts, forms, comments) are left out. On pages that mark their article, every other line of it is kept. On others, lines that are
+mostly links count as blank and lengths are summed over sliding windows of `window` lines. Text begins to surge where the sum leaves zero and dives
+where it comes back to it; of the stretches between, the one with most text is kept, with every line of it that counts. What is left out doesn't
+stand between the lines around it, so an aside or a form doesn't cut a text in two.
 """
 
 from __future__ import annotations
@@ -124,13 +125,11 @@ def lines(page: str) -> list[tuple[str, int, bool, bool]]:
 
 
 def main_text(page: str, window: int = 3) -> str:
-    """The text between the surge and the dive that enclose most of it; blocks are joined by one space."""
-    found = lines(page)
-    marked = any(article and not never for _, _, never, article in found)
-    lengths = []
-    for text, linked, never, article in found:
-        counts = not never and (article if marked else 2 * linked <= len(text))
-        lengths.append(len(text) if counts else 0)
+    """All lines of a marked article, or else the text between the surge and the dive that enclose most of it; blocks are joined by one space."""
+    found = [(text, linked, article) for text, linked, never, article in lines(page) if not never]
+    if any(article for _, _, article in found):
+        return " ".join(text for text, _, article in found if article)
+    lengths = [len(text) if 2 * linked <= len(text) else 0 for text, linked, _ in found]
     sums = [sum(lengths[max(0, k - window + 1) : k + 1]) for k in range(len(lengths))]
     best, most, start = (0, 0), 0, None
     for k, total in enumerate([*sums, 0]):

@@ -180,6 +180,13 @@ def test_article_is_kept_whole(wrap):
     assert html_extract.main_text(PAGE.replace("{body}", wrap.format(inner))) == want
 
 
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div id=content>{}</div>"])
+@pytest.mark.parametrize("midst", ["<aside><ul><li>x<li>y<li>z<li>w</ul></aside>", "<form><p>a<p>b<p>c<p>d</form>", '<div class="related"><p>1<p>2<p>3<p>4</div>'])
+def test_what_is_left_out_does_not_cut_an_article(wrap, midst):
+    inner = f"<p>A first part.</p>{midst}<p>A second part, which is the longer one.</p>{midst}<p>End.</p>"
+    assert html_extract.main_text(PAGE.replace("{body}", wrap.format(inner))) == "A first part. A second part, which is the longer one. End."
+
+
 def test_html_odd_pages(spark):
     assert html_extract.main_text("") == "" and html_extract.main_text("<html></html>") == ""
     assert html_extract.main_text("just text &amp; more") == "just text & more"
