@@ -197,11 +197,13 @@ def decorative_heading(name: Column) -> Column:
     return (F.coalesce(name, F.lit("")).rlike(r"^\s*([#=*_~|•▬★◉-])\1{1,}.*\1{2,}\s*$")) | ((F.length(name) > 0) & (signs * 2 > F.length(name)))
 
 
-def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, aliases: DataFrame, rules: DataFrame, special: DataFrame, panel: DataFrame, extras: list[str], covered: list[str] | None = None) -> DataFrame:
-    """The whole waterfall over channels (stream_id, channel_name, category_name, regions, panel_epg_id).
+def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, aliases: DataFrame, rules: DataFrame, special: DataFrame, panel: DataFrame, extras: list[str], covered: list[str] | None = None, region_words: list[str] = ()) -> DataFrame:
+    """The waterfall over channels (stream_id, channel_name, category_name, regions, panel_epg_id).
 
     special: pos, pattern, dummy_name (null: UNMATCHED) on the strict key; dummies: name, epg_id; panel: epg_id, status. covered: regions that have a
-    catalogue; a channel whose regions have none keeps a usable panel id or stays unmatched before any similarity is tried."""
+    catalogue; a channel whose regions have none keeps a usable panel id or stays unmatched before any similarity is tried. region_words: names of parts of India;
+    a catalogue name there may add one or two to a channel's brand and two region words. In the US a station's only call sign decides after the panel,
+    where neither the name nor the id speaks of a subchannel."""
     q = with_keys(channels, "channel_name")
     c = with_keys(candidates, "display_name")
     blank = dummies.where(F.lower("name") == "blank").select(F.col("epg_id").alias("blank_id"))
@@ -223,7 +225,16 @@ def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, alia
         decided = decided.union(x.select("stream_id"))
     left = q.join(decided.distinct(), "stream_id", "left_anti")
     review = fuzzy_match(left.join(kept, "stream_id", "left_anti"), c).withColumns({"action": F.lit("REVIEW"), "reason": F.lit("similar names are never matched without review")})
-    out = first_stage(channels, [*exact, containment_match(left, c, extras), near_exact_match(left, c), as_panel, review])
+    later = [containment_match(left, c, extras)]
+    if region_words:
+        core = lambda df: df.withColumn("words", F.filter("words", lambda x: ~x.isin(OPTIONAL)))
+        known = F.array(*[F.lit(x) for x in region_words])
+        local = core(left.where(F.array_contains("regions", "IN"))).where((F.size(F.array_intersect("words", known)) > 1) & (F.size(F.array_except("words", known)) > 0))
+        later.append(extension_match(local, core(c.where("region = 'IN'")), list(region_words), marks=True))
+    sub = F.col("channel_name").rlike(r"[KW][A-Z]{2,3}-(TV|DT|CD|LD)[-.]?\d")
+    stations = c.where((F.col("region") == "US") & F.col("epg_id").rlike(r"(?i)(?:^|[.(])[KW][A-Z]{2,3}-(TV|DT|LD|CD)(?=[.)]|$)") & ~F.col("epg_id").rlike(r"(?i)-(TV|DT|LD|CD)\.\d"))
+    signed = left.where(F.array_contains("regions", "US") & (F.size(callsigns(F.col("channel_name"))) == 1) & ~sub)
+    out = first_stage(channels, [*exact, *later, near_exact_match(left, c), as_panel, callsign_match(signed, stations), review])
     return out.withColumn("source", F.when(F.col("action") == "REVIEW", "epgshare_candidate").when(F.col("feed") == "DUMMY_CHANNELS", "dummy").when(F.col("action") == "KEEP_PANEL", "panel").when(F.col("epg_id").isNotNull(), "epgshare").otherwise(""))
 
 
@@ -269,13 +280,15 @@ def callsign_match(channels: DataFrame, candidates: DataFrame) -> DataFrame:
     return unique_family(rows.withColumns({"method": F.lit("verified_station_identity"), "score": F.lit(99.0)}), ["stream_id", "method", "score"])
 
 
-def extension_match(channels: DataFrame, candidates: DataFrame, region_words: list[str], most: int = 2) -> DataFrame:
-    """Stage of catalogue names that say more: all words of the channel are in the candidate's name, which has at most `most` others, all region words."""
+def extension_match(channels: DataFrame, candidates: DataFrame, region_words: list[str], most: int = 2, marks: bool = False) -> DataFrame:
+    """Stage of catalogue names that say more: all words of the channel are in the candidate's name, which has at most `most` others, all region words.
+
+    marks: the marks of both must agree, too."""
     rare = lambda w: F.element_at(F.array_sort(F.transform(w, lambda x: F.struct((-F.length(x)).alias("l"), x.alias("w")))), 1)["w"]
     q = in_regions(channels).where(F.size("words") > 0).withColumn("block", rare(F.col("words")))
     c = candidates.select("*", F.explode(F.array_distinct("words")).alias("block"))
     extra = F.array_except("c.words", "q.words")
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("q.words", "c.words")) == 0) & F.size(extra).between(1, most) & (F.size(F.array_except(extra, F.array(*[F.lit(x) for x in region_words]))) == 0))
+    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("q.words", "c.words")) == 0) & F.size(extra).between(1, most) & (F.size(F.array_except(extra, F.array(*[F.lit(x) for x in region_words]))) == 0) & (compatible("q", "c") if marks else F.lit(True)))
     return unique_family(met.select("q.stream_id", F.lit("regional_catalog_extension").alias("method"), F.lit(97.0).alias("score"), "c.family", preference().alias("pref")), ["stream_id", "method", "score"])
 
 

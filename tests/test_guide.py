@@ -199,6 +199,24 @@ def test_resolution_waterfall(spark):
     assert got["10"].action in ("REVIEW", "UNMATCHED") and got["6"].method == "near_exact_orthography"
 
 
+def test_waterfall_knows_call_signs_and_extensions(spark):
+    c = spark.createDataFrame(
+        [("KABC-DT.us", "US1", "US", "KABC Los Angeles", "kabc", 10), ("Kids.us", "US1", "US", "KIDS Planet", "kids", 10), ("Khabar.in", "IN1", "IN", "Khabar Bihar Jharkhand Himachal", "khabar", 10)],
+        "epg_id string, feed string, region string, display_name string, family string, source_priority int",
+    )
+    channels = spark.createDataFrame(
+        [("1", "Seven Eyewitness (KABC) Southland", "US", None), ("2", "KABC-DT2 Retro Reruns Forever", "US", None), ("3", "Zebra KIDS Unrelated Words", "US", None), ("4", "Khabar Bihar Jharkhand HD", "IN", None), ("5", "Khabar Bihar", "IN", None), ("6", "Seven Eyewitness (KABC) Southland", "US", "p")],
+        "stream_id string, channel_name string, region string, panel_epg_id string",
+    ).select("stream_id", "channel_name", F.lit("x").alias("category_name"), F.array("region").alias("regions"), "panel_epg_id")
+    none = lambda schema: spark.createDataFrame([], schema)
+    tables = none("name string, epg_id string"), none("alias string, regions array<string>, epg_ids array<string>"), none("pos int, region string, pattern string, category_pattern string, epg_ids array<string>"), none("pos int, pattern string, dummy_name string")
+    panel = spark.createDataFrame([("p", "USABLE")], "epg_id string, status string")
+    got = {r.stream_id: r for r in resolve.resolve(channels, c, *tables, panel, ["texas"], region_words=["bihar", "jharkhand", "himachal"]).collect()}
+    assert (got["1"].epg_id, got["1"].method, got["1"].action) == ("KABC-DT.us", "verified_station_identity", "AUTO_EPGSHARE")
+    assert (got["4"].epg_id, got["4"].method, got["4"].action) == ("Khabar.in", "regional_catalog_extension", "AUTO_EPGSHARE")
+    assert got["6"].action == "KEEP_PANEL" and all(got[k].action in ("REVIEW", "UNMATCHED") for k in "235")
+
+
 def test_fuzzy_candidates_are_all_pairs(spark):
     chance = random.Random(4)
     words = ["red", "blue", "bolt", "rod", "eurosport", "eurosprt", "sports", "sport", "movies", "tv5", "é", "a", "news", "newsroom"]
