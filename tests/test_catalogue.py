@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from guidemill.plans import catalogue
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -29,5 +30,13 @@ def test_query(spark, sf, name):
     assert got == sorted(plain([r[names.index(c)] for c in columns]) for r in found.fetchall())
 
 
+def test_rules_find_parts_of_any_number(spark, monkeypatch):
+    sf = "/root/testdata/sf0.01"
+    part = spark.read.parquet(f"{sf}/part.parquet").where("p_partkey > 1000").first()
+    wanted = f"{part.p_name}.{part.p_partkey}"
+    monkeypatch.setattr(catalogue, "RULES", [(0, "Brand#2", ".*", None, [wanted])])
+    assert {r.epg_id for r in catalogue.q23_rule_join(spark, sf).collect()} == {wanted}
+
+
 def test_entry_has_rows(spark):
     assert entry.entry(spark).count() > 0
