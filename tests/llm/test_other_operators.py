@@ -187,6 +187,48 @@ def test_what_is_left_out_does_not_cut_an_article(wrap, midst):
     assert html_extract.main_text(PAGE.replace("{body}", wrap.format(inner))) == "A first part. A second part, which is the longer one. End."
 
 
+@pytest.mark.parametrize("size", [1, 2, 5, 20])
+@pytest.mark.parametrize("midst", ["<aside><ul>{}</ul></aside>", '<div class="advert">{}</div>', "<form>{}</form>", '<div id="newsletter-signup">{}</div>', '<section class="related-articles"><ul>{}</ul></section>', '<article class="comment">{}</article>'])
+def test_blocks_of_any_size_in_the_midst_are_left_out_alone(midst, size):
+    blocks = midst.format("".join(f"<li>block {k} of what is not the article, and long enough" for k in range(size)))
+    inner = f"<p>A first part.</p>{blocks}<p>A second part, which is the longer one.</p>{blocks}<p>End.</p>"
+    for wrap in ("<article>{}</article>", "<main>{}</main>", "<div id=content>{}</div>", '<div itemprop="articleBody">{}</div>'):
+        assert html_extract.main_text(PAGE.replace("{body}", wrap.format(inner))) == "A first part. A second part, which is the longer one. End."
+
+
+def test_comments_teasers_and_nested_articles_are_not_the_article():
+    long = "<p>" + "a reader's or another article's many words " * 20 + "</p>"
+    real = "<article><h1>T</h1><p>The real text of this page.</p>{}<p>It ends.</p></article>"
+    want = "T The real text of this page. It ends."
+    assert html_extract.main_text(f'{real.format("")}<article class="comment">{long}</article><article id="reply-3">{long}</article>') == want
+    assert html_extract.main_text(real.format(f"<article>{long}</article>")) == want
+    assert html_extract.main_text("<main>" + "".join(f'<article class="teaser"><h2>{k}</h2><p>Read on</p></article>' for k in range(9)) + real.format("") + "</main>") == want
+    assert html_extract.main_text("<article><header>H</header><article><p>The inner one is the text.</p></article></article>") == "The inner one is the text."
+
+
+def test_names_that_only_hold_a_word_of_another_meaning_stay():
+    page = "".join(f'<p class="{x}">{x}.</p>' for x in ("notice-period", "form-of-life", "search-and-rescue", "skip-intro-x", "shareholder", "adhere", "navigation-history-of-ships"))
+    for wrap in ("<article>{}</article>", "<div>{}</div>"):
+        assert html_extract.main_text(wrap.format(page)) == "notice-period. form-of-life. search-and-rescue. skip-intro-x. shareholder. adhere. navigation-history-of-ships."
+    gone = "".join(f'<p class="{x}">{x}.</p>' for x in ("notice", "ad-slot-2", "siteHeader", "cookie_notice", "post share-buttons", "comments-list"))
+    assert html_extract.main_text(f"<article><p>a</p>{gone}</article>") == "a"
+    assert html_extract.main_text('<article><p>x <span class="ad">Buy</span>y <button>B</button>z <svg><text>t</text></svg>w</p><p hidden>h</p></article>') == "x y z w"
+
+
+@pytest.mark.parametrize("page", ["<div>{}</span>", "<i><div><b>{}</i>", '<p a="x>{}', '<a b=">" {}', "<x{}", "<!{}", "<{}>", "<li>{}", "<div>x{}", "<!--{}", "<td>{}</div>", "<p><ul>{}</p></ul>"])
+def test_broken_and_deep_pages_take_linear_time(page):
+    import time
+
+    def seconds(n):
+        before, after = page.split("{}")
+        began = time.process_time()
+        html_extract.main_text(before * n + after * n)
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(32_000) < 8 * max(seconds(8_000), 0.02)
+
+
 def test_html_odd_pages(spark):
     assert html_extract.main_text("") == "" and html_extract.main_text("<html></html>") == ""
     assert html_extract.main_text("just text &amp; more") == "just text & more"
