@@ -307,6 +307,11 @@ def _offsets(batches):
 
 
 # ---------------------------------------------------------------- all shards
+#: Islands that a task evolves one after the other, a tenth of a second each. Each task writes a file, and a file costs the executor several child
+#: processes, during which its memory may be counted twice; so tasks aren't made smaller.
+ISLANDS_A_TASK = 12
+
+
 def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", shard_size: int = 4096, islands: int = 2, epochs: int = 2, generations: int = 12, population: int = 4) -> DataFrame:
     """The rows of pieces with sequence_id and offset: gapless from 0 in every sequence, none above capacity.
 
@@ -320,7 +325,7 @@ def pack(pieces: DataFrame, capacity: int = 2048, length_col: str = "length", sh
     full = rows.where(F.col("n") == capacity).select("row", (-F.col("at") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     part = rows.where(F.col("n") < capacity)
     shards = max(1, -(-part.count() // shard_size))
-    tasks = min(shards * islands, 10_000)
+    tasks = min(-(-shards * islands // ISLANDS_A_TASK), 10_000)
     dealt = part.groupBy(F.pmod(F.xxhash64("at"), F.lit(shards)).alias("shard")).agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("m"), "at", "row"))).alias("items"))
     dealt = written(dealt, "shards")  # about shard_size rows in each
     people = dealt.select("shard", F.explode(F.array(*[F.lit(k) for k in range(islands)])).alias("island"), F.transform("items", lambda x: -x["m"]).alias("lengths"))
