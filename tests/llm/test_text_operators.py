@@ -291,12 +291,52 @@ def test_mixing(spark, sources):
 
 def test_mixing_repeated_rows_and_none(spark):
     df = spark.createDataFrame([(1, "a b", None, "s", None, 1, 2, 3)] * 5 + [(None, "c", None, None, None, 1, 2, 3)], SCHEMA)
-    assert mixing.mix_sources(df).count() == 6
+    got = mixing.mix_sources(df).collect()
+    assert len(got) == 6 and abs(sum(r.copies * r.doc_size for r in got) - got[0].source_size - 1) <= 2
+    # equal rows, with and without an id: as many as the target needs, within one document
+    same = [(1, "a b c", None, "s", None, 1, 2, 3)] * 600 + [(None, "a b c d", None, "t", None, 1, 2, 3)] * 500 + [(7, "x " * 40, None, "u", None, 1, 2, 3)] * 300
+    got = mixing.mix_sources(spark.createDataFrame(same, SCHEMA).repartition(3)).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.copies * r.doc_size
+        target[r.source] = r.target
+    assert len(got) == 1400 and all(abs(taken[s] - target[s]) <= {"s": 3, "t": 4, "u": 40}[s] for s in target)
     assert mixing.mix_sources(spark.createDataFrame([], SCHEMA)).collect() == []
     empty = mixing.mix_sources(spark.createDataFrame([(1, "", None, "s", None, 1, 2, 3), (2, None, None, "t", None, 1, 2, 3)], SCHEMA)).collect()
     assert [r.copies for r in empty] == [0, 0]
 
 
+@pytest.mark.parametrize("power", [0.0, 0.5, 1.0])
+def test_pareto_sampling_takes_documents_by_their_odds(spark, power):
+    """Shares of taken documents by size over many seeds are near size ** power, and near 1 for the certain ones."""
+    sizes = [2, 8, 32, 128]
+    docs = [(k, " ".join(["w"] * sizes[k % 4]), "x", "ab"[k % 8 == 7], None, 1, 2, 3) for k in range(640)]
+    df = spark.createDataFrame(docs, SCHEMA).coalesce(2).cache()
+    hits, of = defaultdict(int), defaultdict(int)
+    for seed in range(4):
+        for r in mixing.mix_sources(df, weights=(1, 3), power=power, seed=seed).collect():
+            if r.source == "a":
+                hits[r.doc_size] += r.copies
+                of[r.doc_size] += 1
+                ratio = r.target / r.source_size
+    share = {n: hits[n] / of[n] for n in sizes}
+    assert 0 < ratio < 1
+    words = {n: of[n] * n for n in sizes}
+    assert abs(sum(share[n] * words[n] for n in sizes) / sum(words.values()) - ratio) < 0.02
+    step = {n: 2 ** (int(16 * np.log2(n)) / 16 * power) for n in sizes}
+    scale = ratio * sum(words.values())
+    certain = []
+    while True:  # brute force of the inclusion probabilities
+        rest = [n for n in sizes if n not in certain]
+        c = (scale - sum(words[n] for n in certain)) / sum(words[n] * step[n] for n in rest)
+        over = [n for n in rest if c * step[n] > 1]
+        if not over:
+            break
+        certain += over
+    for n in sizes:
+        assert abs(share[n] - (1 if n in certain else c * step[n])) < 0.12
+
+
 def test_sha_of_edited_text_is_utf8(spark):
     r = fingerprint.document_fingerprints(spark.createDataFrame(rows(["éàüöß🙂"]), SCHEMA)).select("edited_text", F.sha2("edited_text", 256).alias("s")).first()
     assert r.s == hashlib.sha256("éàüöéà".encode()).hexdigest() and r.edited_text == "éàüöéà"
