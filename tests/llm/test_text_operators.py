@@ -146,6 +146,41 @@ def test_scores_do_not_depend_on_the_neighbours(spark, texts):
 
 
 # ---------------------------------------------------------------- fingerprints
+def leaf(block):
+    import xxhash
+
+    return f"{xxhash.xxh64_intdigest(block.encode(), 42):016X}"
+
+
+def digest(text, n):
+    return hashlib.sha256(text.encode()).hexdigest()[:n]
+
+
+def written_again(text):
+    """The tree from the text: blocks of eight words, paragraphs, sections, root, each node from its children's."""
+    paragraphs = []
+    for line in re.findall(r"[^\n]*\n|[^\n]+", text):
+        words = re.findall(r"[^ \n]*[ \n]|[^ \n]+", line)
+        paragraphs.append(" ".join(leaf("".join(words[k : k + 8])) for k in range(0, len(words), 8)))
+    sections, held = [], []
+    for p in paragraphs:
+        node = digest(p, 24)
+        held.append((node, p))
+        if node[0] in "048c":
+            sections.append(held)
+            held = []
+    sections += [held] if held else []
+    written = [digest("".join(f"{n}," for n, _ in s), 24) + ":" + "".join(f"{n}={p}," for n, p in s) for s in sections]
+    return "/".join([digest(",".join(x[:24] for x in written), 32), *written])
+
+
+def shared_leaves(one, other):
+    if one[:32] == other[:32]:
+        return 1.0
+    a, b = (set(re.findall(r"(?<=[= ])[0-9A-F]{16}(?=[ ,])", x)) for x in (one, other))
+    return 2 * len(a & b) / (len(a) + len(b)) if a or b else 0.0
+
+
 def test_fingerprints(spark, texts):
     ids = list(range(len(texts)))
     ids[4] = None
@@ -160,10 +195,13 @@ def test_fingerprints(spark, texts):
         assert (r.n_chars, r.edited_text) == (len(t), t[: len(t) - cut] + following[:cut])
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         assert (r.near_edited == 1) == (r.edited_text == t)
+        assert r.near_next == shared_leaves(r.fingerprint, written_again(following))
     by_text, by_print = defaultdict(set), defaultdict(set)
     for r in got:
         by_text[r.text].add(r.fingerprint)
-        by_print[r.fingerprint.split(":")[0]].add(r.text)
+        by_print[r.fingerprint[:32]].add(r.text)
+        assert r.fingerprint == written_again(r.text) and r.edited_fingerprint == written_again(r.edited_text)
+        assert r.near_edited == shared_leaves(r.fingerprint, r.edited_fingerprint)
     assert all(len(x) == 1 for x in by_text.values()) and all(len(x) == 1 for x in by_print.values())
 
 
@@ -175,12 +213,43 @@ def test_fingerprints_repeated_rows_one_row_and_none(spark):
     assert fingerprint.document_fingerprints(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
-def test_tree_locates_an_edit(spark):
-    lines = [f"line {k} has some words of its own, number {k * 7} and {k * 13}" for k in range(40)]
-    other = [*lines[:20], "an inserted line", *lines[20:]]
-    a, b = (r[0] for r in spark.createDataFrame([(0, "\n".join(lines)), (1, "\n".join(other))], "k int, t string").orderBy("k").select(fingerprint.fingerprint(F.col("t"))).collect())
-    one, two = a.split(":"), b.split(":")
-    assert one[0] != two[0] and len(set(one[1:]) - set(two[1:])) <= 2
+def test_fingerprints_of_many_rows_with_one_id_or_none(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_CHARS", 200)
+    table = [(5, f"five {k}") for k in range(60)] + [(None, f"none {k}") for k in range(60)] + [(k, f"own {k}") for k in range(10, 70)]
+    docs = spark.createDataFrame(rows([t for _, t in table], [i for i, _ in table]), SCHEMA).repartition(3)
+    got = fingerprint.document_fingerprints(docs).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in table)
+    following = {}  # each row's next text fits what it was given
+    hashed = dict(docs.select("text", F.xxhash64("text")).collect())
+    order = sorted(table, key=lambda x: (x[0] is None, -(x[0] or 0), hashed[x[1]]))
+    for k, (i, t) in enumerate(order):
+        following[i, t] = order[(k + 1) % len(order)][1]
+    for r in got:
+        cut = len(r.text) // 3
+        assert r.edited_text == r.text[: len(r.text) - cut] + following[r.doc_id, r.text][:cut]
+
+
+def test_trees_locate_an_edit(spark):
+    lines = [f"line {k} has some words of its own, number {k * 7} and {k * 13} which is enough for three blocks of eight words{k}" for k in range(40)]
+    changed = [*lines[:20], lines[20].replace("three blocks", "four blocks"), *lines[21:]]
+    added = [*lines[:20], "an inserted line", *lines[20:]]
+    table = spark.createDataFrame([("\n".join(lines), "\n".join(x)) for x in (lines, changed, added)] + [("", "a"), ("a", "")], "a string, b string")
+    pair = table.select("a", "b", fingerprint.fingerprint(F.col("a")).alias("f"), fingerprint.fingerprint(F.col("b")).alias("g"))
+    got = pair.select("f", "g", fingerprint.locate(F.col("f"), F.col("g")).alias("here"), fingerprint.locate(F.col("g"), F.col("f")).alias("there")).collect()
+
+    def paragraphs(tree):
+        return [[p.split("=")[1].split(" ") for p in s.split(":")[1].split(",") if p] for s in tree.split("/")[1:]]
+
+    assert got[0].here == got[0].there == []
+    for r, where in ((got[1], "here"), (got[1], "there"), (got[2], "there")):
+        one, other = (r.f, r.g) if where == "here" else (r.g, r.f)
+        assert len(r[where]) == 1
+        s, p, k = r[where][0]
+        known = {x for section in paragraphs(other) for para in section for x in para}
+        assert paragraphs(one)[s][p][k] not in known
+        assert [x for section in paragraphs(one) for para in section for x in para if x not in known] == [paragraphs(one)[s][p][k]]
+    assert [tuple(x) for x in got[3].there] == [(0, 0, 0)] and [tuple(x) for x in got[3].here] == [(None, None, None)]
+    assert all(x.block is None for x in got[2].here)  # nothing is lacking there
 
 
 # ---------------------------------------------------------------- packing
