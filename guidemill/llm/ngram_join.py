@@ -7,11 +7,13 @@
 4. Group pairs are expanded to their members; pairs whose prefixes share enough are verified on the whole sets.
 
 Only components are asked for, so pairs that are already connected need no check. The first round checks every list's members against one of
-them; the second round takes each pair of a list whose two sides are still apart. No link between different components can be lost.
+them; the second round takes each pair of a list whose two sides are still apart, met by bands of size. No link between different components can be lost.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +34,7 @@ def _local_counts(width: int):
         def fold(whole, held):
             values, counts = np.unique(np.concatenate([whole[0], *held]), return_inverse=True)
             total = np.bincount(counts, weights=np.concatenate([whole[1], np.ones(len(counts) - len(whole[1]))]), minlength=len(values)).astype(np.int64)
-            if len(values) > 1_500_000:  # bounded memory: once-seen shingles are the ones forgotten
+            if len(values) > 600_000:  # bounded memory: once-seen shingles are the ones forgotten
                 keep = total > 1
                 return values[keep], total[keep]
             return values, total
@@ -41,7 +43,7 @@ def _local_counts(width: int):
             for found in shingle_sets(batch.column(0), width):
                 held.append(found)
                 size += len(found)
-                if size > 500_000:
+                if size > 250_000:
                     whole, held, size = fold(whole, held), [], 0
         if held:
             whole = fold(whole, held)
@@ -215,6 +217,25 @@ def _may_link(percent: int, a: str, b: str):
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & least
 
 
+def _apart_pairs(wide: DataFrame, percent: int) -> DataFrame:
+    """u < v of nodes on one list (tok, node, n, pos, component) that are in different components and may still link by their sizes and places.
+
+    A node that has the shared shingle at place pos of its order can share n - pos shingles at most, so it can link with sets of up to `most` = (n - pos) *
+    (100 + percent) / percent - n shingles only. Of a pair the smaller set must allow the larger one, so its `most` isn't below its own size: most
+    entries of long lists (shingles that many share come late in the order) are no smaller side, and two of them never meet. Bands of sizes are part of the
+    key, so the rest meets only what its size and place allow."""
+    band = lambda n: F.floor(F.log(n.cast("double")) * (2 / math.log(100 / percent)) + 1e-9) if percent < 100 else n
+    most = F.floor(((F.col("n") - F.col("pos")) * (100 + percent)) / percent).cast("long") - F.col("n")
+    rows = wide.withColumn("most", most)
+    least = F.ceil(F.col("n") * percent / 100).cast("long")
+    small = rows.where("most >= n").withColumn("band", band(F.col("n")).cast("long"))
+    upper = F.least("n", "most")
+    large = rows.withColumn("least", least).where(upper >= F.col("least")).withColumn("band", F.explode(F.sequence(band(F.col("least")).cast("long"), band(upper).cast("long"))))
+    a, b = small.alias("a"), large.alias("b")
+    met = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.band") == F.col("b.band")) & (F.col("a.component") != F.col("b.component")) & F.col("a.n").between(F.col("b.least"), F.least("b.n", "b.most")) & (F.col("b.n") <= F.col("a.most")) & ((F.col("a.n") < F.col("b.n")) | (F.col("a.node") < F.col("b.node"))))
+    return met.select(F.least("a.node", "b.node").alias("u"), F.greatest("a.node", "b.node").alias("v")).distinct()
+
+
 def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
@@ -253,9 +274,7 @@ def ngram_jaccard_join(docs: DataFrame, width: int = 5, percent: int = 80, id_co
     wide = wide.join(comp, "node", "left").select("tok", "node", "n", "pos", F.coalesce("component", "node").alias("component"))
     apart = wide.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("tok")
     wide = written(wide.join(apart.hint("shuffle_hash"), "tok", "left_semi"), "apart")
-    a, b = wide.alias("a"), wide.alias("b")
-    second = a.join(b, (F.col("a.tok") == F.col("b.tok")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.component") != F.col("b.component")) & _may_link(percent, "a", "b"))
-    second = second.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
+    second = _apart_pairs(wide, percent).join(pairs, ["u", "v"], "left_anti")
     more = _verify(second, named, marked, nodes, width, percent)
     final = components(links.union(more))
     slim = written(marked.select("doc_id", "node", "n"), "slim")

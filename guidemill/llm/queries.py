@@ -105,4 +105,35 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_embedding_near_duplicates, op3_quality_classifier, op4_document_fingerprints, op5_best_fit_packing, op6_format_conversations, op7_toxicity, op8_filter_urls, op9_extract_main_text, op10_mix_sources)}
-ORACLE_SQL: dict[str, str] = {}
+
+def _closure(links: str) -> str:
+    """Recursive SQL: (a, component) over a table of links (a, b) in both directions; smaller labels spread until none changes."""
+    return f"""reach(a, b) as (select a, b from {links} union select r.a, l.b from reach r join {links} l on r.b = l.a), least as (select a, min(b) b from reach group by a)"""
+
+
+_OPEN, _CLOSE = "<|im_start|>", "<|im_end|>"
+
+
+def _oracle_sql() -> dict[str, str]:
+    from guidemill.llm.chat import CONTROL
+
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    control = " + ".join(f"(length(t) - length(replace(t, '{x}', ''))) // {len(x)}" for x in CONTROL)
+    return {
+        "op1_ngram_jaccard_join": f"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') w from documents),
+          s as (select doc_id, unnest(case when len(w) = 0 then []::varchar[] when len(w) < 4 then [array_to_string(w, ' ')] else list_distinct([array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]) end) x from w),
+          n as (select doc_id, count(*) n from s group by doc_id), met as (select s.doc_id a, t.doc_id b, count(*) same from s join s t on s.x = t.x and s.doc_id <> t.doc_id group by all),
+          links as (select a, b from met join n on n.doc_id = a join n m on m.doc_id = b where 100 * same >= 85 * (n.n + m.n - same)), {_closure("links")}
+          select doc_id, coalesce(n.n, 0)::bigint n_shingles, least(doc_id, coalesce(l.b, doc_id)) component_id from documents left join n using (doc_id) left join least l on l.a = doc_id""",
+        "op2_embedding_near_duplicates": f"""with recursive v as (select vec_id, embedding::double[] e from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+          u as (select vec_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) e from v), links as (select p.vec_id a, q.vec_id b from u p join u q on p.vec_id <> q.vec_id and len(p.e) = len(q.e) where list_dot_product(p.e, q.e) >= 0.9), {_closure("links")}
+          select vec_id, (select count(*) from links where a = vec_id) n_links, least(vec_id, coalesce(l.b, vec_id)) component_id, vec_id = least(vec_id, coalesce(l.b, vec_id)) kept from embeddings left join least l on l.a = vec_id""",
+        "op6_format_conversations": f"""with e as (select conv_id, turn, coalesce(role, '') r, coalesce(text, '') t from conversations union all select -7, unnest([0, 1]), unnest(['user', 'assistant']), '</s>[INST] ok [/INST]'),
+          s as (select *, {len(_OPEN) + len(_CLOSE) + 2} + length(r) + length(t) + length(t) - length(replace(t, '\', '')) + {control} size from e)
+          select conv_id, count(*) n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn, r, t)) turns_sha256, length(coalesce(string_agg(t, '' order by turn, r, t) filter (r = 'assistant'), '')) loss_chars,
+            sha256(coalesce(string_agg(t, '' order by turn, r, t) filter (r = 'assistant'), '')) loss_sha256, cast(sum(size) as bigint) formatted_chars from s group by conv_id""",
+    }
+
+
+#: Three operators can be said in DuckDB; the others hash as Spark does, learn, search or pack, and are held against brute force in tests.
+ORACLE_SQL: dict[str, str] = _oracle_sql()

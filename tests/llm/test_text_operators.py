@@ -73,6 +73,37 @@ def test_ngram_join_same_prefix_group_and_no_rows(spark):
     assert {r.component_id for r in got} == {0}
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 100])
+def test_pairs_of_a_list_are_those_that_sizes_and_places_allow(spark, percent):
+    chance = random.Random(percent)
+    entries = []
+    for k in range(300):
+        n = chance.choice([1, 2, 3, chance.randint(4, 40), chance.randint(80, 120)])
+        entries.append((chance.randint(0, 2), k, n, chance.randrange(ngram_join.prefix_length(n, percent)), chance.randint(0, 40)))
+    wide = spark.createDataFrame(entries, "tok long, node long, n long, pos long, component long")
+    got = {tuple(r) for r in ngram_join._apart_pairs(wide, percent).collect()}
+    want = set()
+    for t, u, n, i, c in entries:
+        for s, v, m, j, d in entries:
+            if t == s and u < v and c != d and min(n, m) * 100 >= max(n, m) * percent and min(n - i, m - j) * (100 + percent) >= percent * (n + m):
+                want.add((u, v))
+    assert got == want
+
+
+def test_many_versions_of_a_template_that_do_not_link(spark):
+    chance = random.Random(12)
+    template = [f"w{k}" for k in range(100)]
+    docs = []
+    for j in range(3000):
+        w = list(template)
+        for k in (chance.randrange(a, a + 25) for a in (5, 35, 65)):  # so that each change spoils five shingles of its own
+            w[k] = f"x{j}y{k}"
+        docs.append(" ".join(w))
+    docs += [docs[0].replace("w99", "z"), docs[7].replace("w0", "z")]
+    got = {r.doc_id: r.component_id for r in ngram_join.ngram_jaccard_join(spark.createDataFrame(rows(docs), SCHEMA).repartition(4), 5, 80).collect()}
+    assert got == {k: {3000: 0, 3001: 7}.get(k, k) for k in range(3002)}
+
+
 def test_shingles_fold_ascii_only_and_prefix_is_long_enough():
     import pyarrow as pa
 
