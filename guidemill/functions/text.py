@@ -23,6 +23,9 @@ EMPTY_TITLES = [
 #: A title of this form says nothing either: fixed value.
 EMPTY_TITLE = r"^(no|not)\s+((programme|program|event|epg|schedule)\s+)?(information\s*)?(available|unavailable)?$"
 
+#: Endings of catalogue ids that aren't part of a name: fixed value.
+CATALOGUE_ENDING = r"(?i)\.(?:us(?:\d+|_locals\d+)?|uk\d*|in\d*|ie\d*|ca\d*|au\d*|nz\d*|ch\d*|es\d*)$"
+
 
 @pandas_udf(StringType())
 def plain(text: pd.Series) -> pd.Series:
@@ -89,10 +92,10 @@ def split_camel(text: Column) -> Column:
 
 
 def id_to_name(guide_id: Column) -> Column:
-    """A readable name of a guide id: without its last dotted part, camel case split, + as plus."""
-    text = F.regexp_replace(F.trim(guide_id), r"\.[A-Za-z0-9]{2,4}$", "")
-    text = F.regexp_replace(F.replace(split_camel(text), F.lit("+"), F.lit(" plus ")), "[._-]+", " ")
-    return squeeze(text)
+    """A readable name of a guide id: without a catalogue's ending, camel case split, + as plus, without the word dummy."""
+    text = F.regexp_replace(F.trim(guide_id), CATALOGUE_ENDING, "")
+    text = F.regexp_replace(F.replace(split_camel(text), F.lit("+"), F.lit(" plus ")), r"[._/\\-]+", " ")
+    return squeeze(F.regexp_replace(text, r"(?i)\bdummy\b", " "))
 
 
 def tokens(text: Column, without: list[str] = (), folded: bool = False) -> Column:

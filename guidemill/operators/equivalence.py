@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guidemill.functions.text import is_informative, normal_title
 from guidemill.functions.time import bucket
+from guidemill.operators.components import components
 
 
 def fingerprints(programmes: DataFrame, now: int, horizon_hours: int = 72, minutes: int = 5, folded: bool = False) -> DataFrame:
-    """epg_id, bucket, title: the distinct (start bucket, normal title) of programmes that start within the horizon and haven't ended."""
-    rows = programmes.where((F.col("start") <= now + horizon_hours * 3600) & (F.coalesce("stop", F.col("start")) >= now) & is_informative(F.col("title"), folded))
+    """epg_id, bucket, title: the distinct (start bucket, normal title) of programmes that start within the horizon and haven't ended; one without a stop ends after an hour."""
+    rows = programmes.where((F.col("start") <= now + horizon_hours * 3600) & (F.coalesce("stop", F.col("start") + 3600) >= now) & is_informative(F.col("title"), folded))
     return rows.select("epg_id", bucket(F.col("start"), minutes).alias("bucket"), normal_title(F.col("title"), folded).alias("title")).distinct()
 
 
@@ -24,23 +22,22 @@ def fingerprint_summary(prints: DataFrame, requested: DataFrame) -> DataFrame:
     return requested.select("epg_id").distinct().join(got, "epg_id", "left").fillna(0, ["rows"])
 
 
-def _matched(left: list[int], right: list[int], tolerance: int) -> int:
-    """Most pairs of sorted buckets no further apart than the tolerance: each in turn takes the first that is left."""
-    i = j = n = 0
-    while i < len(left) and j < len(right):
-        if abs(left[i] - right[j]) <= tolerance:
-            n, i, j = n + 1, i + 1, j + 1
-        elif left[i] < right[j]:
-            i += 1
-        else:
-            j += 1
-    return n
+def _matched(left: Column, right: Column, tolerance: int) -> Column:
+    """How many buckets of left, in order, find one of right: each takes the nearest that is left within the tolerance, of two the earlier."""
+    start = F.struct(F.array_sort(right).alias("rest"), F.lit(0).alias("n"))
+
+    def step(state, bucket):
+        near = F.filter(F.transform(state["rest"], lambda x: F.struct(F.abs(x - bucket).alias("d"), x.alias("x"))), lambda y: y["d"] <= tolerance)
+        found = F.array_min(near)["x"]
+        return F.when(found.isNull(), state).otherwise(F.struct(F.filter(state["rest"], lambda x: x != found).alias("rest"), (state["n"] + 1).alias("n")))
+
+    return F.aggregate(F.array_sort(left), start, step, lambda state: state["n"])
 
 
 def schedule_similarity(prints: DataFrame, tolerance: int = 1) -> DataFrame:
     """a, b (a < b), similarity of ids that share a title within the tolerance: matched rows, title by title, over the larger number of rows.
 
-    Ids meet by title and bucket only; each title's rows of two ids are matched one to one."""
+    Ids meet by title and bucket only; each title's rows of two ids are matched one to one, a's in order of time with the nearest of b's that is left."""
     sizes = prints.groupBy("epg_id").agg(F.count("*").alias("n"))
     near = prints.select("epg_id", "title", "bucket", F.explode(F.sequence(F.col("bucket") - tolerance, F.col("bucket") + tolerance)).alias("at")) if tolerance else prints.withColumn("at", F.col("bucket"))
     p, q = prints.alias("p"), near.alias("q")
@@ -49,52 +46,17 @@ def schedule_similarity(prints: DataFrame, tolerance: int = 1) -> DataFrame:
     if tolerance == 0:
         counts = rows.groupBy("a", "b").agg(F.count("*").alias("same"))
     else:
-
-        @F.pandas_udf("int")
-        def matched(x: pd.Series, y: pd.Series) -> pd.Series:
-            return pd.Series([_matched(sorted(u), sorted(v), tolerance) for u, v in zip(x, y, strict=True)], dtype="int32")
-
         by_title = rows.groupBy("a", "b", "title").agg(F.collect_set("x").alias("x"), F.collect_set("y").alias("y"))
-        counts = by_title.select("a", "b", matched("x", "y").alias("n")).groupBy("a", "b").agg(F.sum("n").alias("same"))
+        counts = by_title.select("a", "b", _matched(F.col("x"), F.col("y"), tolerance).alias("n")).groupBy("a", "b").agg(F.sum("n").alias("same"))
     sized = counts.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
     return sized.select("a", "b", "same", (F.col("same") / F.greatest("na", "nb")).alias("similarity"))
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component: the smallest node that edges reach. Labels fall along edges and then along labels; each round is written, not kept by lineage."""
-    spark = edges.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local["):
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="guidemill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-
-    def written(df: DataFrame) -> DataFrame:
-        path = f"{folder.rstrip('/')}/labels-{uuid.uuid4().hex}"
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    both = written(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(b, a)).distinct())
-    labels = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")))
-    while True:
-        near = both.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
-        step = labels.join(near, "u").select("u", F.least("label", "near").alias("label"))
-        jump = step.alias("s").join(step.select(F.col("u").alias("w"), F.col("label").alias("further")), F.col("s.label") == F.col("w"), "left")
-        after = written(jump.select("u", F.least("label", F.coalesce("further", "label")).alias("label")))
-        changed = after.join(labels.withColumnRenamed("label", "old"), "u").where("label <> old").limit(1).count()
-        labels = after
-        if not changed:
-            return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))
-
-
 def equivalence_groups(prints: DataFrame, least_rows: int = 8, least_similarity: float = 0.92, tolerance: int = 1) -> DataFrame:
     """node, component of ids with at least least_rows rows whose schedules agree; chains of agreeing ids are one group."""
     enough = prints.groupBy("epg_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).select("epg_id")
     near = schedule_similarity(prints.join(enough, "epg_id", "left_semi"), tolerance).where(F.col("similarity") >= least_similarity)
-    return components(near.select("a", "b"))
+    return components(near.select("a", "b"), "a", "b")
 
 
 def group_labels(groups: DataFrame) -> DataFrame:

@@ -10,21 +10,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from guidemill.functions.names import ID_ENDING, with_candidates, with_channels
 from guidemill.functions.similarity import best_choices, blend_of, ratio_of
 from guidemill.functions.text import acronym, bag_key, compact_key, split_camel, strict_key, tokens
+from guidemill.functions.vocabulary import BANK_CATEGORIES, BANK_WORDS, EDGE_SIGNS, MEANINGFUL, MOVIE_BANK_WORDS, OPTIONAL, TECHNICAL, Vocabulary
+from guidemill.sources.tables import written
 
-#: Words that say how, not what, is shown: fixed values.
-OPTIONAL = ["hd", "fhd", "uhd", "sd", "4k", "8k", "hevc", "h265", "raw", "backup", "vip", "tv", "channel", "network", "the"]
-DIRECTIONS = ["east", "west", "pacific", "central", "mountain", "atlantic"]
-#: Method, score and least length of key, in the order in which they are tried: fixed values.
+DIRECTIONS = {"west": ["west", "pacific"], "east": ["east", "eastern"]}
+#: Method, score and least length of key, in the order in which they are tried, for keys made from plain names: fixed values.
 KEY_METHODS = [("strict", 100.0, 1), ("descriptor_relaxed", 99.0, 3), ("spacing_compact", 98.0, 4), ("token_multiset", 98.5, 4)]
+#: Column, method and score of the keys that the reader of names gives, in their order: fixed values.
+READ_METHODS = [("strict", "strict", 100.0), ("edition_aware", "edition_aware", 99.5), ("descriptor_relaxed", "descriptor_relaxed", 99.0), ("spacing_compact", "spacing_compact", 98.0), ("token_multiset", "token_multiset", 98.5), ("token_multiset", "category_language_default", 98.0)]
+#: Least length of a key of one word; of spacing_compact, of any.
+ONE_WORD = {"canonical_identity": 4, "edition_aware": 3, "descriptor_relaxed": 5}
+MARKS = ["words", "numbers", "direction", "plus", "extra", "alternate", "shift", "languages", "content", "meaningful"]
 
 
 def key_columns(name: Column) -> dict[str, Column]:
-    """words, four keys, and the marks that must agree: numbers, direction, plus, alternate, time shift in hours."""
+    """words, four keys, and the marks that must agree, of plain names by built-in functions alone; names that providers wrap are read by functions.names."""
     said = F.regexp_replace(split_camel(name), r"\+\s*([0-9]+)\b", " plusshift$1 ")
-    words = tokens(F.replace(said, F.lit("+"), F.lit(" plus ")))
+    words = F.filter(tokens(F.replace(said, F.lit("+"), F.lit(" plus "))), lambda x: ~x.isin(TECHNICAL))
     core = F.filter(words, lambda x: ~x.isin(OPTIONAL))
+    has = lambda *some: F.exists(words, lambda x: x.isin(*some))
+    none = F.array().cast("array<string>")
     return {
         "words": words,
         "strict": strict_key(words),
@@ -33,10 +41,14 @@ def key_columns(name: Column) -> dict[str, Column]:
         "token_multiset": bag_key(core),
         "initials": acronym(core),
         "numbers": F.array_sort(F.array_distinct(F.filter(words, lambda x: x.rlike("^[0-9]+$")))),
-        "direction": F.array_sort(F.array_intersect(words, F.array(*[F.lit(x) for x in DIRECTIONS]))),
-        "plus": F.array_contains(words, "plus"),
-        "alternate": F.exists(words, lambda x: x.isin("alt", "alternate", "extra")),
+        "direction": F.when(has(*DIRECTIONS["west"]), "west").when(has(*DIRECTIONS["east"]), "east").otherwise(""),
+        "plus": has("plus"),
+        "extra": has("extra", "xtra"),
+        "alternate": has("alternate", "alt"),
         "shift": F.coalesce(F.array_max(F.transform(F.filter(words, lambda x: x.rlike("^plusshift[0-9]+$")), lambda x: F.substring(x, 10, 4).try_cast("int"))), F.lit(0)),
+        "languages": none,
+        "content": none,
+        "meaningful": F.array_sort(F.array_distinct(F.filter(words, lambda x: x.isin(MEANINGFUL) & (x != "east")))),
     }
 
 
@@ -45,10 +57,18 @@ def with_keys(df: DataFrame, name: str) -> DataFrame:
 
 
 def compatible(q: str, c: str, east_default: bool = True) -> Column:
-    """No mark contradicts: the same numbers where both have any and none on one side only, direction (east if none), plus, alternate and shift equal."""
+    """No mark of a channel q and a candidate c contradicts.
+
+    Shift, plus, extra and alternate are equal. So is the direction, but a channel that says east may have a candidate that says none. A candidate's numbers
+    are the channel's; a candidate without numbers goes with any. Languages, and kinds of content, overlap where both have any. Words that tell editions apart are
+    the same on both sides."""
     a, b = lambda x: F.col(f"{q}.{x}"), lambda x: F.col(f"{c}.{x}")
-    east = lambda x: F.when(F.size(x) == 0, F.array(F.lit("east"))).otherwise(x) if east_default else x
-    return (a("numbers") == b("numbers")) & (east(a("direction")) == east(b("direction"))) & (a("plus") == b("plus")) & (a("alternate") == b("alternate")) & (a("shift") == b("shift"))
+    direction = a("direction") == b("direction")
+    if east_default:
+        direction = direction | (a("direction") == "east") & (b("direction") == "")
+    same = (a("plus") == b("plus")) & (a("extra") == b("extra")) & (a("alternate") == b("alternate")) & (a("shift") == b("shift")) & direction
+    overlap = lambda x: (F.size(a(x)) == 0) | (F.size(b(x)) == 0) | F.arrays_overlap(a(x), b(x))
+    return same & ((F.size(b("numbers")) == 0) | (a("numbers") == b("numbers"))) & overlap("languages") & overlap("content") & (a("meaningful") == b("meaningful"))
 
 
 def in_regions(channels: DataFrame, regions: str = "regions") -> DataFrame:
@@ -71,26 +91,61 @@ def unique_family(matches: DataFrame, by: list[str]) -> DataFrame:
     return got.select(*by, "family", best["epg_id"].alias("epg_id"), best["feed"].alias("feed"), F.get(others, F.lit(0))["epg_id"].alias("alternate"))
 
 
-def exact_key_match(channels: DataFrame, candidates: DataFrame, methods: list[tuple[str, float, int]] = KEY_METHODS) -> DataFrame:
+def _name_attempts(methods: list[tuple[str, float, int]]):
+    some = F.array(*[F.struct(F.lit(k).alias("attempt"), F.lit(m).alias("method"), F.lit(s).alias("score"), F.lit(m).alias("index"), F.when(F.length(m) >= n, F.col(m)).alias("key")) for k, (m, s, n) in enumerate(methods)])
+    return some, F.array(*[F.struct(F.lit(m).alias("index"), F.when(F.length(m) >= n, F.col(m)).alias("key")) for m, _, n in methods])
+
+
+def _read_attempts():
+    """Attempts of channels and keys of candidates that with_channels() and with_candidates() have read: every identity key, then READ_METHODS."""
+    attempt = lambda k, method, score, index, key: F.struct(k.cast("int").alias("attempt"), F.lit(method).alias("method"), F.lit(score).alias("score"), F.lit(index).alias("index"), key.alias("key"))
+    long = lambda key, method: F.contains(key, F.lit(" ")) | (F.length(key) >= ONE_WORD.get(method, 1))
+    identity = F.transform("canonical_identity", lambda x, k: attempt(k, "canonical_identity", 100.0, "canonical_identity", F.when(long(x, "canonical_identity"), x)))
+    rest = []
+    for k, (index, method, score) in enumerate(READ_METHODS):
+        key = F.when(F.col(method) != F.col("token_multiset"), F.col(method)) if method == "category_language_default" else F.when((F.length(method) >= 5) if method == "spacing_compact" else long(F.col(method), method), F.col(method))
+        rest.append(attempt(F.lit(100 + k), method, score, index, key))
+    candidate = lambda index, key: F.struct(F.lit(index).alias("index"), key.alias("key"))
+    columns = list(dict.fromkeys(index for index, _, _ in READ_METHODS))
+    return F.concat(identity, F.array(*rest)), F.concat(F.transform("canonical_identity", lambda x: candidate("canonical_identity", x)), F.array(*[candidate(x, F.col(x)) for x in columns]))
+
+
+def exact_key_match(channels: DataFrame, candidates: DataFrame, methods: list[tuple[str, float, int]] = KEY_METHODS, read: bool = False) -> DataFrame:
     """Stage of equal keys: by region of the plan, then by method, the first attempt with one family decides.
 
-    channels: stream_id, regions, key columns. candidates: epg_id, feed, region, family, source_priority, key columns. One equi-join over all keys."""
-    attempt = lambda: F.array(*[F.struct(F.lit(k).alias("attempt"), F.lit(m).alias("method"), F.lit(s).alias("score"), F.when(F.length(m) >= n, F.col(m)).alias("key")) for k, (m, s, n) in enumerate(methods)])
-    marks = ["words", "numbers", "direction", "plus", "alternate", "shift"]
-    q = in_regions(channels).select("stream_id", "region_pos", "region", *marks, F.explode(attempt()).alias("a")).select("stream_id", "region_pos", "region", *marks, "a.*").where("key is not null and key <> ''")
-    c = candidates.select("epg_id", "feed", "region", "family", "source_priority", *marks, F.explode(attempt()).alias("a")).select("*", "a.attempt", "a.key").drop("a").where("key is not null and key <> ''")
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.attempt") == F.col("c.attempt")) & (F.col("q.key") == F.col("c.key")) & compatible("q", "c"))
+    channels: stream_id, regions, key columns. candidates: epg_id, feed, region, family, source_priority, key columns. One equi-join over all keys.
+    read: the columns are those of functions.names, and all its keys are tried in its order."""
+    attempts, keys = _read_attempts() if read else _name_attempts(methods)
+    q = in_regions(channels).select("stream_id", "region_pos", "region", *MARKS, F.explode(attempts).alias("a")).select("stream_id", "region_pos", "region", *MARKS, "a.*").where("key is not null and key <> ''")
+    c = candidates.select("epg_id", "feed", "region", "family", "source_priority", *MARKS, F.explode(keys).alias("a")).select("*", "a.index", "a.key").drop("a").where("key is not null and key <> ''")
+    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.index") == F.col("c.index")) & (F.col("q.key") == F.col("c.key")) & compatible("q", "c"))
     rows = unique_family(met.select("q.stream_id", "q.region_pos", "q.attempt", "q.method", "q.score", "c.family", preference().alias("pref")), ["stream_id", "region_pos", "attempt", "method", "score"])
     first = Window.partitionBy("stream_id").orderBy("region_pos", "attempt")
     return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos", "attempt")
 
 
-def ordered_lookup(channels: DataFrame, aliases: DataFrame, candidates: DataFrame, key: str = "descriptor_relaxed") -> DataFrame:
-    """Stage of approved aliases (alias, regions, epg_ids in order): the first id that the catalogue has. Empty regions hold everywhere."""
-    a = aliases.select("alias", F.col("regions").alias("alias_regions"), F.posexplode("epg_ids").alias("pos", "wanted"))
-    known = candidates.groupBy(F.lower("epg_id").alias("folded")).agg(F.min(F.struct("source_priority", "epg_id", "feed", "family")).alias("c"))
-    met = channels.join(a, (F.col(key) == F.col("alias")) & ((F.size("alias_regions") == 0) | F.arrays_overlap("alias_regions", "regions"))).join(known, F.lower("wanted") == F.col("folded"))
-    best = met.groupBy("stream_id").agg(F.min(F.struct("pos", "c")).alias("x"))
+def ordered_lookup(channels: DataFrame, aliases: DataFrame, candidates: DataFrame, key: str = "descriptor_relaxed", read: bool = False) -> DataFrame:
+    """Stage of approved aliases (alias, regions, epg_ids in order): the first id that the catalogue has. Empty regions, and ALL, hold everywhere.
+
+    read: the alias may be any of the channel's strict, relaxed, edition and identity keys; aliases also have pos, their order, required_languages, all of which the channel
+    must have, and timeshift_epg_ids, a map from hours to ids, which count instead where the channel's name has a shift; where the channel's market was said
+    outright the id must be of its plan."""
+    a = aliases.select(*[c for c in aliases.columns if c != "regions"], F.col("regions").alias("alias_regions"))
+    everywhere = (F.size("alias_regions") == 0) | F.array_contains("alias_regions", "ALL") | F.arrays_overlap("alias_regions", "regions")
+    if read:
+        keys = F.array_distinct(F.concat(F.array("strict", "descriptor_relaxed", "edition_aware"), "canonical_identity"))
+        met = channels.select("stream_id", "regions", "languages", "shift", "explicit", F.explode(keys).alias("said")).join(a, (F.col("said") == F.col("alias")) & everywhere & (F.size(F.array_except("required_languages", "languages")) == 0))
+        ids = F.when(F.col("shift") > 0, F.coalesce(F.try_element_at("timeshift_epg_ids", F.col("shift").cast("string")), F.array().cast("array<string>"))).otherwise(F.col("epg_ids"))
+        met = met.select("stream_id", "regions", "explicit", F.col("pos").alias("alias_pos"), F.posexplode(ids).alias("pos", "wanted"))
+        order = ["alias_pos", "pos"]
+    else:
+        met = channels.join(a, (F.col(key) == F.col("alias")) & everywhere).select("stream_id", "regions", F.posexplode("epg_ids").alias("pos", "wanted"))
+        order = ["pos"]
+    known = candidates.groupBy(F.lower("epg_id").alias("folded")).agg(F.min(F.struct("source_priority", (F.col("region") == "ALL").alias("everywhere"), "epg_id", "feed", "family", "region")).alias("c"))
+    met = met.join(known, F.lower("wanted") == F.col("folded"))
+    if read:
+        met = met.where(~F.col("explicit") | F.array_contains("regions", F.col("c.region")))
+    best = met.groupBy("stream_id").agg(F.min(F.struct(*order, "c")).alias("x"))
     return best.select("stream_id", F.lit("approved_knowledge").alias("method"), F.lit(100.0).alias("score"), F.col("x.c.epg_id").alias("epg_id"), F.col("x.c.feed").alias("feed"), F.col("x.c.family").alias("family"))
 
 
@@ -107,27 +162,48 @@ def rule_match(channels: DataFrame, rules: DataFrame, candidates: DataFrame, key
     return best.select("stream_id", F.lit("verified_rule").alias("method"), F.lit(100.0).alias("score"), F.col("x.c.epg_id").alias("epg_id"), F.col("x.c.feed").alias("feed"), F.col("x.c.family").alias("family"))
 
 
-def containment_match(channels: DataFrame, candidates: DataFrame, extras: list[str], least: int = 2) -> DataFrame:
+def containment_match(channels: DataFrame, candidates: DataFrame, extras: list[str], least: int = 2, regional: bool = False) -> DataFrame:
     """Stage of containment: all words of a candidate are in the channel's name and what the name has besides are words of `extras`.
 
-    Candidates are met by their longest word only; of those that fit, the ones with most words must be one family."""
+    Candidates are met by their longest word only; of those that fit, the ones with most words must be one family. regional: extras name regions, of
+    which a candidate must have one itself beside a brand, and the channel's name has three words or more."""
     rare = lambda w: F.element_at(F.array_sort(F.transform(w, lambda x: F.struct((-F.length(x)).alias("l"), x.alias("w")))), 1)["w"]
+    known = F.array(*[F.lit(x) for x in extras]).cast("array<string>")
+    if regional:
+        core = lambda df: df.withColumn("words", F.array_distinct(F.filter("words", lambda x: ~x.isin(OPTIONAL))))
+        channels = core(channels).where(F.size("words") >= 3)
+        brand = F.filter("words", lambda x: ~F.array_contains(known, x) & (x != "and"))
+        candidates = core(candidates).where((F.size(F.array_intersect("words", known)) > 0) & (F.size(brand) > 0))
     c = candidates.where(F.size("words") >= least).withColumn("block", rare(F.col("words")))
     q = in_regions(channels).select("*", F.explode(F.array_distinct("words")).alias("block"))
     extra = F.array_except("q.words", "c.words")
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("c.words", "q.words")) == 0) & (F.size(extra) > 0) & (F.size(F.array_except(extra, F.array(*[F.lit(x) for x in extras]))) == 0) & compatible("q", "c"))
+    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("c.words", "q.words")) == 0) & (F.size(extra) > 0) & (F.size(F.array_except(extra, known)) == 0) & compatible("q", "c"))
     most = met.select("q.stream_id", "c.family", preference().alias("pref"), F.size("c.words").alias("n")).withColumn("top", F.max("n").over(Window.partitionBy("stream_id"))).where("n = top")
     return unique_family(most.withColumns({"method": F.lit("regional_context_containment"), "score": F.lit(97.5)}), ["stream_id", "method", "score"])
 
 
-def near_exact_match(channels: DataFrame, candidates: DataFrame, least_ratio: float = 84.0) -> DataFrame:
+def near_exact_match(channels: DataFrame, candidates: DataFrame, least_ratio: float = 84.0, careful: bool = False) -> DataFrame:
     """Stage of spelling variants: names of equally many words that differ in one, and that one by a ratio of least_ratio or more.
 
-    Both sides are met by what their words are without one of them, so no two names are compared that don't share all others."""
+    Both sides are met by what their words are without one of them, so no two names are compared that don't share all others. careful: the words that differ
+    have five letters or more, begin alike, are at most two letters longer or shorter, and are neither numbers nor words that tell editions apart; a single
+    word that is shared has four letters or more; words count in their identity form, and the first region of the plan that has a best family decides."""
+    if careful:
+        split = lambda df: df.withColumn("words", F.filter(F.split("token_multiset", " "), lambda x: x != ""))
+        channels, candidates = split(channels), split(candidates)
     without = lambda: F.transform(F.sequence(F.lit(1), F.size("words")), lambda k: F.struct(bag_key(F.concat(F.slice("words", 1, k - 1), F.slice(F.col("words"), k + 1, F.size("words")))).alias("rest"), F.element_at("words", k).alias("word")))
     some = lambda df: df.where(F.size("words") > 1).select("*", F.explode(without()).alias("w")).select("*", "w.rest", "w.word").drop("w")
     q, c = some(in_regions(channels)), some(candidates)
     met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.rest") == F.col("c.rest")) & (F.col("q.word") != F.col("c.word")) & compatible("q", "c"))
+    if careful:
+        fine = lambda w: (F.length(w) >= 5) & ~w.rlike("^[0-9]+$") & ~w.isin(MEANINGFUL)
+        one, other = F.col("q.word"), F.col("c.word")
+        met = met.where(fine(one) & fine(other) & (F.abs(F.length(one) - F.length(other)) <= 2) & (F.substring(one, 1, 1) == F.substring(other, 1, 1)) & (F.contains("q.rest", F.lit(" ")) | (F.length("q.rest") >= 4)))
+        scored = met.select("q.stream_id", "q.region_pos", "c.family", preference().alias("pref"), ratio_of(one, other).alias("score")).where(F.col("score") >= least_ratio)
+        best = scored.withColumn("top", F.max("score").over(Window.partitionBy("stream_id", "region_pos"))).where("score = top")
+        rows = unique_family(best.select("stream_id", "region_pos", F.round("score", 1).alias("score"), "family", "pref"), ["stream_id", "region_pos", "score"])
+        first = Window.partitionBy("stream_id").orderBy("region_pos")
+        return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos").withColumn("method", F.lit("near_exact_orthography"))
     scored = met.select("q.stream_id", "c.family", preference().alias("pref"), ratio_of(F.col("q.word"), F.col("c.word")).alias("score")).where(F.col("score") >= least_ratio)
     best = scored.withColumn("top", F.max("score").over(Window.partitionBy("stream_id"))).where("score = top").withColumn("method", F.lit("near_exact_orthography"))
     return unique_family(best.select("stream_id", "method", "score", "family", "pref"), ["stream_id", "method", "score"])
@@ -192,49 +268,130 @@ def first_stage(channels: DataFrame, stages: list[DataFrame]) -> DataFrame:
 
 
 def decorative_heading(name: Column) -> Column:
-    """A name that is mostly signs, as headings in channel lists are."""
-    signs = F.length(F.regexp_replace(F.coalesce(name, F.lit("")), r"[\p{L}\p{N}\s]", ""))
-    return (F.coalesce(name, F.lit("")).rlike(r"^\s*([#=*_~|•▬★◉-])\1{1,}.*\1{2,}\s*$")) | ((F.length(name) > 0) & (signs * 2 > F.length(name)))
-
-
-def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, aliases: DataFrame, rules: DataFrame, special: DataFrame, panel: DataFrame, extras: list[str], covered: list[str] | None = None, region_words: list[str] = ()) -> DataFrame:
-    """The waterfall over channels (stream_id, channel_name, category_name, regions, panel_epg_id).
-
-    special: pos, pattern, dummy_name (null: UNMATCHED) on the strict key; dummies: name, epg_id; panel: epg_id, status. covered: regions that have a
-    catalogue; a channel whose regions have none keeps a usable panel id or stays unmatched before any similarity is tried. region_words: names of parts of India;
-    a catalogue name there may add one or two to a channel's brand and two region words. In the US a station's only call sign decides after the panel,
-    where neither the name nor the id speaks of a subchannel."""
-    q = with_keys(channels, "channel_name")
-    c = with_keys(candidates, "display_name")
-    blank = dummies.where(F.lower("name") == "blank").select(F.col("epg_id").alias("blank_id"))
-    heading = q.where(decorative_heading(F.col("channel_name"))).crossJoin(blank).select("stream_id", F.lit("heading_placeholder").alias("method"), F.lit(100.0).alias("score"), F.col("blank_id").alias("epg_id"), F.lit("DUMMY_CHANNELS").alias("feed"), F.lit("AUTO_DUMMY").alias("action"))
-    met = q.join(special.join(dummies.select(F.lower("name").alias("dn"), F.col("epg_id").alias("dummy_id")), F.lower("dummy_name") == F.col("dn"), "left"), F.rlike(F.col("strict"), F.col("pattern")))
-    safety = met.groupBy("stream_id").agg(F.min(F.struct("pos", "dummy_name", "dummy_id")).alias("x"))
-    safety = safety.select("stream_id", F.lit("safety_rule").alias("method"), F.lit(100.0).alias("score"), F.col("x.dummy_id").alias("epg_id"), F.when(F.col("x.dummy_name").isNotNull(), "DUMMY_CHANNELS").alias("feed"), F.when(F.col("x.dummy_name").isNotNull(), "AUTO_DUMMY").otherwise("UNMATCHED").alias("action"))
+    """A name with three signs at either end, or with eight signs or more that are 35 % of it, as headings in channel lists are."""
+    raw = F.trim(F.coalesce(name, F.lit("")))
+    edge = "[" + EDGE_SIGNS.replace("-", r"\-") + "]"
+    signs = F.length(raw) - F.length(F.regexp_replace(raw, edge, ""))
+    return (raw.rlike(f"^{edge}{{3}}") & raw.rlike(f"{edge}{{3}}$")) | ((signs >= 8) & (signs >= 0.35 * F.length(raw)))
+
+
+def language_equivalence_match(channels: DataFrame, candidates: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """Stage of languages that the category says already: names that are equal but for words of those languages at their ends.
+
+    Names meet by their words without those of any language; the words of the category's own languages are then taken off both."""
+    v = vocabulary or Vocabulary()
+    form = lambda w: v.identity.get(w, w)
+    by_language = F.create_map(*[x for k, some in v.language_words.items() for x in (F.lit(k), F.array(*[F.lit(w) for w in sorted({form(w) for w in some})]))])
+    every = sorted({form(w) for some in v.language_words.values() for w in some})
+    forms = F.create_map(*[F.lit(x) for pair in v.identity.items() for x in pair])
+    words = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
+    plain = F.array_join(F.filter(words("token_multiset"), lambda x: ~x.isin(every)), " ")
+    ordered = F.transform(words("strict"), lambda w: F.coalesce(F.try_element_at(forms, w), w))
+    q = in_regions(channels).where(F.size("category_languages") > 0).select("stream_id", "region_pos", "region", *MARKS, "token_multiset", ordered.alias("ordered"), plain.alias("plain"), F.flatten(F.transform("category_languages", lambda x: F.coalesce(F.try_element_at(by_language, x), F.array().cast("array<string>")))).alias("gone"))
+    c = candidates.select("epg_id", "feed", "region", "family", "source_priority", *MARKS, "token_multiset", ordered.alias("ordered"), plain.alias("plain"))
+    left = lambda side: F.array_join(F.filter(words(f"{side}.token_multiset"), lambda x: ~F.array_contains(F.col("q.gone"), x)), " ")
+    inner = lambda side: F.slice(F.col(f"{side}.ordered"), 2, F.greatest(F.size(f"{side}.ordered") - 2, F.lit(0)))
+    at_ends = lambda side: ~F.exists(inner(side), lambda x: F.array_contains(F.col("q.gone"), x))
+    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.plain") == F.col("c.plain")) & (left("q") == left("c")) & (F.length(F.replace(left("q"), F.lit(" "))) >= 4) & at_ends("q") & at_ends("c") & compatible("q", "c"))
+    rows = unique_family(met.select("q.stream_id", "q.region_pos", "c.family", preference().alias("pref")), ["stream_id", "region_pos"])
+    first = Window.partitionBy("stream_id").orderBy("region_pos")
+    return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos").withColumns({"method": F.lit("category_language_equivalence"), "score": F.lit(97.5)})
+
+
+def bank_signals(read: DataFrame, least: int = 3) -> DataFrame:
+    """stream_id, role (movie or event) and slots of channels in numbered banks: names of a category that are the same but for a last number, with `least` different numbers
+    and words of the name or of the category's topic that speak of such banks. read: with_channels() of channels with a category_id."""
+    said = F.filter("words", lambda x: x != "")
+    rows = read.select("stream_id", "category_id", F.element_at(said, -1).alias("last"), F.slice(said, 1, F.size(said) - 1).alias("base"), F.split(F.lower("category_topic"), "[^a-z0-9]+").alias("topic")).where((F.size(said) > 1) & F.col("last").rlike("^[0-9]{1,3}$"))
+    rows = rows.withColumn("slot", F.col("last").cast("int")).where("slot > 0").withColumn("key", F.array_join("base", " "))
+    slots = rows.groupBy("category_id", "key").agg(F.countDistinct("slot").alias("slots"), F.min(F.struct("stream_id", "base", "topic")).alias("x")).where(F.col("slots") >= least)
+    has = lambda words, some: F.arrays_overlap(words, F.array(*[F.lit(x) for x in some]))
+    both = F.concat("x.base", "x.topic")
+    movie, sports = has(both, MOVIE_BANK_WORDS), F.array_contains(both, "360")
+    banks = slots.where(has(both, BANK_WORDS) & (sports | movie | has(F.col("x.topic"), BANK_CATEGORIES))).select("category_id", "key", "slots", F.when(movie & ~sports, "movie").otherwise("event").alias("role"))
+    return rows.select("stream_id", "category_id", "key").join(banks, ["category_id", "key"]).select("stream_id", "role", "slots")
+
+
+def learned_prefixes(read: DataFrame, least: int = 2, share: float = 0.35, enough: int = 5) -> DataFrame:
+    """category_id, learned: prefixes that many names of a category begin with; read: with_channels() of channels with a category_id."""
+    found = prefix_profile(read, "category_id", F.col("prefix"), least, share, enough)
+    return found.groupBy(F.col("category").alias("category_id")).agg(F.array_sort(F.collect_set("prefix")).alias("learned"))
+
+
+def read_channels(channels: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """with_channels() with the prefixes that each category's names teach; regions: the plan of a channel's name and category, unless the table has one; then ALL where neither says any.
+
+    Names are read twice: prefixes have to be counted before they can be taken off."""
+    if "category_id" not in channels.columns:
+        channels = channels.withColumn("category_id", F.col("category_name"))
+    first = with_channels(channels.select("stream_id", "category_id", "channel_name", "category_name"), vocabulary=vocabulary)
+    taught = channels.join(learned_prefixes(first), "category_id", "left")
+    out = with_channels(taught, learned="learned", vocabulary=vocabulary).drop("learned")
+    plan = F.when(F.size("plan") > 0, F.col("plan")).otherwise(F.array(F.lit("ALL")))
+    return out.withColumn("regions", F.coalesce("regions", plan) if "regions" in channels.columns else plan)
+
+
+def read_candidates(candidates: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
+    """with_candidates(), each candidate also in region ALL; family: the table's, else what the id's name and marks say."""
+    out = with_candidates(candidates, vocabulary=vocabulary)
+    out = out.withColumn("family", F.coalesce("family", "signature") if "family" in out.columns else F.col("signature")).drop("signature")
+    return out.unionByName(out.where("region <> 'ALL'").withColumn("region", F.lit("ALL")))
+
+
+def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, aliases: DataFrame, rules: DataFrame, special: DataFrame, panel: DataFrame, covered: list[str] | None = None, vocabulary: Vocabulary | None = None, review: bool = True) -> DataFrame:
+    """The waterfall over channels (stream_id, channel_name, category_name, panel_epg_id; category_id and regions if there are any).
+
+    candidates: epg_id, feed, region, source_priority, display_name; family if there is one. dummies: name, epg_id; those named blank, movie and event stand for headings and
+    numbered banks. aliases: see ordered_lookup(read). rules: see rule_match(). special: pos, pattern, dummy_name (null: UNMATCHED) on the strict key. panel: epg_id,
+    status. covered: regions that have a catalogue, those of candidates if not given; a channel whose market was said outright and has none keeps a usable panel id or stays
+    unmatched before any similarity is tried. review: also look for similar names, which are never matched without a person.
+
+    Stages in order: heading, special case, numbered bank of the inventory, generic numbered channel, no catalogue, approved alias, rule, equal keys, containment of regional
+    names, languages of the category, regional extension, spelling, panel id, station's call sign, similarity. Names are read once and written."""
+    v = vocabulary or Vocabulary()
+    q = written(read_channels(channels, vocabulary), "channels")
+    c = written(read_candidates(candidates, vocabulary), "candidates")
+    named = dummies.groupBy(F.lower("name").alias("dn")).agg(F.min("epg_id").alias("dummy_id"))
+
+    def dummy(rows: DataFrame, method: str, role: Column) -> DataFrame:
+        met = rows.select("stream_id", role.alias("dn")).join(named, "dn", "left")
+        return met.select("stream_id", F.lit(method).alias("method"), F.lit(100.0).alias("score"), F.col("dummy_id").alias("epg_id"), F.lit("DUMMY_CHANNELS").alias("feed"), F.lit("AUTO_DUMMY").alias("action"))
+
+    heading = dummy(q.where("heading"), "heading_placeholder", F.lit("blank"))
+    # patterns meet each distinct key once
+    keys = q.select("strict").distinct().join(F.broadcast(special), F.rlike(F.col("strict"), F.col("pattern"))).groupBy("strict").agg(F.min(F.struct("pos", F.lower("dummy_name").alias("dn"))).alias("x"))
+    safety = q.select("stream_id", "strict").join(keys, "strict").select("stream_id", F.col("x.dn").alias("dn")).join(named, "dn", "left")
+    safety = safety.select("stream_id", F.lit("safety_rule").alias("method"), F.lit(100.0).alias("score"), F.col("dummy_id").alias("epg_id"), F.when(F.col("dn").isNotNull(), "DUMMY_CHANNELS").alias("feed"), F.when(F.col("dn").isNotNull(), "AUTO_DUMMY").otherwise("UNMATCHED").alias("action"))
+    bank = dummy(bank_signals(q).withColumnRenamed("role", "kind"), "inventory_numbered_bank", F.col("kind"))
+    slot = dummy(q.where("slot <> ''"), "synthetic_numbered_genre_slot", F.col("slot"))
     usable = panel.where("status = 'USABLE'").select(F.lower("epg_id").alias("pid")).distinct()
     kept = q.join(usable, F.lower("panel_epg_id") == F.col("pid"), "left_semi")
     as_panel = kept.select("stream_id", F.lit("panel").alias("method"), F.lit(100.0).alias("score"), F.col("panel_epg_id").alias("epg_id"), F.lit("server xmltv.php").alias("feed"), F.lit("KEEP_PANEL").alias("action"))
-    stages = [heading, safety]
-    if covered is not None:
-        outside = q.where(~F.arrays_overlap("regions", F.array(*[F.lit(x) for x in [*covered, "ALL"]])))
-        blocked = outside.select("stream_id", F.lit("unsupported_catalog_scope").alias("method"), F.lit("UNMATCHED").alias("action"), F.lit("no catalogue for this region").alias("reason"))
-        stages += [as_panel.join(outside, "stream_id", "left_semi"), blocked]
-    exact = [*stages, ordered_lookup(q, aliases, c), rule_match(q, rules, c), exact_key_match(q, c)]
+    known = F.array(*[F.lit(x) for x in covered]).cast("array<string>") if covered is not None else None
+    plans = q.where("explicit").select("stream_id", "regions")
+    if known is None:
+        have = candidates.select("region").distinct()
+        outside = plans.join(plans.select("stream_id", F.explode("regions").alias("region")).join(have, "region").select("stream_id").distinct(), "stream_id", "left_anti")
+    else:
+        outside = plans.where(~F.arrays_overlap("regions", known))
+    outside = outside.where(~F.array_contains("regions", "ALL"))
+    blocked = outside.select("stream_id", F.lit("unsupported_catalog_scope").alias("method"), F.lit("UNMATCHED").alias("action"), F.concat(F.lit("no catalogue covers "), F.array_join("regions", "/")).alias("reason"))
+    exact = [heading, safety, bank, slot, as_panel.join(outside, "stream_id", "left_semi"), blocked, ordered_lookup(q, aliases, c, read=True), rule_match(q, rules, c), exact_key_match(q, c, read=True)]
     decided = exact[0].select("stream_id")
     for x in exact[1:]:
         decided = decided.union(x.select("stream_id"))
-    left = q.join(decided.distinct(), "stream_id", "left_anti")
-    review = fuzzy_match(left.join(kept, "stream_id", "left_anti"), c).withColumns({"action": F.lit("REVIEW"), "reason": F.lit("similar names are never matched without review")})
-    later = [containment_match(left, c, extras)]
-    if region_words:
-        core = lambda df: df.withColumn("words", F.filter("words", lambda x: ~x.isin(OPTIONAL)))
-        known = F.array(*[F.lit(x) for x in region_words])
-        local = core(left.where(F.array_contains("regions", "IN"))).where((F.size(F.array_intersect("words", known)) > 1) & (F.size(F.array_except("words", known)) > 0))
-        later.append(extension_match(local, core(c.where("region = 'IN'")), list(region_words), marks=True))
-    sub = F.col("channel_name").rlike(r"[KW][A-Z]{2,3}-(TV|DT|CD|LD)[-.]?\d")
-    stations = c.where((F.col("region") == "US") & F.col("epg_id").rlike(r"(?i)(?:^|[.(])[KW][A-Z]{2,3}-(TV|DT|LD|CD)(?=[.)]|$)") & ~F.col("epg_id").rlike(r"(?i)-(TV|DT|LD|CD)\.\d"))
-    signed = left.where(F.array_contains("regions", "US") & (F.size(callsigns(F.col("channel_name"))) == 1) & ~sub)
-    out = first_stage(channels, [*exact, *later, near_exact_match(left, c), as_panel, callsign_match(signed, stations), review])
+    left = written(q.join(decided.distinct(), "stream_id", "left_anti"), "undecided")
+    areas = sorted(v.region_words)
+    canonical = sorted({v.identity.get(x, x) for x in areas})
+    bag = lambda df: df.withColumn("words", F.filter(F.split("token_multiset", " "), lambda x: x != ""))
+    known = F.array(*[F.lit(x) for x in canonical])
+    local = bag(left.where(F.array_contains("regions", "IN"))).withColumn("regions", F.array(F.lit("IN"))).where((F.size(F.array_intersect("words", known)) > 1) & (F.size(F.array_except("words", known)) > 0))
+    extended = extension_match(local, bag(c.where("region = 'IN'")), canonical, marks=True)
+    later = [containment_match(left, c, areas, regional=True), language_equivalence_match(left, c, vocabulary), extended, near_exact_match(left, c, careful=True), as_panel, callsign_match(left.where(F.array_contains("regions", "US")), c.where("region = 'US'"))]
+    if review:
+        short = ~F.contains("descriptor_relaxed", F.lit(" ")) & (F.length("descriptor_relaxed") < 5)
+        later.append(fuzzy_match(left.where(~short).join(kept, "stream_id", "left_anti"), c, key="strict").withColumns({"action": F.lit("REVIEW"), "reason": F.lit("similar names are never matched without review")}))
+    out = first_stage(q.select(*channels.columns, *[x for x in ("regions", "core", "market") if x not in channels.columns]), [*exact, *later])
     return out.withColumn("source", F.when(F.col("action") == "REVIEW", "epgshare_candidate").when(F.col("feed") == "DUMMY_CHANNELS", "dummy").when(F.col("action") == "KEEP_PANEL", "panel").when(F.col("epg_id").isNotNull(), "epgshare").otherwise(""))
 
 
@@ -266,20 +423,50 @@ def route_plan(channels: DataFrame, markets: DataFrame) -> DataFrame:
     return out.withColumn("regions", F.array_distinct(F.concat(F.coalesce("regions", F.array().cast("array<string>")), F.array(F.lit("ALL")))))
 
 
+#: North American call signs: in brackets, or with one of these endings; a number behind is a subchannel.
+_SIGN = r"([KkWw][A-Za-z]{2,4})"
+_ENDING = "(?:TV|DT|LD|CD)"
+
+
+def _signs(text: Column, patterns: list[str]) -> Column:
+    """Distinct (sign, sub) in order of the patterns; sub: the number of a subchannel or blank."""
+    part = lambda p: lambda x: F.struct(F.upper(F.regexp_extract(x, p, 1)).alias("sign"), F.regexp_extract(x, p, 2).alias("sub"))
+    found = [F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), part(p)) for p in patterns]
+    return F.array_distinct(F.concat(*found))
+
+
 def callsigns(name: Column) -> Column:
-    """North American call signs in a name as written: K or W and two or three capitals, with an optional -TV, -DT, -CD or -LD and subchannel."""
-    return F.array_distinct(F.regexp_extract_all(name, F.lit(r"(?<![A-Za-z0-9])([KW][A-Z]{2,3})(?:-(?:TV|DT|CD|LD)\d*)?(?![A-Za-z0-9])"), F.lit(1)))
+    """(sign, sub) that a channel's name or panel id says: in brackets, or with an ending as -DT or " TV"; a bare word is none."""
+    return _signs(F.coalesce(name, F.lit("")), [rf"(?i)[\[(]\s*{_SIGN}(?:[- ]{_ENDING})?(?:[- ]?(\d+))?\s*[\])]", rf"(?i)\b{_SIGN}[- ]{_ENDING}(?:[- ]?(\d+))?\b"])
+
+
+def candidate_callsigns(guide_id: Column) -> Column:
+    """(sign, sub) that a catalogue id has as a part between points or brackets."""
+    return _signs(F.regexp_replace(F.coalesce(guide_id, F.lit("")), ID_ENDING, ""), [rf"(?i)(?:^|[.(]){_SIGN}(?:-{_ENDING})?(?:-?(\d+))?(?=[.)]|$)"])
 
 
-def callsign_match(channels: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Stage of call signs: candidates that have all call signs of a channel's name; they must be one family."""
-    q = channels.select("stream_id", callsigns(F.col("channel_name")).alias("signs")).where(F.size("signs") > 0)
-    c = candidates.select("epg_id", "feed", "family", "source_priority", "words", F.explode(callsigns(F.col("display_name"))).alias("sign"))
-    met = q.select("stream_id", F.size("signs").alias("wanted"), F.explode("signs").alias("sign")).alias("q").join(c.alias("c"), "sign")
+def callsign_match(channels: DataFrame, candidates: DataFrame, display: str | None = None) -> DataFrame:
+    """Stage of call signs: candidates that have all call signs of a channel's name and panel id, with the same subchannel; they must be one family.
+
+    display: the candidates' column of names to look in instead of their ids. A sign that no candidate has doesn't count, unless it has a subchannel: then the channel is left alone."""
+    said = F.concat_ws(" ", "channel_name", "panel_epg_id") if "panel_epg_id" in channels.columns else F.col("channel_name")
+    signs = callsigns(said) if display is None else callsigns_of_words(said)
+    q = channels.select("stream_id", signs.alias("signs")).where(F.size("signs") > 0).select("stream_id", F.explode("signs").alias("s")).select("stream_id", "s.sign", "s.sub")
+    c = candidates.select("epg_id", "feed", "family", "source_priority", "words", F.explode(candidate_callsigns(F.col("epg_id")) if display is None else callsigns_of_words(F.col(display))).alias("s")).select("*", "s.sign", "s.sub")
+    have = c.select("sign", "sub").distinct().withColumn("known", F.lit(True))
+    q = q.join(have, ["sign", "sub"], "left")
+    wanted = q.groupBy("stream_id").agg(F.count("known").alias("wanted"), F.max(F.col("known").isNull() & (F.col("sub") != "")).alias("lost")).where("wanted > 0 and not lost").select("stream_id", "wanted")
+    met = q.where("known").join(wanted, "stream_id").alias("q").join(c.alias("c"), ["sign", "sub"])
     rows = met.select("q.stream_id", "q.wanted", "sign", "c.family", preference().alias("pref")).groupBy("stream_id", "wanted", "family", "pref").agg(F.countDistinct("sign").alias("n")).where("n = wanted")
     return unique_family(rows.withColumns({"method": F.lit("verified_station_identity"), "score": F.lit(99.0)}), ["stream_id", "method", "score"])
 
 
+def callsigns_of_words(name: Column) -> Column:
+    """(sign, sub) of names that are known to be stations: also signs that stand alone, in capitals; subchannels don't count."""
+    found = F.regexp_extract_all(name, F.lit(r"(?<![A-Za-z0-9])([KW][A-Z]{2,3})(?:-(?:TV|DT|CD|LD)\d*)?(?![A-Za-z0-9])"), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: F.struct(x.alias("sign"), F.lit("").alias("sub"))))
+
+
 def extension_match(channels: DataFrame, candidates: DataFrame, region_words: list[str], most: int = 2, marks: bool = False) -> DataFrame:
     """Stage of catalogue names that say more: all words of the channel are in the candidate's name, which has at most `most` others, all region words.
 

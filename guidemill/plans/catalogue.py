@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from guidemill.functions import text as tx
 from guidemill.functions.time import iso, parse_stamp, stamp
 from guidemill.operators import equivalence, export, guide, icons, mapping, resolve
+from guidemill.operators.components import components
 
 NOW = 1_705_708_800
 SINCE = NOW - 3 * 86_400
@@ -208,7 +209,7 @@ def q23_rule_join(spark, sf_dir):
 
 def q24_ordered_fallback(spark, sf_dir):
     channels, c = _sides(spark, sf_dir)
-    aliases = table(spark, sf_dir, "part").where("p_partkey % 50 = 1").groupBy(F.col("p_name").alias("alias")).agg(F.min("p_partkey").alias("k"))
+    aliases = table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("alias")).agg(F.min("p_partkey").alias("k"))
     ids = F.array(F.concat(F.upper("alias"), F.lit("."), F.col("k") + 7), F.concat("alias", F.lit("."), F.col("k")), F.concat(F.upper("alias"), F.lit("."), F.col("k") + 50))
     aliases = aliases.select("alias", F.array().cast("array<string>").alias("regions"), ids.alias("epg_ids"))
     return resolve.ordered_lookup(channels, aliases, c, key="strict").select("stream_id", "method", "score", "epg_id", "feed", "family")
@@ -243,8 +244,9 @@ def q29_similarity(spark, sf_dir):
 
 
 def q30_components(spark, sf_dir):
-    p = table(spark, sf_dir, "part").where("p_partkey % 5 <> 0")
-    return equivalence.components(p.select(F.col("p_partkey").alias("a"), F.floor(F.col("p_partkey") / 2).alias("b")))
+    k = F.col("p_partkey")  # a part hangs on the part of half its number, but every fifth on itself
+    edges = table(spark, sf_dir, "part").select(k.alias("a"), F.when(k % 5 != 0, F.floor(k / 2)).otherwise(k).alias("b"))
+    return components(edges, "a", "b")
 
 
 def q31_safe_url(spark, sf_dir):
@@ -256,7 +258,7 @@ def q31_safe_url(spark, sf_dir):
 def q32_icon_precedence(spark, sf_dir):
     p = prepared(spark, sf_dir)
     k = F.col("c_custkey")
-    rows = table(spark, sf_dir, "customer").where("c_custkey < 400").select(
+    rows = table(spark, sf_dir, "customer").select(
         F.when(k % 9 == 0, "no").otherwise("yes").alias("enabled"), F.when(k % 3 == 0, "s1").when(k % 3 == 1, "*").otherwise("s2").alias("server_id"), F.when(k % 2 == 0, F.concat(F.lit("U"), k % 50)).otherwise("").alias("epg_id"),
         F.when(k % 2 == 1, F.concat(F.lit("CH"), k % 60)).otherwise("").alias("channel_name"), F.concat(F.lit("https://icons.example/"), k, F.lit(".png")).alias("icon_url"), F.lit("").alias("local_file"), (k % 4).cast("string").alias("priority"), k.alias("row_idx"),
     )
@@ -338,7 +340,7 @@ def q44_callsign_join(spark, sf_dir):
     channels = table(spark, sf_dir, "customer").select(k.alias("stream_id"), F.concat(F.lit("News "), F.when(k % 2 == 0, "W").otherwise("K"), letters(k), F.when(k % 3 == 0, "-DT2").otherwise("")).alias("channel_name"))
     s = F.col("s_suppkey")
     c = table(spark, sf_dir, "supplier").select(F.concat(F.lit("id"), s).alias("epg_id"), F.lit("F1").alias("feed"), F.concat(F.lit("f"), s % 70).alias("family"), (s % 4).alias("source_priority"), F.concat(F.when(s % 2 == 0, "W").otherwise("K"), letters(s), F.lit(" TV")).alias("display_name"))
-    return resolve.callsign_match(channels, resolve.with_keys(c, "display_name")).select("stream_id", "score", "epg_id", "family")
+    return resolve.callsign_match(channels, resolve.with_keys(c, "display_name"), display="display_name").select("stream_id", "score", "epg_id", "family")
 
 
 def q45_extension_join(spark, sf_dir):
@@ -352,6 +354,30 @@ def q46_multiset_difference(spark, sf_dir):
     return p.select("p_partkey", F.array_join(F.array_sort(resolve.multiset_difference(F.col("a"), F.col("b"))), " ").alias("rest"))
 
 
+def q47_resolve(spark, sf_dir):
+    """The whole waterfall: parts over size 10 are channels of the markets that their brands stand for, the others a catalogue; every stage that plain names can reach decides some."""
+    p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
+    market = F.element_at(F.array(*[F.lit(x) for x in RESOLVE_MARKETS]), (F.substring("p_brand", 7, 3).cast("int") % 4 + 1))
+    wrapped = F.when(k % 29 == 0, F.concat(F.lit("### "), F.upper("p_name"), F.lit(" ###"))).when(k % 3 == 0, F.concat(F.lower(market), F.lit(": "), F.initcap("p_name"), F.lit(" HD"))).when(k % 3 == 1, F.concat("p_name", F.lit(" ("), market, F.lit(")"))).otherwise(F.concat_ws(" ", F.split_part("p_name", F.lit(" "), F.lit(2)), F.split_part("p_name", F.lit(" "), F.lit(1))))
+    channels = p.where("p_size > 10").select(k.alias("stream_id"), wrapped.alias("channel_name"), F.concat(market, F.lit(" | things")).alias("category_name"), F.when(k % 5 == 0, F.concat(F.lit("P"), k % 100)).alias("panel_epg_id"))
+    c = p.where("p_size <= 10").select(F.concat(F.replace("p_name", F.lit(" "), F.lit(".")), F.lit(".us"), k).alias("epg_id"), F.concat(F.lit("F"), k % 3).alias("feed"), market.alias("region"), (k % 3).cast("int").alias("source_priority"))
+    c = c.where("region <> 'FR'")
+    dummies = spark.createDataFrame([("Blank", "Blank.d"), ("Plate", "Plate.d")], "name string, epg_id string")
+    known = spark.createDataFrame([(0, "old anvil", ["US", "CA"], ["nowhere", "blue.gear.us0"], {}, []), (1, "gizmo hot", ["ALL"], ["gone"], {}, [])], "pos int, alias string, regions array<string>, epg_ids array<string>, timeshift_epg_ids map<string,array<string>>, required_languages array<string>")
+    rules = spark.createDataFrame([(0, "US", "new .*", None, ["none"])], "pos int, region string, pattern string, category_pattern string, epg_ids array<string>")
+    special = spark.createDataFrame([(0, "^(plate|.* plate)$", "plate"), (1, "^(anvil red|red anvil)$", None)], "pos int, pattern string, dummy_name string")
+    panel = spark.createDataFrame([(f"p{x}", "USABLE" if x % 2 else "STALE_PAST_ONLY") for x in range(0, 100, 5)], "epg_id string, status string")
+    out = resolve.resolve(channels, c, dummies, known, rules, special, panel, review=False)
+    return out.select("stream_id", F.col("core").alias("name"), F.array_join("regions", "|").alias("regions"), "method", "score", "epg_id", "feed", "alternate", "action", "source")
+
+
+RESOLVE_MARKETS = ["US", "CA", "UK", "FR"]
+
+
+def q48_similarity_tolerance(spark, sf_dir):
+    return equivalence.schedule_similarity(_prints(spark, sf_dir), 1).withColumn("similarity", F.round("similarity", 6))
+
+
 QUERIES = {k: f for k, f in dict(globals()).items() if k[0] == "q" and k[1:3].isdigit()}
 
 CANON = f"""{PREP}, {WIN}, met as (select feed, epg_id, count(*) programme_rows, count(*) filter (stop > {NOW}) future_rows, max(stop) latest_stop,
@@ -365,7 +391,7 @@ keyed as (select p.*, case when dummy then feed_key else coalesce(c.feed, feed_k
 
 TITLE = "trim(regexp_replace(replace(lower(strip_accents(text)), '&', ' and '), '[^a-z0-9]+', ' ', 'g'))"
 _EMPTY = ", ".join(f"'{x}'" for x in tx.EMPTY_TITLES)
-PRINTS = f"{PROG}, prints as (select distinct epg_id, cast(floor(start / 3600) as bigint) bucket, title from prog where start <= {NOW} + 240 * 3600 and coalesce(stop, start) >= {NOW} and title <> 'No information')"
+PRINTS = f"{PROG}, prints as (select distinct epg_id, cast(floor(start / 3600) as bigint) bucket, title from prog where start <= {NOW} + 240 * 3600 and coalesce(stop, start + 3600) >= {NOW} and title <> 'No information')"
 EXP = normal(REJECT + ",'IGNORE','REJECTED'")
 
 
@@ -419,9 +445,9 @@ ORACLE_SQL = {
       t as (select * from m qualify n = max(n) over (partition by stream_id)), u as (select *, row_number() over (partition by stream_id order by pr, length(epg_id), lower(epg_id)) k, count(distinct family) over (partition by stream_id rows between unbounded preceding and unbounded following) f from t)
       select stream_id, 'regional_context_containment' as "method", 97.5::double score, epg_id, feed, family from u where k = 1 and f = 1""",
     "q23_rule_join": f"""with {SIDES}, r(pos, region, pat, cpat, ids) as (values (0, 'Brand#2', 'small (ring|bolt)', null, ['none', 'small ring.0']), (1, 'Brand#3', 'hot .*', 'E.*Y', ['hot gear.3']), (2, 'Brand#3', '(hot|red) gear', null, ['small ring.0', 'hot gear.3']), (3, 'Brand#17', 'red widget', null, ['nowhere'])),
-      k as (select p_name || '.' || p_partkey epg_id, p_type family from part where p_partkey < 200), e as (select stream_id, pos, unnest(ids) id, generate_subscripts(ids, 1) ip from q join r using (region) where regexp_full_match(nm, pat) and (cpat is null or regexp_matches(category_name, cpat)))
+      k as (select p_name || '.' || p_partkey epg_id, p_type family from part), e as (select stream_id, pos, unnest(ids) id, generate_subscripts(ids, 1) ip from q join r using (region) where regexp_full_match(nm, pat) and (cpat is null or regexp_matches(category_name, cpat)))
       select stream_id, 'verified_rule' as "method", epg_id, 'F0' feed, family from (select *, row_number() over (partition by stream_id order by pos, ip) z from e join k on lower(id) = lower(epg_id)) where z = 1""",
-    "q24_ordered_fallback": f"""with {SIDES}, a as (select p_name al, min(p_partkey) k from part where p_partkey % 50 = 1 group by all), i as (select al, unnest([upper(al) || '.' || (k + 7), al || '.' || k, upper(al) || '.' || (k + 50)]) id, unnest([0, 1, 2]) ip from a)
+    "q24_ordered_fallback": f"""with {SIDES}, a as (select p_name al, min(p_partkey) k from part group by all), i as (select al, unnest([upper(al) || '.' || (k + 7), al || '.' || k, upper(al) || '.' || (k + 50)]) id, unnest([0, 1, 2]) ip from a)
       select stream_id, 'approved_knowledge' as "method", 100.0::double score, epg_id, feed, family from (select *, row_number() over (partition by stream_id order by ip) z from q join i on nm = al join (select epg_id, feed, family from c) c on lower(id) = lower(epg_id)) where z = 1""",
     "q25_stage_waterfall": """select c_custkey stream_id, case when c_acctbal > 9000 then 0 when c_acctbal < 0 then 1 when c_mktsegment = 'HOUSEHOLD' then 2 end stage, case when c_acctbal > 9000 then 'rich' when c_acctbal < 0 then 'poor' when c_mktsegment = 'HOUSEHOLD' then 'house' else 'unmatched' end as "method",
       case when c_acctbal > 9000 then 100.0::double when c_acctbal < 0 then null when c_mktsegment = 'HOUSEHOLD' then 97.5 end score, case when c_acctbal > 9000 then 'r' || c_custkey when c_acctbal < 0 then null when c_mktsegment = 'HOUSEHOLD' then 'h' || c_custkey end epg_id,
@@ -429,10 +455,30 @@ ORACLE_SQL = {
       case when c_acctbal > 9000 then '' when c_acctbal < 0 then 'below zero' when c_mktsegment = 'HOUSEHOLD' then '' else 'no stage decided' end reason from customer""",
     "q28_fingerprint": f"with {PRINTS} select epg_id, bucket, title from prints",
     "q29_similarity": f"with {PRINTS}, n as (select epg_id, count(*) n from prints group by all), m as (select a.epg_id a, b.epg_id b, count(*) same from prints a join prints b on a.title = b.title and a.bucket = b.bucket and a.epg_id < b.epg_id group by all) select m.a, m.b, same, round(same / greatest(x.n, y.n), 6) similarity from m join n x on x.epg_id = m.a join n y on y.epg_id = m.b",
-    "q30_components": "with recursive up(node, top) as (select p_partkey, p_partkey from part where p_partkey % 5 <> 0 union select p_partkey // 2, p_partkey // 2 from part where p_partkey % 5 <> 0 union select node, top // 2 from up where top % 5 <> 0) select node, min(top) component from up group by node",
+    "q47_resolve": """with p as (select *, (['US', 'CA', 'UK', 'FR'])[cast(substr(p_brand, 7, 3) as int) % 4 + 1] market, string_split(p_name, ' ') w, p_partkey k from part),
+      q as (select k stream_id, market, case when k % 3 = 2 and k % 29 <> 0 then w[2] || ' ' || w[1] else p_name end nm, case when k % 29 = 0 then '### ' || upper(p_name) || ' ###' when k % 3 = 0 then array_to_string(list_transform(w, lambda x: upper(x[1]) || x[2:]), ' ') || ' HD' when k % 3 = 1 then p_name else w[2] || ' ' || w[1] end "name",
+          k % 29 = 0 heading, case when k % 5 = 0 then 'P' || (k % 100) end pid, k % 5 = 0 and (k % 100) % 2 = 1 usable from p where p_size > 10),
+      c as (select replace(p_name, ' ', '.') || '.us' || k epg_id, 'F' || (k % 3) feed, market, k % 3 pr, p_name nm, array_to_string(list_sort(w), ' ') bag from p where p_size <= 10 and market <> 'FR'),
+      have as (select distinct market from c),
+      m as (select stream_id, q.nm = c.nm strict, c.*, row_number() over (partition by stream_id, q.nm = c.nm order by pr, length(c.epg_id), lower(c.epg_id)) r from q join c on q.market = c.market and array_to_string(list_sort(string_split(q.nm, ' ')), ' ') = c.bag),
+      best as (select stream_id, strict, epg_id, feed, (select epg_id from m n where n.stream_id = m.stream_id and n.strict = m.strict and n.r = 2) alternate0 from m where r = 1),
+      bags as (select stream_id, epg_id, row_number() over (partition by stream_id order by pr, length(epg_id), lower(epg_id)) r, feed from m),
+      s as (select q.*, a.epg_id id1, a.feed feed1, a.alternate0 alt1, b.epg_id id2, b.feed feed2, b2.epg_id alt2,
+          case when heading then 0 when regexp_full_match(nm, 'plate|.* plate') then 1 when regexp_full_match(nm, 'anvil red|red anvil') then 2 when q.market not in (select market from have) and usable then 3 when q.market not in (select market from have) then 4 when a.epg_id is not null then 5 when b.epg_id is not null then 6 when usable then 7 else 8 end st
+        from q left join best a on a.stream_id = q.stream_id and a.strict left join bags b on b.stream_id = q.stream_id and b.r = 1 left join bags b2 on b2.stream_id = q.stream_id and b2.r = 2)
+      select stream_id, case when heading then '### ' || upper(nm) || ' ###' else "name" end as "name", market regions, (['heading_placeholder', 'safety_rule', 'safety_rule', 'panel', 'unsupported_catalog_scope', 'canonical_identity', 'token_multiset', 'panel', 'unmatched'])[st + 1] as "method",
+        ([100.0, 100.0, 100.0, 100.0, null, 100.0, 98.5, 100.0, null]::double[])[st + 1] score, case st when 0 then 'Blank.d' when 1 then 'Plate.d' when 3 then pid when 5 then id1 when 6 then id2 when 7 then pid end epg_id,
+        case st when 0 then 'DUMMY_CHANNELS' when 1 then 'DUMMY_CHANNELS' when 3 then 'server xmltv.php' when 5 then feed1 when 6 then feed2 when 7 then 'server xmltv.php' end feed, case st when 5 then alt1 when 6 then alt2 end alternate,
+        (['AUTO_DUMMY', 'AUTO_DUMMY', 'UNMATCHED', 'KEEP_PANEL', 'UNMATCHED', 'AUTO_EPGSHARE', 'AUTO_EPGSHARE', 'KEEP_PANEL', 'UNMATCHED'])[st + 1] as "action", (['dummy', 'dummy', '', 'panel', '', 'epgshare', 'epgshare', 'panel', ''])[st + 1] as source from s""",
+    "q48_similarity_tolerance": f"""with recursive {PRINTS}, n as (select epg_id, count(*) n from prints group by all), ids as (select distinct a.epg_id a, b.epg_id b, a.title from prints a join prints b on a.title = b.title and abs(a.bucket - b.bucket) <= 1 and a.epg_id < b.epg_id),
+      l as (select epg_id, title, list_sort(list(bucket)) k from prints group by all), start as (select a, b, x.k xs, y.k ys, title from ids join l x using (title) join l y using (title) where x.epg_id = a and y.epg_id = b),
+      walk(a, b, title, i, xs, rest, same) as (select a, b, title, 1, xs, ys, 0 from start union all
+        select a, b, title, i + 1, xs, case when f is null then rest else list_filter(rest, lambda z: z <> f) end, same + (f is not null)::int from (select *, case when list_contains(rest, xs[i]) then xs[i] when list_contains(rest, xs[i] - 1) then xs[i] - 1 when list_contains(rest, xs[i] + 1) then xs[i] + 1 end f from walk where i <= len(xs))),
+      t as (select a, b, cast(sum(same) as bigint) same from walk where i = len(xs) + 1 group by a, b) select t.a, t.b, same, round(same / greatest(x.n, y.n), 6) similarity from t join n x on x.epg_id = t.a join n y on y.epg_id = t.b""",
+    "q30_components": "with recursive up(node, top) as (select p_partkey, p_partkey from part union select p_partkey // 2, p_partkey // 2 from part where p_partkey % 5 <> 0 union select node, top // 2 from up where top % 5 <> 0) select node, min(top) component from up group by node",
     "q31_safe_url": "select page_id, case when page_id % 5 = 1 then 'https:' || regexp_replace(url, '^https?:', '') when page_id % 5 in (2, 3) then null else url end safe from pages",
     "q32_icon_precedence": f"""with {PREP}, o as (select c_custkey k, case when c_custkey % 3 = 0 then 's1' when c_custkey % 3 = 1 then '*' else 's2' end scope, case when c_custkey % 2 = 0 then 'epg_id' else 'channel_name' end b, case when c_custkey % 2 = 0 then 'u' || (c_custkey % 50) else 'ch' || (c_custkey % 60) end ky,
-        'https://icons.example/' || c_custkey || '.png' url, (c_custkey % 4) * 1000000 - c_custkey pr from customer where c_custkey < 400 and c_custkey % 9 <> 0), p as (select distinct epg_id, channel_name, feed_key, dummy from prep),
+        'https://icons.example/' || c_custkey || '.png' url, (c_custkey % 4) * 1000000 - c_custkey pr from customer where c_custkey % 9 <> 0), p as (select distinct epg_id, channel_name, feed_key, dummy from prep),
       s as (select distinct 'F' || (event_id % 3) feed, 'u' || user_id epg_id from events), f as (select p.*, (case when scope = 's1' then 0 else 2 end) + (case when b = 'epg_id' then 0 else 1 end) tier, -pr np, url, 'config' origin from p join o on (b = 'epg_id' and ky = p.epg_id or b = 'channel_name' and ky = p.channel_name) where scope <> 's2'
         union all select p.*, 9, 0, 'https://x.example/' || s.feed || s.epg_id, 'source_xmltv:' || s.feed from p join s on s.feed = p.feed_key and s.epg_id = p.epg_id), e as (select channel_name output_id, tier, np, url, origin from f union all select epg_id, tier, np, url, origin from f where not dummy)
       select output_id, url, origin from (select *, row_number() over (partition by output_id order by tier, np, url, origin) z from e) where z = 1""",

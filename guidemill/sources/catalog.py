@@ -115,13 +115,14 @@ def read_mappings(spark: SparkSession, folder: str, servers: list[str]) -> dict[
     return {s: read_text_csv(spark, p) for s, p in paths.items()}
 
 
+#: Keys under which inventory answers hold their rows, in the order in which they are tried: fixed values.
+ANSWER_KEYS = ["data", "results", "items", "streams", "live_streams", "channels"]
+
+
 def normalize_api_list(payload: object) -> list[dict]:
-    """The rows of an inventory answer: a list, a list under a usual key, or a mapping of rows."""
-    if isinstance(payload, list):
-        return [x for x in payload if isinstance(x, dict)]
+    """The rows of an inventory answer: a list, a list under a usual key, or a mapping of nothing but rows."""
     if isinstance(payload, dict):
-        for key in ("data", "items", "results", "channels", "streams", "categories"):
-            if isinstance(payload.get(key), list):
-                return normalize_api_list(payload[key])
-        return [x for x in payload.values() if isinstance(x, dict)]
-    return []
+        under = next((payload[k] for k in ANSWER_KEYS if isinstance(payload.get(k), list)), None)
+        values = list(payload.values())
+        payload = under if under is not None else values if all(isinstance(x, dict) for x in values) else []
+    return [x for x in payload if isinstance(x, dict)] if isinstance(payload, list) else []

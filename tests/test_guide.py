@@ -7,11 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from guidemill.functions import similarity
+from guidemill.functions import names, similarity
 from guidemill.functions.text import bag_key, id_to_name, is_informative, normal_title, repair_encoding, tokens
 from guidemill.functions.time import iso, parse_iso, parse_stamp, stamp
 from guidemill.operators import equivalence, export, guide, icons, mapping, publish, resolve
-from guidemill.sources import catalog, xmltv
+from guidemill.sources import aliases, catalog, xmltv
 
 NOW = 1_705_708_800
 
@@ -45,6 +45,8 @@ def test_titles(spark):
         assert one(spark, text, is_informative) is want
     assert one(spark, "cafÃ©", repair_encoding) == "café" and one(spark, "café", repair_encoding) == "café"
     assert one(spark, "BigSports2HD+.us", id_to_name) == "Big Sports2 HD plus"
+    for text, want in {"Fox.News": "Fox News", "Kxyz.us_locals1": "Kxyz", "Sports.Dummy.us": "Sports", "a/b-c.uk2": "a b c"}.items():
+        assert one(spark, text, id_to_name) == want
     assert one(spark, "b a b", lambda x: bag_key(tokens(x))) == "a b b"
 
 
@@ -94,6 +96,7 @@ def test_registry_errors(spark):
             catalog.parse_registry(json.dumps(bad))
     assert json.loads(catalog.registry_json(registry(spark)))["sources"][0]["name"] == "DUMMY_CHANNELS"
     assert catalog.normalize_api_list({"data": [{"a": 1}, 2]}) == [{"a": 1}] and catalog.normalize_api_list({"1": {"a": 1}}) == [{"a": 1}] and catalog.normalize_api_list(3) == []
+    assert catalog.normalize_api_list({"live_streams": [{"a": 1}], "channels": [{"b": 1}]}) == [{"a": 1}] and catalog.normalize_api_list({"x": 1, "y": {"a": 1}}) == []
 
 
 def test_catalog(spark):
@@ -179,44 +182,135 @@ def test_refresh(spark):
     assert guide.refresh_due(None, NOW) and guide.refresh_due(NOW - 73 * 3600, NOW) and not guide.refresh_due(NOW - 4 * 3600, NOW) and guide.refresh_due(NOW, NOW, forced=True)
 
 
+CANDIDATES = "epg_id string, feed string, region string, source_priority int"
+RULES = "pos int, region string, pattern string, category_pattern string, epg_ids array<string>"
+SPECIAL = "pos int, pattern string, dummy_name string"
+
+
+def resolved(spark, channels, candidates, alias_rows=(), rules=(), special=(), usable=(), **options):
+    """stream_id: row of resolve() for channels (stream_id, channel_name, category_name, panel_epg_id) and candidates (epg_id, feed, region)."""
+    c = spark.createDataFrame([(*x, 10) for x in candidates], CANDIDATES)
+    q = spark.createDataFrame(channels, "stream_id string, channel_name string, category_name string, panel_epg_id string")
+    dummies = spark.createDataFrame([("Blank", "Blank.d"), ("PPV", "PPV.d"), ("Movie", "Movie.d"), ("Event", "Event.d")], "name string, epg_id string")
+    known = aliases.aliases(spark.createDataFrame([(*x, k) for k, x in enumerate(alias_rows)], "alias string, regions string, epg_ids string, timeshift_epg_ids string, required_languages string, row_idx int"))
+    tables = spark.createDataFrame(list(rules), RULES), spark.createDataFrame(list(special), SPECIAL), spark.createDataFrame([(x, "USABLE") for x in usable], "epg_id string, status string")
+    return {r.stream_id: r for r in resolve.resolve(q, c, dummies, known, *tables, **options).collect()}
+
+
 def test_resolution_waterfall(spark):
-    c = spark.createDataFrame(
-        [(f"{n.replace(' ', '')}.us", "US1", "US", n, n.lower(), 10) for n in ("Sports One", "Sports One West", "Sports Two", "Movie Plus", "Cartoon World", "History Chanel")] + [("Twin.a", "US1", "US", "Twin", "twin a", 10), ("Twin.b", "US1", "US", "Twin", "twin b", 10)],
-        "epg_id string, feed string, region string, display_name string, family string, source_priority int",
-    )
-    channels = spark.createDataFrame(
-        [("1", "SPORTS ONE HD"), ("2", "Sports One West"), ("3", "##### SPORTS #####"), ("4", "Old Alias"), ("5", "PPV Event 12"), ("6", "Cartoon Wrld"), ("7", "Twin"), ("8", "Nothing Like It"), ("9", "Sports Two Texas"), ("10", "Sports Three"), ("11", "Kept")],
-        "stream_id string, channel_name string",
-    ).withColumns({"category_name": F.lit("US"), "regions": F.array(F.lit("US")), "panel_epg_id": F.when(F.col("stream_id") == "11", "p11")})
-    dummies = spark.createDataFrame([("Blank", "Blank.d"), ("PPV", "PPV.d")], "name string, epg_id string")
-    aliases = spark.createDataFrame([("old alias", [], ["gone", "MoviePlus.us"])], "alias string, regions array<string>, epg_ids array<string>")
-    rules = spark.createDataFrame([], "pos int, region string, pattern string, category_pattern string, epg_ids array<string>")
-    special = spark.createDataFrame([(0, "^ppv ", "PPV"), (1, "^xxx", None)], "pos int, pattern string, dummy_name string")
-    panel = spark.createDataFrame([("P11", "USABLE")], "epg_id string, status string")
-    got = {r.stream_id: r for r in resolve.resolve(channels, c, dummies, aliases, rules, special, panel, ["texas"]).collect()}
-    assert {k: r.epg_id for k, r in got.items() if k not in ("7", "10")} == {"1": "SportsOne.us", "2": "SportsOneWest.us", "3": "Blank.d", "4": "MoviePlus.us", "5": "PPV.d", "6": "CartoonWorld.us", "8": None, "9": "SportsTwo.us", "11": "p11"}
-    assert got["7"].action == "REVIEW" and got["7"].margin == 0 and got["11"].action == "KEEP_PANEL" and got["3"].action == "AUTO_DUMMY"
-    assert got["10"].action in ("REVIEW", "UNMATCHED") and got["6"].method == "near_exact_orthography"
-
-
-def test_waterfall_knows_call_signs_and_extensions(spark):
-    c = spark.createDataFrame(
-        [("KABC-DT.us", "US1", "US", "KABC Los Angeles", "kabc", 10), ("Kids.us", "US1", "US", "KIDS Planet", "kids", 10), ("Khabar.in", "IN1", "IN", "Khabar Bihar Jharkhand Himachal", "khabar", 10)],
-        "epg_id string, feed string, region string, display_name string, family string, source_priority int",
-    )
-    channels = spark.createDataFrame(
-        [("1", "Seven Eyewitness (KABC) Southland", "US", None), ("2", "KABC-DT2 Retro Reruns Forever", "US", None), ("3", "Zebra KIDS Unrelated Words", "US", None), ("4", "Khabar Bihar Jharkhand HD", "IN", None), ("5", "Khabar Bihar", "IN", None), ("6", "Seven Eyewitness (KABC) Southland", "US", "p")],
-        "stream_id string, channel_name string, region string, panel_epg_id string",
-    ).select("stream_id", "channel_name", F.lit("x").alias("category_name"), F.array("region").alias("regions"), "panel_epg_id")
-    none = lambda schema: spark.createDataFrame([], schema)
-    tables = none("name string, epg_id string"), none("alias string, regions array<string>, epg_ids array<string>"), none("pos int, region string, pattern string, category_pattern string, epg_ids array<string>"), none("pos int, pattern string, dummy_name string")
-    panel = spark.createDataFrame([("p", "USABLE")], "epg_id string, status string")
-    got = {r.stream_id: r for r in resolve.resolve(channels, c, *tables, panel, ["texas"], region_words=["bihar", "jharkhand", "himachal"]).collect()}
-    assert (got["1"].epg_id, got["1"].method, got["1"].action) == ("KABC-DT.us", "verified_station_identity", "AUTO_EPGSHARE")
-    assert (got["4"].epg_id, got["4"].method, got["4"].action) == ("Khabar.in", "regional_catalog_extension", "AUTO_EPGSHARE")
+    names = ["Alpha.One.us", "Alpha.One.West.us", "Alpha.Two.us", "Movie.Plus.us", "Cartoon.World.us", "History.Vault.us"]
+    channels = [("1", "Alpha One HD"), ("2", "Alpha One West"), ("3", "##### SPORTS #####"), ("4", "Old Alias"), ("5", "PPV Event 12"), ("6", "Cartoon Worldd"), ("8", "Nothing Like It"), ("10", "Alpha Three"), ("11", "Kept"), ("12", "One Alpha"), ("13", "AlphaOne"), ("14", "Sports Movies 5"), ("15", "xxx")]
+    got = resolved(spark, [(k, n, "USA", "p11" if k == "11" else None) for k, n in channels], [(n, "US1", "US") for n in names], [("old alias", "", "gone|Movie.Plus.us", "", "")], special=[(0, "^ppv ", "PPV"), (1, "^xxx", None)], usable=["P11"])
+    want = {"1": "Alpha.One.us", "2": "Alpha.One.West.us", "3": "Blank.d", "4": "Movie.Plus.us", "5": "PPV.d", "6": "Cartoon.World.us", "8": None, "11": "p11", "12": "Alpha.One.us", "14": "Movie.d", "15": None}
+    assert {k: got[k].epg_id for k in want} == want
+    methods = {"1": "canonical_identity", "3": "heading_placeholder", "4": "approved_knowledge", "5": "safety_rule", "6": "near_exact_orthography", "11": "panel", "12": "token_multiset", "14": "synthetic_numbered_genre_slot", "15": "safety_rule"}
+    assert {k: got[k].method for k in methods} == methods and got["15"].action == "UNMATCHED"
+    assert got["10"].action in ("REVIEW", "UNMATCHED") and got["13"].epg_id == "Alpha.One.us"
+
+
+def test_waterfall_of_the_reference_cases(spark):
+    """Wrappers, markets and languages: the Indian package, its North American editions, and what must not be matched."""
+    catalogue = [("PTC.PUNJABI.in", "IN4", "IN"), ("PTC.Punjabi.TV.ca2", "CA2", "CA"), ("PTC.PUNJABI.GOLD.in", "IN4", "IN"), ("PTC.Simran.in", "IN4", "IN"), ("PTC.CHAK.DE.in", "IN4", "IN"), ("MH.ONE.in", "IN4", "IN"), ("KTV.in", "IN4", "IN"), ("KTV.HD.in", "IN4", "IN"), ("Discovery.Science.in", "IN4", "IN"), ("USA.Network.East.us2", "US2", "US"), ("HBO2.us2", "US2", "US"), ("News.Nation.in", "IN4", "IN")]
+    cases = {
+        "PB: PTC PUNJABI": "PTC.PUNJABI.in", "PB | PTC PUNJABI | USA": "PTC.Punjabi.TV.ca2", "PB: PTC PUNJABI USA HD": "PTC.Punjabi.TV.ca2", "PB: PTC Punjabi Gold HD": "PTC.PUNJABI.GOLD.in", "PB: PTC SIMRAN": "PTC.Simran.in", "PB: PTC CHAKDE": "PTC.CHAK.DE.in",
+        "PB: MH ONE": "MH.ONE.in", "PB: NEWS NATION PUNJABI": "News.Nation.in",
+    }
+    channels = [(n, n, "PUNJABI", None) for n in cases] + [("ktv", "TM: KTV FHD (usa)", "TAMIL | MOVIES", None), ("sci", "IN: Discovry Sciense", "INDIA | DOCUMENTARY", None), ("usa", "USA Network East", "USA", None), ("hbo", "HBO", "USA", None), ("no", "Kanal 5", "NORWAY", None), ("kept", "Kanal 6", "NORWAY", "panel.id")]
+    got = resolved(spark, channels, catalogue, usable=["panel.id"])
+    assert {n: got[n].epg_id for n in cases} == cases and {got[n].action for n in cases} == {"AUTO_EPGSHARE"}
+    assert got["PB: NEWS NATION PUNJABI"].method == "category_language_equivalence"
+    assert got["ktv"].regions == ["US", "CA"] and got["ktv"].action != "AUTO_EPGSHARE"
+    assert got["sci"].action != "AUTO_EPGSHARE" and got["usa"].epg_id == "USA.Network.East.us2" and got["hbo"].action != "AUTO_EPGSHARE"
+    assert got["no"].method == "unsupported_catalog_scope" and got["kept"].action == "KEEP_PANEL"
+
+
+def test_aliases_of_shifts_languages_and_markets(spark):
+    known = [("discovery turbo", "UK", "Discovery.HD.uk", '{"+1": "Discovery+1.uk"}', ""), ("tv9 news", "IN", "VIP.News.in", "", "gujarati"), ("discovery turbo", "uk", "Discovery.uk", '{"1": "Other+1.uk"}', "")]
+    catalogue = [("Discovery.HD.uk", "UK1", "UK"), ("Discovery+1.uk", "UK1", "UK"), ("VIP.News.in", "IN1", "IN")]
+    channels = [("1", "UK: Discovery Turbo", "UK", None), ("2", "UK: Discovery Turbo +1", "UK", None), ("3", "TV9 News", "GUJARATI", None), ("4", "TV9 News", "TAMIL", None), ("5", "US: Discovery Turbo", "USA", None)]
+    got = resolved(spark, channels, catalogue, known, review=False)
+    assert {k: r.epg_id for k, r in got.items()} == {"1": "Discovery.HD.uk", "2": "Discovery+1.uk", "3": "VIP.News.in", "4": None, "5": None}
+    merged = aliases.aliases(spark.createDataFrame([(*x, k) for k, x in enumerate(known)], "alias string, regions string, epg_ids string, timeshift_epg_ids string, required_languages string, row_idx int"))
+    rows = {r.alias: r for r in merged.collect()}
+    assert len(rows) == 2 and rows["discovery turbo"].epg_ids == ["Discovery.HD.uk", "Discovery.uk"] and rows["discovery turbo"].timeshift_epg_ids == {"1": ["Discovery+1.uk", "Other+1.uk"]}
+    again = aliases.aliases(aliases.alias_table(merged), order="pos")
+    assert sorted(map(str, again.collect())) == sorted(map(str, merged.collect()))
+
+
+def test_approved_memory_round_trip(spark):
+    mapping_rows = spark.createDataFrame([("s1", "55", "PUNJABI", "PB: My Provider PTC", "APPROVED", "epgshare", "PTC.PUNJABI.in", 0), ("s1", "56", "PUNJABI", "PB: Other", "REVIEW", "epgshare", "x.in", 1), ("s1", "57", "PUNJABI", "PB: Third", "APPROVED", "panel", "y", 2)], "server_id string, stream_id string, category_name string, channel_name string, action string, source string, epg_id string, row_idx int")
+    memory = aliases.approved_memory(mapping_rows, spark.createDataFrame([("PTC.PUNJABI.in", "IN")], "epg_id string, region string"))
+    assert [tuple(r)[:3] for r in memory.collect()] == [("my provider ptc", "IN", "PTC.PUNJABI.in")] and not {"stream_id", "server_id"} & set(memory.columns)
+    found = [tuple(r)[:3] for r in memory.collect()]
+    got = resolved(spark, [("1", "PB: My Provider PTC", "PUNJABI", None)], [("PTC.PUNJABI.in", "IN4", "IN")], [(*x, "", "") for x in found])
+    assert (got["1"].epg_id, got["1"].method, got["1"].action) == ("PTC.PUNJABI.in", "approved_knowledge", "AUTO_EPGSHARE")
+
+
+def test_equivalence_group_reader(spark, tmp_path):
+    path = str(tmp_path / "groups.json")
+    with open(path, "w") as f:
+        json.dump({"scheduleEquivalenceGroups": ["a.us|b.us", {"ids": ["c", "d", "c"]}, ["alone"]]}, f)
+    got = aliases.equivalence_groups(spark, path).collect()
+    assert {r.epg_id for r in got} == {"a.us", "b.us", "c", "d"} and len({r.label for r in got}) == 2
+    assert aliases.equivalence_groups(spark, [["B.us", "A.us"]]).first().label == next(r.label for r in got if r.epg_id == "a.us")
+    assert aliases.equivalence_groups(spark, {}).collect() == []
+
+
+@pytest.mark.parametrize(
+    ("category", "name", "core", "plan", "wrapper"),
+    [
+        ("PUNJABI", "PBHD: PTC PUNJABI", "PTC PUNJABI", ["IN"], "PBHD"), ("PUNJABI", "PB-PTC PUNJABI", "PTC PUNJABI", ["IN"], "PB"), ("PUNJABI", "USA PTC PUNJABI", "PTC PUNJABI", ["US", "CA"], "USA"), ("PUNJABI", "US_PTC PUNJABI", "PTC PUNJABI", ["US", "CA"], "US"),
+        ("TELUGU", "D2H: ETV TELUGU HD", "ETV TELUGU HD", ["IN"], "D2H"), ("TELUGU", "D 2 H: ETV TELUGU HD", "ETV TELUGU HD", ["IN"], "D 2 H"), ("PUNJABI", "TATA PLAY: PTC PUNJABI HD", "PTC PUNJABI HD", ["IN"], "TATA PLAY"),
+        ("USA", "USA Network East", "USA Network East", ["US"], None), ("AS | TAMIL", "TAM - KTV", "KTV", ["IN"], "TAM"), ("NA | CANADA", "Fox Sports 1 (FS1) [EN]", "Fox Sports 1", ["CA"], None), ("", "Kanal 5", "Kanal 5", [], None),
+    ],
+)
+def test_names_lose_their_wrappers(category, name, core, plan, wrapper):
+    got = names.Reader().channel(name, category)
+    assert (got["core"], got["plan"]) == (core, plan) and (wrapper is None and got["wrappers"] == [] or wrapper in got["wrappers"])
+
+
+def test_words_keys_and_marks_of_names():
+    read = names.Reader()
+    assert read.words("HBO2 4K+1 H265 News18 Chakde Sci two") == ["hbo", "2", "4k", "plusshift1", "h265", "news18", "chak", "de", "science", "2"]
+    assert read.key("GAME+ Game Plus HD") == "game plus" and read.key("The Movie Channel", relaxed=True) == "movies"
+    assert "fox sports 1" in read.identity_keys("Fox Sports 1 FS 1") and read.bag_key("Times Punjabi TV") == "punjab time"
+    marks = read.marks("Show East +1 UHD 7 News")
+    assert (marks["direction"], marks["shift"], marks["numbers"], marks["content"], marks["quality"]) == ("east", 1, ["7"], ["news"], "uhd")
+    assert read.is_heading("### A ###") and not read.is_heading("## A ##") and read.is_heading("=-*#~=#*=* x") and not read.is_heading("**")
+    assert read.numbered_slot("Tamil Cinema 12", "TAMIL | MOVIES", ["tamil", "cinema", "12"]) == "movie" and read.numbered_slot("Fox Sports 1", "SPORTS", ["fox", "sports", "1"]) == ""
+    assert read.prefix("ENG - Sky") == "eng" and read.prefix("### x: y") == ""
+
+
+def test_banks_and_prefixes_of_an_inventory(spark):
+    rows = [(str(k), "c", f"Cinema Box {k}", "MOVIES") for k in (1, 2, 3)] + [(str(k), "c", f"ABC: Station {k} News", "MOVIES") for k in (10, 11)] + [("20", "d", "Sky 1", "UK"), ("21", "d", "Sky 2", "UK")]
+    read = resolve.read_channels(spark.createDataFrame(rows, "stream_id string, category_id string, channel_name string, category_name string"))
+    assert {r.stream_id: (r.role, r.slots) for r in resolve.bank_signals(read).collect()} == {k: ("movie", 3) for k in "123"}
+    assert {r.stream_id: r.core for r in read.collect()}["10"] == "Station 10 News"  # ABC stands before 40 % of the category's names
+
+
+def test_call_signs_and_extensions(spark):
+    catalogue = [("KABC-DT.Los.Angeles.us_locals1", "US1", "US"), ("KSHB-DT.us_locals1", "US1", "US"), ("Khabar.Bihar.Jharkhand.Himachal.in", "IN1", "IN")]
+    channels = [("1", "Seven Eyewitness (KABC) Southland", "USA", None), ("2", "KSHB-DT3 Retro Reruns Forever", "USA", None), ("3", "Zebra KIDS Unrelated Words", "USA", None), ("4", "Khabar Bihar Jharkhand HD", "INDIA", None), ("5", "Khabar Bihar", "INDIA", None), ("6", "Seven Eyewitness (KABC) Southland", "USA", "p"), ("7", "Nine KSHB-TV", "USA", None)]
+    got = resolved(spark, channels, catalogue, usable=["p"])
+    assert (got["1"].epg_id, got["1"].method) == ("KABC-DT.Los.Angeles.us_locals1", "verified_station_identity") and got["7"].epg_id == "KSHB-DT.us_locals1"
+    assert (got["4"].epg_id, got["4"].method) == ("Khabar.Bihar.Jharkhand.Himachal.in", "regional_catalog_extension")
     assert got["6"].action == "KEEP_PANEL" and all(got[k].action in ("REVIEW", "UNMATCHED") for k in "235")
 
 
+def test_gate_of_numbers_and_directions(spark):
+    said = [("Movies", "Movies 2"), ("Movies 2", "Movies"), ("Movies East", "Movies"), ("Movies", "Movies East"), ("Movies West", "Movies"), ("Movies 2", "Movies 3"), ("Movies +1", "Movies"), ("Movies Gold", "Movies")]
+    df = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(said)], "k int, a string, b string")
+    q, c = resolve.with_keys(df, "a").alias("q"), resolve.with_keys(df, "b").alias("c")
+    met = q.join(c, (F.col("q.k") == F.col("c.k")) & resolve.compatible("q", "c")).select("q.k").collect()
+    assert {r.k for r in met} == {1, 2}
+
+
+def test_greedy_similarity(spark):
+    prints = spark.createDataFrame([("A", 1, "t"), ("A", 2, "t"), ("B", 0, "t"), ("B", 1, "t"), ("C", 1, "t"), ("C", 3, "t")], "epg_id string, bucket long, title string")
+    got = {(r.a, r.b): r.same for r in equivalence.schedule_similarity(prints, 1).collect()}
+    assert got == {("A", "B"): 1, ("A", "C"): 2, ("B", "C"): 1}
+
+
 def test_fuzzy_candidates_are_all_pairs(spark):
     chance = random.Random(4)
     words = ["red", "blue", "bolt", "rod", "eurosport", "eurosprt", "sports", "sport", "movies", "tv5", "é", "a", "news", "newsroom"]
