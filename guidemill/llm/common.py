@@ -1,50 +1,14 @@
-"""Shared pieces: written intermediate tables, the word kernel, connected components."""
+"""Shared pieces: the word kernel, and from the library written intermediate tables and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-MASK = (1 << 64) - 1
-
-
-# ---------------------------------------------------------------- written tables
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir. Only a local session without one gets its own."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = tempfile.mkdtemp(prefix="guidemill-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df written to the shared folder as Parquet and read again, so later steps start from files, not from lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.written_path = path
-    system, where = _file_system(spark, path)
-    system.deleteOnExit(where)  # what isn't removed before goes with the application
-    return out
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
+from guidemill.operators.components import components
+from guidemill.sources.tables import remove, shared_dir, written
 
-def remove(df: DataFrame) -> None:
-    """Delete what written() made, once nothing reads it any more."""
-    system, where = _file_system(df.sparkSession, df.written_path)
-    system.delete(where, True)
+__all__ = ["combined", "components", "remove", "run_hashes", "shared_dir", "shingle_sets", "utf8_slices", "word_hashes", "written"]
+MASK = (1 << 64) - 1
 
 
 # ---------------------------------------------------------------- word kernel
@@ -155,28 +119,3 @@ def shingle_sets(column, width: int):
             else:
                 yield np.zeros(0, np.uint64)
 
-
-# ---------------------------------------------------------------- connected components
-def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
-    """(node, component): the smallest node that the edges reach, for every node on an edge.
-
-    Large-star and small-star steps in turn. Each is a min by node, which Spark adds up before the shuffle, and an inner join that adaptive
-    execution can split, so a node with a third of all edges is no one task's work. The edges of each round are written, not kept by lineage."""
-    now = written(edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).where("u <> v").distinct(), "edges")
-    mark = None
-    while True:
-        both = now.union(now.select("v", "u")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select("v", "m").where("v <> m").distinct().toDF("u", "v")
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        small = down.groupBy("u").agg(F.min("v").alias("m"))
-        after = down.join(small, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", "m").toDF("u", "v")).where("u <> v").distinct()
-        after = written(after, "edges")
-        remove(now)
-        now = after
-        got = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(got) == mark:
-            break
-        mark = tuple(got)
-    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return nodes.union(now.select("v", "v")).toDF("node", "component").distinct()

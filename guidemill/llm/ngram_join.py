@@ -110,9 +110,9 @@ def _sets(width: int, bitmap: bytes):
             found = [(set_id(x), x.tobytes()) for x in shingle_sets(batch.column(1).take(pa.array(rows, pa.int64())), width)]
             found = [x for x in dict(found).items() if x[0] not in seen]
             seen.update(k for k, _ in found)
-            for k in range(0, len(found), 1000):
-                some = found[k : k + 1000]
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in some], pa.int64()), pa.array([x for _, x in some], pa.binary())], ["node", "shingles"])
+            ends = np.cumsum([len(x) for _, x in found]) // 4_000_000  # some MB in a batch, or one set
+            for some in np.split(np.arange(len(found)), np.flatnonzero(np.diff(ends)) + 1) if found else ():
+                yield pa.RecordBatch.from_arrays([pa.array([found[k][0] for k in some], pa.int64()), pa.array([found[k][1] for k in some], pa.binary())], ["node", "shingles"])
 
     return run
 

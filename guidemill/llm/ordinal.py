@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,32 +132,74 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - score[:, None], -60, 60)))
 
 
-def fit(cells: list[np.ndarray], values: list[np.ndarray], grade: np.ndarray, weight: np.ndarray, grades: list[int], words_only: bool, l1: float, l2: float, rounds: int, least_docs: int) -> Model:
+BLOCK = 250_000  # features that the fit looks at together
+
+
+class Features:
+    """The features of rows in one piece: cells and values of row k from first[k] to first[k + 1]. Without values all are 1."""
+
+    def __init__(self, cells: np.ndarray, first: np.ndarray, values: np.ndarray | None):
+        self.cells, self.first, self.values = cells, first, values
+
+    @classmethod
+    def of(cls, cells: list[np.ndarray], values: list[np.ndarray] | None) -> Features:
+        first = np.concatenate([[0], np.cumsum([len(c) for c in cells])]).astype(np.int64)
+        return cls(np.concatenate([np.zeros(0, np.int32), *cells]).astype(np.int32, copy=False), first, None if values is None else np.concatenate([np.zeros(0, np.float32), *values]).astype(np.float32, copy=False))
+
+    def blocks(self):
+        """(first row, last row + 1, owner of each feature from the first row on, cells, values) for runs of rows of about BLOCK features or one row."""
+        at, rows = 0, len(self.first) - 1
+        while at < rows:
+            to = min(rows, max(at + 1, int(np.searchsorted(self.first, self.first[at] + BLOCK, "right")) - 1))
+            a, b = self.first[at], self.first[to]
+            owner = np.repeat(np.arange(to - at), np.diff(self.first[at : to + 1]))
+            yield at, to, owner, self.cells[a:b], 1.0 if self.values is None else self.values[a:b]
+            at = to
+
+    def kept(self, known: np.ndarray) -> Features:
+        """Only the cells of `known`, by their places in it."""
+        place = np.full(1 << BITS, -1, np.int32)
+        place[known] = np.arange(len(known), dtype=np.int32)
+        cells = place[self.cells]
+        keep = cells >= 0
+        first = np.concatenate([[0], np.cumsum(keep)])[self.first]
+        return Features(cells[keep], first, None if self.values is None else self.values[keep])
+
+
+def loss_and_gradient(x: Features, grade: np.ndarray, weight: np.ndarray, w: np.ndarray, cuts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """The weighted negative log likelihood of the grades (positions), and its gradient by the weights and by the thresholds."""
+    k = len(cuts) + 1
+    above, below = np.append(-np.inf, cuts), np.append(cuts, np.inf)
+    loss, g, gc = 0.0, np.zeros(len(w)), np.zeros(k - 1)
+    for a, b, owner, cells, values in x.blocks():
+        score = np.bincount(owner, values * w[cells], minlength=b - a)
+        y, u = grade[a:b], weight[a:b]
+        hi, lo = _sigmoid(below[y] - score), _sigmoid(above[y] - score)  # P(grade <= y), P(grade < y)
+        p = np.maximum(hi - lo, 1e-12)
+        loss -= float((u * np.log(p)).sum())
+        dhi, dlo = hi * (1 - hi), lo * (1 - lo)
+        back = u * (dhi - dlo) / p  # d(-log p) / d score
+        g += np.bincount(cells, values * back[owner], minlength=len(w))
+        gc += np.bincount(y, -u * dhi / p, minlength=k)[: k - 1] + np.bincount(y, u * dlo / p, minlength=k)[1:]
+    return loss, g, gc
+
+
+def fit(x: Features, grade: np.ndarray, weight: np.ndarray, grades: list[int], words_only: bool, l1: float, l2: float, rounds: int, least_docs: int) -> Model:
     """Proximal Adam steps on the weighted likelihood, L1 and L2 on the weights. grade: positions in `grades`."""
-    flat = np.concatenate([np.zeros(0, np.int32), *cells])
-    docs = np.bincount(flat, minlength=1 << BITS)
+    docs = np.zeros(1 << BITS, np.int64)
+    for *_, cells, _ in x.blocks():
+        docs += np.bincount(cells, minlength=1 << BITS)
     known = np.flatnonzero(docs >= least_docs)
-    place = np.full(1 << BITS, -1)
-    place[known] = np.arange(len(known))
-    owner, col, x = np.repeat(np.arange(len(cells), dtype=np.int32), [len(c) for c in cells]), place[flat].astype(np.int32), np.concatenate([np.zeros(0, np.float32), *values])
-    owner, col, x = owner[col >= 0], col[col >= 0], x[col >= 0]
-    del flat
+    x = x.kept(known)
     k = len(grades)
     weight = weight / weight.sum()
     share = np.array([weight[grade >= j].sum() for j in range(1, k)])
     cuts = np.log((1 - share) / share)
     w, rate = np.zeros(len(known)), 0.05
     m, v, mc, vc = np.zeros_like(w), np.zeros_like(w), np.zeros(k - 1), np.zeros(k - 1)
-    above, below = np.append(-np.inf, cuts), np.append(cuts, np.inf)
     for step in range(1, rounds + 1):
-        score = np.bincount(owner, x * w[col], minlength=len(cells))
-        above, below = np.append(-np.inf, cuts), np.append(cuts, np.inf)
-        hi, lo = _sigmoid(below[grade] - score), _sigmoid(above[grade] - score)  # P(y <= g), P(y < g)
-        p = np.maximum(hi - lo, 1e-12)
-        dhi, dlo = hi * (1 - hi), lo * (1 - lo)
-        back = weight * (dhi - dlo) / p  # d(-log p) / d score
-        g = np.bincount(col, x * back[owner], minlength=len(w)) + l2 * w
-        gc = np.bincount(grade, -weight * dhi / p, minlength=k)[: k - 1] + np.bincount(grade, weight * dlo / p, minlength=k)[1:]
+        _, g, gc = loss_and_gradient(x, grade, weight, w, cuts)
+        g += l2 * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mc, vc = 0.9 * mc + 0.1 * gc, 0.999 * vc + 0.001 * gc * gc
         scale = rate / (np.sqrt(v / (1 - 0.999**step)) + 1e-7)
@@ -175,11 +218,12 @@ def _sigmoid(x):
 def _extract(words_only: bool):
     def run(batches):
         for batch in batches:
-            cells, values = [], []
-            for rows, first, cell, value in features(batch.column(1), words_only):
-                cells += [cell[first[k] : first[k + 1]].astype("<i4").tobytes() for k in range(rows)]
-                values += [value[first[k] : first[k + 1]].astype("<f4").tobytes() for k in range(rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cells, pa.binary()), pa.array(values, pa.binary())], ["grade", "cells", "sizes"])
+            at = 0
+            for rows, first, cell, value in features(batch.column(2), words_only):
+                cells = [cell[first[k] : first[k + 1]].astype("<i4").tobytes() for k in range(rows)]
+                values = [None] * rows if words_only else [value[first[k] : first[k + 1]].astype("<f4").tobytes() for k in range(rows)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, rows), batch.column(1).slice(at, rows), pa.array(cells, pa.binary()), pa.array(values, pa.binary())], ["id", "grade", "cells", "sizes"])
+                at += rows
 
     return run
 
@@ -187,7 +231,7 @@ def _extract(words_only: bool):
 def train(docs: DataFrame, ratings: DataFrame, grade_col: str, sample: int, words_only: bool, l1: float, l2: float, rounds: int = 150, least_docs: int = 3, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from ratings (id, integer grade) of docs, on at most `sample` rated rows, the same on every run.
 
-    Null grades and ids don't count; an id rated more than once has its lowest grade. With fewer than two grades the model gives the one grade (0 if
+    Only the sample's features come to the driver, a few MB: cell numbers, and shares where they aren't all 1. Null grades and ids don't count; an id rated more than once has its lowest grade. With fewer than two grades the model gives the one grade (0 if
     there is none) to all rows. More than GRADES_MOST different grades are an error."""
     rated = ratings.select(F.col(id_col).cast("long").alias("id"), F.col(grade_col).cast("int").alias("grade")).dropna().groupBy("id").agg(F.min("grade").alias("grade"))
     counts = sorted(tuple(x) for x in rated.groupBy("grade").count().limit(GRADES_MOST + 1).collect())
@@ -201,14 +245,19 @@ def train(docs: DataFrame, ratings: DataFrame, grade_col: str, sample: int, word
             some = rated.where(F.col("grade") == g).orderBy(F.xxhash64("id"), "id").limit(each)
             picked = some if picked is None else picked.union(some)
         texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-        rows = texts.join(F.broadcast(picked), "id").dropDuplicates(["id"]).select("grade", "text").mapInArrow(_extract(words_only), "grade int, cells binary, sizes binary").collect()
-        rows = sorted((r[0], bytes(r[1]), bytes(r[2])) for r in rows)
-        grades = sorted({r[0] for r in rows})
+        one = texts.join(F.broadcast(picked), "id").groupBy("id", "grade").agg(F.min("text").alias("text"))  # a rated id that documents repeat counts once, with the smallest text
+        found = one.select("id", "grade", "text").mapInArrow(_extract(words_only), "id long, grade int, cells binary, sizes binary").toArrow().combine_chunks()
+        found = found.take(pc.sort_indices(found.column("id")))
+        grades = sorted(set(found.column("grade").to_pylist()))
     if len(grades) < 2:
         return Model(grades or [0], np.zeros(0), np.zeros(1 << BITS, np.float32), words_only)
-    grade = np.searchsorted(grades, [r[0] for r in rows])
+    grade = np.searchsorted(grades, found.column("grade").to_numpy())
     weight = np.array([dict(counts)[g] for g in grades])[grade] / np.bincount(grade)[grade]
-    return fit([np.frombuffer(r[1], "<i4") for r in rows], [np.frombuffer(r[2], "<f4") for r in rows], grade, weight, grades, words_only, l1, l2, rounds, least_docs)
+    cells = [np.frombuffer(x.as_buffer(), "<i4") for x in found.column("cells")]
+    values = None if words_only else [np.frombuffer(x.as_buffer(), "<f4") for x in found.column("sizes")]
+    x = Features.of(cells, values)
+    del found, cells, values
+    return fit(x, grade, weight, grades, words_only, l1, l2, rounds, least_docs)
 
 
 def score(docs: DataFrame, model: Model, at_least: int, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str] = ("expected_grade", "tail_probability")) -> DataFrame:
@@ -228,5 +277,8 @@ def score(docs: DataFrame, model: Model, at_least: int, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(expected), pa.array(tail)], [*batch.schema.names[:-1], *names])
 
     kept = [c for c in docs.columns if c not in names]
+    whole = "text"
+    while whole in docs.columns:
+        whole = f"_{whole}"
     schema = docs.select(*kept).schema.add(names[0], "double").add(names[1], "double")
-    return docs.select(*kept, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col(text_col).cast("string").alias(whole)).mapInArrow(run, schema)

@@ -141,7 +141,7 @@ def test_ordinal_grades_in_order():
         cells.append(np.sort(np.concatenate([[g], 100 + chance.choice(50, 5, replace=False)])))
         values.append(np.ones(6, np.float32))
         grade.append(g)
-    model = ordinal.fit(cells, values, np.array(grade), np.ones(600), [0, 1, 2, 5], True, 0.0, 1e-4, 400, 1)
+    model = ordinal.fit(ordinal.Features.of(cells, values), np.array(grade), np.ones(600), [0, 1, 2, 5], True, 0.0, 1e-4, 400, 1)
     assert (np.diff(model.thresholds) >= 0).all()
     tails = model.tails(np.array([model.weights[c].sum() for c in cells]))
     assert (np.diff(tails, axis=1) <= 1e-12).all()
@@ -150,6 +150,56 @@ def test_ordinal_grades_in_order():
     assert np.corrcoef(expected, np.array([0, 1, 2, 5])[grade])[0, 1] > 0.9
 
 
+@pytest.mark.parametrize("ones", [True, False])
+def test_gradient_is_that_of_the_likelihood(monkeypatch, ones):
+    monkeypatch.setattr(ordinal, "BLOCK", 7)  # many blocks
+    chance = np.random.default_rng(2)
+    cells = [np.sort(chance.choice(12, int(chance.integers(0, 6)), replace=False)).astype(np.int32) for _ in range(40)]
+    values = None if ones else [chance.random(len(c)).astype(np.float32) for c in cells]
+    grade, weight = chance.integers(0, 4, 40), chance.random(40)
+    w, cuts = chance.standard_normal(12), np.sort(chance.standard_normal(3))
+    x = ordinal.Features.of(cells, values)
+    loss, g, gc = ordinal.loss_and_gradient(x, grade, weight, w, cuts)
+    brute = 0.0
+    for k in range(40):
+        score = sum(w[c] * (1 if ones else values[k][j]) for j, c in enumerate(cells[k]))
+        upto = [0.0, *(1 / (1 + np.exp(-(t - score))) for t in cuts), 1.0]
+        brute -= weight[k] * np.log(upto[grade[k] + 1] - upto[grade[k]])
+    assert loss == pytest.approx(brute)
+    for step, gradient, at in ((1e-6, g, w), (1e-6, gc, cuts)):
+        for j in range(len(at)):
+            moved = at.copy()
+            moved[j] += step
+            later = ordinal.loss_and_gradient(x, grade, weight, moved if at is w else w, moved if at is cuts else cuts)[0]
+            assert (later - loss) / step == pytest.approx(gradient[j], abs=1e-4)
+
+
+def test_word_features_are_those_of_plain_python():
+    """Cells are hashes, so equal cells are checked against equal words and stems, in letters only and small."""
+    import pyarrow as pa
+
+    texts = ["Über die Brücke, don't!", "über DIE", "", None, "stemming stemmed stem", "stemming", "a1b2 a b"]
+    got = [set(cell[first[k] : first[k + 1]].tolist()) for rows, first, cell, _ in ordinal.features(pa.array(texts), True) for k in range(rows)]
+
+    def said(text):
+        text = re.sub(r"[\x00-\x40\x5b-\x60\x7b-\x7f]", " ", "".join(c.lower() if c.isascii() or c in "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ" else c for c in text or ""))
+        words = {w.encode() for w in text.split()}
+        return {("word", w) for w in words} | {("stem", w[:k]) for w in words for k in (4, 5, 6) if len(w) > k}
+
+    want = [said(t) for t in texts]
+    for a in range(len(texts)):
+        assert len(got[a]) == len(want[a])
+        for b in range(len(texts)):
+            assert len(got[a] & got[b]) == len(want[a] & want[b])
+
+
+def test_repeated_ids_do_not_change_the_model(spark, texts):
+    two = spark.createDataFrame([(k, k % 2, 0) for k in range(20)], "doc_id long, quality int, toxic int")
+    docs = spark.createDataFrame(rows([*texts, "zzz another text of the first id"], [*range(len(texts)), 5]), SCHEMA)
+    models = [ordinal.train(docs.repartition(n), two, "quality", 100, False, 0.0, 1e-4, rounds=5, least_docs=1) for n in (1, 7)]
+    assert (models[0].weights == models[1].weights).all() and (models[0].thresholds == models[1].thresholds).all()
+
+
 def test_classifiers_on_odd_tables(spark, texts):
     docs = spark.createDataFrame(rows(texts), SCHEMA)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
