@@ -74,7 +74,11 @@ def mine_rules(labelled: DataFrame, support: float = 0.005, confidence: float =
     rules = model.associationRules.where(label.isin(GOOD, BAD) & ~F.arrays_overlap("antecedent", F.array(F.lit(GOOD), F.lit(BAD))))
     rules = written(rules.select(F.array_sort("antecedent").alias("tokens"), F.when(label == BAD, "block").otherwise("allow").alias("verdict"), "confidence", "support"), "rules")
     keys = rules.select("tokens", "verdict", F.explode("tokens").alias("token")).join(counts, "token").groupBy("tokens", "verdict").agg(F.min(F.struct("freq", "token"))["token"].alias("key"))
-    part = rules.alias("r").join(rules.alias("s"), (F.element_at("s.tokens", 1) == F.element_at("r.tokens", 1)) & (F.col("r.verdict") == F.col("s.verdict")) & (F.size("s.tokens") < F.size("r.tokens")) & (F.col("s.confidence") >= F.col("r.confidence")) & (F.size(F.array_except("s.tokens", "r.tokens")) == 0), "left_anti")
+    # a rule that says less has its first token among those of the one that says more
+    more, less = rules.select("tokens", "verdict", "confidence", F.explode("tokens").alias("token")).alias("r"), rules.withColumn("token", F.element_at("tokens", 1)).alias("s")
+    within = (F.size("s.tokens") < F.size("r.tokens")) & (F.col("s.confidence") >= F.col("r.confidence")) & (F.size(F.array_except("s.tokens", "r.tokens")) == 0)
+    needless = more.join(less, (F.col("r.token") == F.col("s.token")) & (F.col("r.verdict") == F.col("s.verdict")) & within).select("r.tokens", "r.verdict").distinct()
+    part = rules.join(needless, ["tokens", "verdict"], "left_anti")
     return part.join(keys, ["tokens", "verdict"]).select("tokens", "key", "verdict", "confidence", "support")
 
 
@@ -99,8 +103,8 @@ def filter_urls(urls: DataFrame, labelled: DataFrame, rules: list[tuple[str, str
     and all stay; columns of urls that have the new names are replaced. An empty table gives an empty one."""
     kept = [c for c in urls.columns if c not in ("host", "path", "rule", "mined", "verdict")]
     url = F.col(url_col)
-    rows = urls.select(*kept, host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("__tokens"))
-    sets = written(rows.select(F.col("__tokens").alias("tokens")).distinct(), "sets")
+    rows = urls.select(F.struct(*kept).alias("row"), host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("tokens"))
+    sets = written(rows.select("tokens").distinct(), "sets")
     mined = written(match_rules(sets, written(mine_rules(labelled, support, confidence), "mined")), "matched")
-    out = rows.join(mined.withColumnRenamed("tokens", "__tokens"), "__tokens", "left").withColumn("__rule", written_rule(F.col("host"), F.col("path"), list(rules)))
-    return out.select(*kept, "host", "path", F.col("__rule.rule").alias("rule"), "mined", F.coalesce("__rule.verdict", "mined", F.lit(default)).alias("verdict"))
+    out = rows.join(mined, "tokens", "left").withColumn("found", written_rule(F.col("host"), F.col("path"), list(rules)))
+    return out.select("row.*", "host", "path", F.col("found.rule").alias("rule"), "mined", F.coalesce("found.verdict", "mined", F.lit(default)).alias("verdict"))
