@@ -101,6 +101,10 @@ def alias_memory(mapping: DataFrame, alias: Column, region: str, guide_id: str,
 
 
 def mapping_digest(mapping: DataFrame, columns: list[str]) -> DataFrame:
-    """One row: SHA-256 over the rows' own hashes in sorted order, so neither row order nor partitioning counts."""
-    row = F.sha2(F.concat_ws("", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
-    return mapping.select(row.alias("h")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("digest"), F.count("*").alias("rows"))
+    """One row: a digest of the rows as a multiset, so neither their order nor partitioning counts: SHA-256 of their number and of four sums of 64-bit hashes of them.
+
+    The sums are made where the rows are; nothing is collected."""
+    row = F.to_json(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
+    sums = [F.coalesce(F.sum(F.xxhash64(F.lit(k), row).cast("decimal(38,0)")), F.lit(0)).cast("string").alias(f"s{k}") for k in range(4)]
+    out = mapping.agg(F.count("*").alias("rows"), *sums)
+    return out.select(F.sha2(F.concat_ws("|", F.col("rows").cast("string"), *[f"s{k}" for k in range(4)]), 256).alias("digest"), "rows")

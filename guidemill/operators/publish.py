@@ -50,7 +50,7 @@ def write_gzip(path: str | Path, pieces: Iterator[str]) -> str:
     with open(path, "wb") as raw, gzip.GzipFile("", "wb", 9, raw, mtime=0) as out:
         for piece in pieces:
             out.write(piece.encode())
-    return hashlib.sha256(Path(path).read_bytes()).hexdigest()
+    return sha256_file(path)
 
 
 def write_guide(path: str | Path, entries: DataFrame, schedules: DataFrame, icons: DataFrame | None = None) -> str:
@@ -65,13 +65,35 @@ def write_guide(path: str | Path, entries: DataFrame, schedules: DataFrame, icon
     return write_gzip(path, pieces())
 
 
-def write_payload(path: str | Path, server_id: str, generated_at: str, window: tuple[int, int], keys: DataFrame, payload: DataFrame, extra: dict | None = None) -> str:
-    """The compact JSON: core keys over those of `extra`, streams in order of their numbers, ids in order."""
+def read_gzip(path: str | Path) -> str:
+    with gzip.open(path, "rb") as f:
+        return f.read().decode("utf-8-sig")
+
+
+def sha256_file(path: str | Path) -> str:
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def write_payload(path: str | Path, server_id: str, generated_at: object, window: tuple[int, int], keys: DataFrame, payload: DataFrame, extra: dict | None = None) -> str:
+    """The compact JSON: core keys over those of `extra`, streams in order of their numbers, ids in order. Rows are written as they come, one id at a time."""
     number = F.col("stream_id").try_cast("long")
-    streams = {r[0]: r[1] for r in keys.orderBy(number.isNull(), number, F.lower("stream_id"), "stream_id").toLocalIterator()}
-    programmes = {r[0]: [[p["start"], p["stop"], p["title"]] for p in r[1]] for r in payload.orderBy("guide_id").toLocalIterator()}
-    core = {"schemaVersion": 1, "serverId": server_id, "generatedAt": generated_at, "windowStart": window[0], "windowEnd": window[1], "streamToEpg": streams, "programmes": programmes}
-    return write_gzip(path, iter([json.dumps((extra or {}) | core, ensure_ascii=False, separators=(",", ":"))]))
+    streams = keys.orderBy(number.isNull(), number, F.lower("stream_id"), "stream_id").select("stream_id", "guide_id")
+    said = lambda x: json.dumps(x, ensure_ascii=False, separators=(",", ":"))
+    programmes = payload.orderBy("guide_id").select("guide_id", "programmes")
+    core = {"schemaVersion": 1, "serverId": server_id, "generatedAt": generated_at, "windowStart": window[0], "windowEnd": window[1]}
+    rest = {k: v for k, v in (extra or {}).items() if k not in (*core, "streamToEpg", "programmes")}
+
+    def pieces():
+        yield said(rest | core)[:-1] + ',"streamToEpg":{'
+        for k, (stream, guide) in enumerate(streams.toLocalIterator()):
+            yield ("," if k else "") + f"{said(stream)}:{said(guide)}"
+        yield '},"programmes":{'
+        for k, (guide, rows) in enumerate(programmes.toLocalIterator()):
+            yield ("," if k else "") + f"{said(guide)}:{said([list(p) for p in rows])}"
+        yield "}}"
+
+    return write_gzip(path, pieces())
 
 
 def write_reports(folder: str, reports: dict[str, DataFrame]) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from guidemill.functions import names, similarity
 from guidemill.functions.text import bag_key, id_to_name, is_informative, normal_title, repair_encoding, tokens
 from guidemill.functions.time import iso, parse_iso, parse_stamp, stamp
-from guidemill.operators import equivalence, export, guide, icons, mapping, publish, resolve
+from guidemill.operators import equivalence, export, guide, icons, mapping, package, publish, resolve
 from guidemill.sources import aliases, catalog, xmltv
 
 NOW = 1_705_708_800
@@ -155,6 +155,56 @@ def test_guide_end_to_end(spark, tmp_path):
     assert data["mine"] == 1 and data["schemaVersion"] == 1 and data["streamToEpg"] == {"1": "ONE.US"} and data["programmes"] == {"ONE.US": [[NOW, NOW + 3600, "Hello you"]]}
 
 
+def test_packages_and_public_folder(spark, tmp_path):
+    rows = raw(spark, [("s", "1", "c", "C", "Ch 1", "OK", "", "ONE.US", "US1"), ("s", "2", "c", "C", "Ch 2", "OK", "", "gone", "US1"), ("s", "10", "d", "D", "Ch 10", "OK", "", "ONE.US", "US1")])
+    programmes = spark.createDataFrame([("US1", "ONE.US", NOW + 3600 * k, NOW + 3600 * (k + 1), f"show {k}") for k in range(5)], "feed string, epg_id string, start long, stop long, title string")
+    inventory = spark.createDataFrame([(str(k), c, c.upper(), f"Ch {k}", k) for k, c in ((1, "c"), (2, "c"), (3, "c"), (10, "d"))], "stream_id string, category_id string, category_name string, channel_name string, row_idx long")
+    out, public = tmp_path / "s" / "output", tmp_path / "public"
+    manifest = package.build_package(rows, "s", registry(spark), programmes, out, NOW, inventory=inventory)
+    assert (manifest["mappedStreams"], manifest["mappedStreamsWithProgrammes"], manifest["catalogStreams"], manifest["xmltvChannels"], manifest["programmeRows"]) == (3, 2, 4, 3, 15)
+    assert manifest["dataSha256"] == publish.sha256_file(out / manifest["dataFile"]) and json.loads((out / "s_tivimate_manifest.json").read_text()) == manifest
+    assert (out / "s_missing_epg_ids.csv").read_text(encoding="utf-8-sig").splitlines()[1:] == ["US1,gone,1,Ch 2"]
+    assert (out / "s_category_programme_coverage.csv").read_text(encoding="utf-8-sig").count("\n") == 3 and (tmp_path / "s" / "s_tivimate_epg_output.zip").is_file()
+    again = package.build_package(rows.repartition(3), "s", registry(spark), programmes.repartition(2), tmp_path / "again" / "output", NOW, inventory=inventory)
+    assert {k: v for k, v in again.items() if k != "compressedBytes"} == {k: v for k, v in manifest.items() if k != "compressedBytes"}
+    with pytest.raises(ValueError, match="no mapped id"):
+        package.build_package(rows, "s", registry(spark), programmes.limit(0), tmp_path / "none", NOW)
+
+    guide_rows = spark.createDataFrame([("ONE.US", NOW, NOW + 60, "a", 0), ("Ch 10", NOW, NOW + 60, "b", 1)], "channel_id string, start long, stop long, title string, pos long")
+    app = package.write_app(rows, "s", guide_rows, tmp_path / "app", NOW, [], payload_extra={"mine": 1, "serverId": "x"}, manifest_extra={"theirs": 2})
+    data = json.loads(publish.read_gzip(tmp_path / "app" / "s_epg.json.gz"))
+    assert data["mine"] == 1 and data["serverId"] == "s" and list(data["streamToEpg"]) == ["1", "10"] and app["theirs"] == 2 and app["mappedStreams"] == 2
+    assert package.read_preserved(tmp_path / "app", "s") == ({"mine": 1}, {"theirs": 2}) and package.read_preserved(tmp_path / "nowhere", "s") == ({}, {})
+
+    package.clear_public(public)
+    build = package.publish_server("s", out, public, manifest)
+    package.write_index(public, [build], NOW)
+    assert json.loads((public / "epg" / "index.json").read_text())["builds"] == [build] and "s_tivimate.xml.gz" in (public / "index.html").read_text()
+    assert (public / "reports" / "s" / "s_refresh_plan.json").is_file() and json.loads((public / "health.json").read_text())["servers"] == 1
+    (tmp_path / "logos").mkdir()
+    for name in ("a.PNG", "b.exe"):
+        (tmp_path / "logos" / name).write_text("x")
+    assert package.stage_logos(tmp_path / "logos", public) == ["logos/a.PNG"] and package.stage_logos(tmp_path / "no", public) == []
+
+
+def test_inventory_bundle(spark, tmp_path):
+    report = spark.createDataFrame([("1", "c", "C", "One", "", "AUTO_EPGSHARE", "a", "F"), ("2", "c", "C", "Two", "p", "REVIEW", "b", "F"), ("3", "d", "D", "Three", "", "UNMATCHED", None, None)], "stream_id string, category_id string, category_name string, channel_name string, panel_epg_id string, action string, epg_id string, feed string")
+    categories = spark.createDataFrame([("c", "C", ""), ("d", "D", "")], "category_id string, category_name string, parent_id string")
+    got = package.inventory_bundle(report, categories, "s", registry(spark), tmp_path / "inventory")
+    assert (got["channels"], got["safe_mapped_channels"], got["categories"], got["actions"]) == (3, 1, 2, {"AUTO_EPGSHARE": 1, "REVIEW": 1, "UNMATCHED": 1})
+    assert (tmp_path / "inventory" / "output" / "unmatched.csv").read_text(encoding="utf-8-sig").count("\n") == 2
+
+
+def test_digests(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", None), ("a", 1)], "x string, y int")
+    digest = lambda df: mapping.mapping_digest(df, ["x", "y"]).first().digest
+    assert digest(rows) == digest(rows.repartition(3)) != digest(rows.distinct()) and digest(rows.limit(0)) != digest(rows)
+    c = spark.createDataFrame([(0, "F", "US", "a"), (1, "F", "US", "b")], "catalog_pos long, feed string, region string, epg_id string")
+    d = spark.createDataFrame([("x", "X")], "id_folded string, epg_id string")
+    other = c.withColumn("catalog_pos", 1 - F.col("catalog_pos"))
+    assert package.catalogue_digest(c, d) == package.catalogue_digest(c.repartition(2), d) != package.catalogue_digest(other, d)
+
+
 def test_bad_guides_are_refused(spark, tmp_path):
     (tmp_path / "a.xml").write_text("<html><body>error</body></html>")
     (tmp_path / "b.xml").write_bytes(gzip.compress(b"<tv></tv>"))
