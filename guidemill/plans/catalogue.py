@@ -395,6 +395,15 @@ PRINTS = f"{PROG}, prints as (select distinct epg_id, cast(floor(start / 3600) a
 EXP = normal(REJECT + ",'IGNORE','REJECTED'")
 
 
+#: prints -> alike: pairs of ids, each title's buckets in order with the nearest that is left within one.
+_SIMILAR = """n as (select epg_id, count(*) n from prints group by all), ids as (select distinct a.epg_id a, b.epg_id b, a.title from prints a join prints b on a.title = b.title and abs(a.bucket - b.bucket) <= 1 and a.epg_id < b.epg_id),
+      l as (select epg_id, title, list_sort(list(bucket)) k from prints group by all), start as (select a, b, x.k xs, y.k ys, title from ids join l x using (title) join l y using (title) where x.epg_id = a and y.epg_id = b),
+      walk(a, b, title, i, xs, rest, same) as (select a, b, title, 1, xs, ys, 0 from start union all
+        select a, b, title, i + 1, xs, case when f is null then rest else list_filter(rest, lambda z: z <> f) end, same + (f is not null)::int from (select *, case when list_contains(rest, xs[i]) then xs[i] when list_contains(rest, xs[i] - 1) then xs[i] - 1 when list_contains(rest, xs[i] + 1) then xs[i] + 1 end f from walk where i <= len(xs))),
+      t as (select a, b, cast(sum(same) as bigint) same from walk where i = len(xs) + 1 group by a, b),
+      alike as (select t.a, t.b, same, round(same / greatest(x.n, y.n), 6) similarity, same / greatest(x.n, y.n) similarity0, x.n na, y.n nb from t join n x on x.epg_id = t.a join n y on y.epg_id = t.b)"""
+
+
 def _entries(available: str) -> str:
     """names and ids in order of arrival, with the running best before each."""
     return f"""{CANON}, have as ({available}), found as (select k.* from keyed k semi join have h on k.ef = h.feed and k.epg_id = h.epg_id),
@@ -470,11 +479,16 @@ ORACLE_SQL = {
         ([100.0, 100.0, 100.0, 100.0, null, 100.0, 98.5, 100.0, null]::double[])[st + 1] score, case st when 0 then 'Blank.d' when 1 then 'Plate.d' when 3 then pid when 5 then id1 when 6 then id2 when 7 then pid end epg_id,
         case st when 0 then 'DUMMY_CHANNELS' when 1 then 'DUMMY_CHANNELS' when 3 then 'server xmltv.php' when 5 then feed1 when 6 then feed2 when 7 then 'server xmltv.php' end feed, case st when 5 then alt1 when 6 then alt2 end alternate,
         (['AUTO_DUMMY', 'AUTO_DUMMY', 'UNMATCHED', 'KEEP_PANEL', 'UNMATCHED', 'AUTO_EPGSHARE', 'AUTO_EPGSHARE', 'KEEP_PANEL', 'UNMATCHED'])[st + 1] as "action", (['dummy', 'dummy', '', 'panel', '', 'epgshare', 'epgshare', 'panel', ''])[st + 1] as source from s""",
-    "q48_similarity_tolerance": f"""with recursive {PRINTS}, n as (select epg_id, count(*) n from prints group by all), ids as (select distinct a.epg_id a, b.epg_id b, a.title from prints a join prints b on a.title = b.title and abs(a.bucket - b.bucket) <= 1 and a.epg_id < b.epg_id),
-      l as (select epg_id, title, list_sort(list(bucket)) k from prints group by all), start as (select a, b, x.k xs, y.k ys, title from ids join l x using (title) join l y using (title) where x.epg_id = a and y.epg_id = b),
-      walk(a, b, title, i, xs, rest, same) as (select a, b, title, 1, xs, ys, 0 from start union all
-        select a, b, title, i + 1, xs, case when f is null then rest else list_filter(rest, lambda z: z <> f) end, same + (f is not null)::int from (select *, case when list_contains(rest, xs[i]) then xs[i] when list_contains(rest, xs[i] - 1) then xs[i] - 1 when list_contains(rest, xs[i] + 1) then xs[i] + 1 end f from walk where i <= len(xs))),
-      t as (select a, b, cast(sum(same) as bigint) same from walk where i = len(xs) + 1 group by a, b) select t.a, t.b, same, round(same / greatest(x.n, y.n), 6) similarity from t join n x on x.epg_id = t.a join n y on y.epg_id = t.b""",
+    "q48_similarity_tolerance": f"with recursive {PRINTS}, {_SIMILAR} select a, b, same, similarity from alike",
+    "q41_equivalence_groups": f"""with recursive {PRINTS}, {_SIMILAR}, e as (select a u, b v from alike where similarity0 >= 0.12 and least(na, nb) >= 3 union select b, a from alike where similarity0 >= 0.12 and least(na, nb) >= 3), reach(u, v) as (select u, v from e union select r.u, e.v from reach r join e on r.v = e.u),
+      top as (select u, min(v) component from reach group by u) select sha256(string_agg(lower(u), '|' order by lower(u)))[1:24] label, string_agg(lower(u), '|' order by lower(u)) members from top group by component""",
+    "q42_near_exact_join": f"""with recursive {SIDES}, k as (select q.stream_id, string_split(q.nm, ' ') a, string_split(c.nm, ' ') b, c.epg_id, c.pr, c.family from q join c using (region)),
+      m as (select *, case when a[1] = b[1] then a[2] when a[2] = b[2] then a[1] when a[1] = b[2] then a[2] else a[1] end x, case when a[1] = b[1] then b[2] when a[2] = b[2] then b[1] when a[1] = b[2] then b[1] else b[2] end y from k where len(a) = 2 and len(b) = 2 and (a[1] = b[1]) <> (a[2] = b[2]) or len(a) = 2 and len(b) = 2 and (a[1] = b[2]) <> (a[2] = b[1]) and a[1] <> b[1] and a[2] <> b[2]),
+      w(x, y, i, best) as (select distinct x, y, 0, list_transform(range(0, length(y) + 1), lambda j: 0) from m where x <> y union all
+        select x, y, i + 1, list_transform(range(1, length(y) + 2), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(best[k], case when k > 1 and x[i + 1] = y[k - 1] then best[k - 1] + 1 else 0 end)))) from w where i < length(x)),
+      r as (select x, y, 200.0::double * best[length(y) + 1] / (length(x) + length(y)) score from w where i = length(x)), s as (select m.*, score from m join r using (x, y) where score >= 40), t as (select * from s qualify score = max(score) over (partition by stream_id)),
+      u as (select *, row_number() over (partition by stream_id order by pr, length(epg_id), lower(epg_id)) z, count(distinct family) over (partition by stream_id rows between unbounded preceding and unbounded following) f from t)
+      select stream_id, 'near_exact_orthography' as "method", round(score, 6) score, epg_id, family from u where z = 1 and f = 1""",
     "q30_components": "with recursive up(node, top) as (select p_partkey, p_partkey from part union select p_partkey // 2, p_partkey // 2 from part where p_partkey % 5 <> 0 union select node, top // 2 from up where top % 5 <> 0) select node, min(top) component from up group by node",
     "q31_safe_url": "select page_id, case when page_id % 5 = 1 then 'https:' || regexp_replace(url, '^https?:', '') when page_id % 5 in (2, 3) then null else url end safe from pages",
     "q32_icon_precedence": f"""with {PREP}, o as (select c_custkey k, case when c_custkey % 3 = 0 then 's1' when c_custkey % 3 = 1 then '*' else 's2' end scope, case when c_custkey % 2 = 0 then 'epg_id' else 'channel_name' end b, case when c_custkey % 2 = 0 then 'u' || (c_custkey % 50) else 'ch' || (c_custkey % 60) end ky,
