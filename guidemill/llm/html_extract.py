@@ -39,7 +39,7 @@ _PEERS = {"li": (["li"], ["ul", "ol", "menu"]), "dt": (["dt", "dd"], ["dl"]), "d
 #: Elements that hold other blocks; a line's container is the nearest of them.
 _CONTAINER = {"article", "body", "center", "details", "div", "html", "main", "section", "td"}
 #: Words of a class, id or role that say that an element isn't the article.
-_MARKS = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "complementary", "header", "masthead", "footer", "contentinfo", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination", "pager", "skip", "search", "form", "copyright", "disclaimer"}
+_MARKS = {"ad", "ads", "adbox", "adslot", "adunit", "adsbygoogle", "adsense", "outbrain", "taboola", "cookiebanner", "cookiebar", "topnav", "sidenav", "subnav", "commentform", "commentsection", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "aside", "complementary", "header", "masthead", "footer", "contentinfo", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "share", "sharing", "social", "related", "recommended", "newsletter", "subscribe", "subscription", "signup", "login", "popup", "modal", "overlay", "widget", "toolbar", "pagination", "pager", "skip", "search", "form", "copyright", "disclaimer"}
 #: Words that may stand beside them: where, how or as what such an element is shown. Any other word ("notice-period") makes a name say something else.
 _BESIDE = {"a", "about", "all", "and", "area", "articles", "bar", "block", "body", "bottom", "box", "button", "buttons", "center", "col", "column", "container", "content", "desktop", "div", "fixed", "floating", "global", "group", "holder", "html", "icons", "inline", "inner", "item", "items", "js", "layer", "left", "legal", "link", "links", "list", "main", "message", "mobile", "more", "news", "of", "outer", "page", "panel", "policy", "post", "posts", "primary", "privacy", "reader", "readers", "right", "row", "secondary", "section", "site", "slot", "space", "sticky", "stories", "teaser", "text", "the", "this", "thread", "title", "to", "top", "ui", "unit", "user", "view", "website", "wrap", "wrapper", "zone"}
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
