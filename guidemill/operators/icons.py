@@ -64,3 +64,13 @@ def resolve_icons(prepared: DataFrame, server_id: str, overrides: DataFrame, sou
     every = found.union(own)
     outputs = F.when(F.col("dummy"), F.array("channel_name")).otherwise(F.array("channel_name", "epg_id"))
     return every.select(F.explode(outputs).alias("output_id"), "tier", "p", "url", "origin").groupBy("output_id").agg(F.min(F.struct("tier", "p", "url", "origin")).alias("x")).select("output_id", "x.url", "x.origin")
+
+
+#: Columns of a mapping that may hold an icon, in the order in which they count: fixed values.
+ICON_COLUMNS = ["icon_url", "stream_icon", "tvg_logo", "tvg-logo", "channel_icon", "logo"]
+
+
+def mapping_icon(columns: list[str]) -> Column:
+    """The first safe icon address of a mapping's row, null without one."""
+    found = [safe_url(F.col(f"`{c}`")) for c in ICON_COLUMNS if c in columns]
+    return F.coalesce(*found) if found else F.lit(None).cast("string")

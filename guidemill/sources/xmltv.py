@@ -32,6 +32,23 @@ def check_guide(spark: SparkSession, path: str) -> None:
             raise ValueError(f"{name} is not a programme guide")
 
 
+def staged(spark: SparkSession, path: str) -> str:
+    """The path, or that of a copy in the shared folder whose name says .gz, if the file is compressed and its own doesn't: Spark goes by the name."""
+    import uuid
+
+    from guidemill.sources.tables import shared_dir
+
+    head = bytes(spark.read.format("binaryFile").load(path).select(F.substring("content", 1, 2)).first()[0])
+    if head != b"\x1f\x8b" or path.endswith(".gz"):
+        return path
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    one, other = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/guide-{uuid.uuid4().hex}.xml.gz")
+    system = other.getFileSystem(conf)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(one.getFileSystem(conf), one, system, other, False, conf)
+    system.deleteOnExit(other)
+    return other.toString()
+
+
 def read_programmes(spark: SparkSession, path: str, feed: str) -> DataFrame:
     """feed, epg_id, start, stop (epoch seconds), title: the English title if there is one, else the first that isn't blank.
 

@@ -215,6 +215,35 @@ def test_bad_guides_are_refused(spark, tmp_path):
     assert xmltv.read_programmes(spark, str(tmp_path / "c.xml"), "f").count() == 1
 
 
+def test_misnamed_guides_missing_catalogues_and_regions(spark, tmp_path):
+    (tmp_path / "b.xml").write_bytes(gzip.compress(b'<tv><programme start="20240120000000" channel="a"><title>T</title></programme></tv>'))
+    path = xmltv.staged(spark, str(tmp_path / "b.xml"))
+    assert path.endswith(".gz") and xmltv.read_programmes(spark, path, "f").count() == 1 and xmltv.staged(spark, path) == path
+    (tmp_path / "c.txt").write_text("A.us B.us")
+    skipped = []
+    assert catalog.read_catalogs(spark, {"X": str(tmp_path / "c.txt"), "Y": str(tmp_path / "none.txt")}, skipped).count() == 2 and skipped == ["Y"]
+    with pytest.raises(ValueError, match="no catalogue"):
+        catalog.read_catalogs(spark, {"Y": str(tmp_path / "none.txt")}, [])
+    sources = catalog.register([], {"source_code": "US1", "region": "us", "match_keywords": "Us, usa "}, base="https://h/x/")
+    sources = catalog.register(sources, {"name": "d", "kind": "dummy", "region": "DUMMY", "xml_url": "https://h/d"})
+    assert [(x["name"], x["ordinal"], x["txt_url"]) for x in sources] == [("US1", 0, "https://h/x/epg_ripper_US1.txt"), ("D", 1, "")]
+    with pytest.raises(ValueError, match="twice"):
+        catalog.register(sources, {"source_code": "us1", "region": "UK"})
+    assert [x["region"] for x in catalog.register(sources, {"name": "us1", "region": "UK"}, overwrite=True)] == ["DUMMY", "UK"]
+    table = catalog.registry_table(spark, sources)
+    assert [r[0] for r in catalog.active_regions(table).collect()] == ["US"] and {tuple(r) for r in catalog.region_keywords(table).collect()} == {("US", "us"), ("US", "usa")}
+    assert catalog.base_address(" https://h:8/player_api.php ") == "https://h:8" and catalog.server_id(" s_1 ") == "s_1" and catalog.with_cache_buster("u?a=1", 5) == "u?a=1&t=5"
+    for bad in ("ftp://h", "https://me:pw@h", "https://h/?q", "h"):
+        with pytest.raises(ValueError):
+            catalog.base_address(bad)
+    with pytest.raises(ValueError):
+        catalog.server_id("s", ["t"])
+    named = catalog.with_category_names(spark.createDataFrame([("1", " c "), ("2", "x")], "stream_id string, category_id string"), spark.createDataFrame([("c", "C")], "category_id string, category_name string"))
+    assert {r.stream_id: r.category_name for r in named.collect()} == {"1": "C", "2": ""}
+    icons_of = spark.createDataFrame([("file:x", "https://h/a.png"), (None, None)], "icon_url string, logo string")
+    assert [r[0] for r in icons_of.select(icons.mapping_icon(icons_of.columns)).collect()] == ["https://h/a.png", None]
+
+
 def test_csv_and_missing_mappings(spark, tmp_path):
     (tmp_path / "s.csv").write_text("﻿server_id,stream_id\n,007\n")
     row = catalog.read_mappings(spark, str(tmp_path), ["s"])["s"].first()
