@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from guidemill.functions.text import is_informative, normal_title
@@ -34,15 +34,37 @@ def _matched(left: Column, right: Column, tolerance: int) -> Column:
     return F.aggregate(F.array_sort(left), start, step, lambda state: state["n"])
 
 
-def schedule_similarity(prints: DataFrame, tolerance: int = 1) -> DataFrame:
+def candidate_pairs(prints: DataFrame, least: float) -> DataFrame:
+    """a < b of ids whose titles alone allow a similarity of `least`.
+
+    Matched rows share their title, so of a's n rows, as a multiset of titles, ceil(least * n) must be b's, too: two such ids share one of the n - ceil(least * n) + 1
+    rarest titles of each. Ids meet by those only, so titles that every guide has bring none together; sizes must allow the similarity as well."""
+    order = Window.partitionBy("epg_id", "title").orderBy("bucket")
+    often = prints.groupBy("title").agg(F.count("*").alias("often"))
+    rows = prints.withColumn("k", F.row_number().over(order)).join(often, "title")
+    whole = Window.partitionBy("epg_id")
+    rows = rows.withColumn("n", F.count("*").over(whole)).withColumn("rank", F.row_number().over(whole.orderBy("often", "title", "k")))
+    rare = rows.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1).select("epg_id", "title", "k", "n")
+    p, q = rare.alias("p"), rare.alias("q")
+    met = p.join(q, (F.col("p.title") == F.col("q.title")) & (F.col("p.k") == F.col("q.k")) & (F.col("p.epg_id") < F.col("q.epg_id")) & (F.least("p.n", "q.n") >= least * F.greatest("p.n", "q.n") - 1e-9))
+    return met.select(F.col("p.epg_id").alias("a"), F.col("q.epg_id").alias("b")).distinct()
+
+
+def schedule_similarity(prints: DataFrame, tolerance: int = 1, pairs: DataFrame | None = None) -> DataFrame:
     """a, b (a < b), similarity of ids that share a title within the tolerance: matched rows, title by title, over the larger number of rows.
 
-    Ids meet by title and bucket only; each title's rows of two ids are matched one to one, a's in order of time with the nearest of b's that is left."""
+    Ids meet by title and bucket only, or, if they are given, are the pairs (a, b); each title's rows of two ids are matched one to one, a's in order of time with the nearest
+    of b's that is left."""
     sizes = prints.groupBy("epg_id").agg(F.count("*").alias("n"))
-    near = prints.select("epg_id", "title", "bucket", F.explode(F.sequence(F.col("bucket") - tolerance, F.col("bucket") + tolerance)).alias("at")) if tolerance else prints.withColumn("at", F.col("bucket"))
-    p, q = prints.alias("p"), near.alias("q")
-    met = p.join(q, (F.col("p.title") == F.col("q.title")) & (F.col("p.bucket") == F.col("q.at")) & (F.col("p.epg_id") < F.col("q.epg_id")))
-    rows = met.select(F.col("p.epg_id").alias("a"), F.col("q.epg_id").alias("b"), F.col("p.title").alias("title"), F.col("p.bucket").alias("x"), F.col("q.bucket").alias("y")).distinct()
+    near = lambda df: df.select(*[c for c in df.columns if c != "bucket"], "bucket", F.explode(F.sequence(F.col("bucket") - tolerance, F.col("bucket") + tolerance)).alias("at")) if tolerance else df.withColumn("at", F.col("bucket"))
+    if pairs is None:
+        p, q = prints.alias("p"), near(prints).alias("q")
+        met = p.join(q, (F.col("p.title") == F.col("q.title")) & (F.col("p.bucket") == F.col("q.at")) & (F.col("p.epg_id") < F.col("q.epg_id")))
+        rows = met.select(F.col("p.epg_id").alias("a"), F.col("q.epg_id").alias("b"), F.col("p.title").alias("title"), F.col("p.bucket").alias("x"), F.col("q.bucket").alias("y")).distinct()
+    else:
+        p = pairs.join(prints.toDF(*["a" if c == "epg_id" else c for c in prints.columns]), "a").select("a", "b", "title", F.col("bucket").alias("x"))
+        q = near(prints).select(F.col("epg_id").alias("b"), "title", F.col("bucket").alias("y"), "at")
+        rows = p.alias("p").join(q.alias("q"), (F.col("p.b") == F.col("q.b")) & (F.col("p.title") == F.col("q.title")) & (F.col("p.x") == F.col("q.at"))).select("a", "p.b", "p.title", "x", "y").distinct()
     if tolerance == 0:
         counts = rows.groupBy("a", "b").agg(F.count("*").alias("same"))
     else:
@@ -55,7 +77,8 @@ def schedule_similarity(prints: DataFrame, tolerance: int = 1) -> DataFrame:
 def equivalence_groups(prints: DataFrame, least_rows: int = 8, least_similarity: float = 0.92, tolerance: int = 1) -> DataFrame:
     """node, component of ids with at least least_rows rows whose schedules agree; chains of agreeing ids are one group."""
     enough = prints.groupBy("epg_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).select("epg_id")
-    near = schedule_similarity(prints.join(enough, "epg_id", "left_semi"), tolerance).where(F.col("similarity") >= least_similarity)
+    prints = prints.join(enough, "epg_id", "left_semi")
+    near = schedule_similarity(prints, tolerance, candidate_pairs(prints, least_similarity)).where(F.col("similarity") >= least_similarity)
     return components(near.select("a", "b"), "a", "b")
 
 

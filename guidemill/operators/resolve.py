@@ -359,7 +359,7 @@ def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, alia
 
     heading = dummy(q.where("heading"), "heading_placeholder", F.lit("blank"))
     # patterns meet each distinct key once
-    keys = q.select("strict").distinct().join(F.broadcast(special), F.rlike(F.col("strict"), F.col("pattern"))).groupBy("strict").agg(F.min(F.struct("pos", F.lower("dummy_name").alias("dn"))).alias("x"))
+    keys = q.select("strict").distinct().join(written(special, "special"), F.rlike(F.col("strict"), F.col("pattern"))).groupBy("strict").agg(F.min(F.struct("pos", F.lower("dummy_name").alias("dn"))).alias("x"))
     safety = q.select("stream_id", "strict").join(keys, "strict").select("stream_id", F.col("x.dn").alias("dn")).join(named, "dn", "left")
     safety = safety.select("stream_id", F.lit("safety_rule").alias("method"), F.lit(100.0).alias("score"), F.col("dummy_id").alias("epg_id"), F.when(F.col("dn").isNotNull(), "DUMMY_CHANNELS").alias("feed"), F.when(F.col("dn").isNotNull(), "AUTO_DUMMY").otherwise("UNMATCHED").alias("action"))
     bank = dummy(bank_signals(q).withColumnRenamed("role", "kind"), "inventory_numbered_bank", F.col("kind"))
@@ -413,12 +413,15 @@ def numbered_banks(channels: DataFrame, category: str, base: Column, slot: Colum
 def route_plan(channels: DataFrame, markets: DataFrame) -> DataFrame:
     """channels with regions: those of the strongest market that the channel's name speaks of, unless the category's is strictly stronger; then ALL.
 
+    Each distinct name and category meets the patterns once.
     markets: pos, field (name or category), pattern, regions in order, strength. Among equally strong ones of a field the first in pos counts."""
-    rows = channels.select("stream_id", F.lower("channel_name").alias("name"), F.lower("category_name").alias("category"))
-    said = F.when(F.col("field") == "category", F.col("category")).otherwise(F.col("name"))
-    met = rows.join(markets, F.rlike(said, F.col("pattern")))
-    best = met.groupBy("stream_id", "field").agg(F.max(F.struct("strength", (-F.col("pos")).alias("p"), "regions")).alias("x"))
-    best = best.groupBy("stream_id").agg(F.max(F.struct("x.strength", (F.col("field") != "category").alias("own"), "x.regions")).alias("b"))
+    said = lambda field, c: channels.select(F.lit(field).alias("field"), F.lower(c).alias("said")).where("said is not null").distinct()
+    texts = said("name", "channel_name").union(said("category", "category_name"))
+    kind = F.when(F.col("m.field") == "category", "category").otherwise("name")
+    met = texts.alias("t").join(written(markets, "markets").alias("m"), (F.col("t.field") == kind) & F.rlike("t.said", F.col("m.pattern")))
+    found = met.groupBy("t.field", "t.said").agg(F.max(F.struct("strength", (-F.col("pos")).alias("p"), "regions")).alias("x"))
+    rows = channels.select("stream_id", F.explode(F.array(F.struct(F.lit("name").alias("field"), F.lower("channel_name").alias("said")), F.struct(F.lit("category").alias("field"), F.lower("category_name").alias("said")))).alias("s")).select("stream_id", "s.*")
+    best = rows.join(found, ["field", "said"]).groupBy("stream_id").agg(F.max(F.struct("x.strength", (F.col("field") != "category").alias("own"), "x.regions")).alias("b"))
     out = channels.drop("regions").join(best.select("stream_id", F.col("b.regions").alias("regions")), "stream_id", "left")
     return out.withColumn("regions", F.array_distinct(F.concat(F.coalesce("regions", F.array().cast("array<string>")), F.array(F.lit("ALL")))))
 

@@ -384,6 +384,21 @@ def test_gate_of_numbers_and_directions(spark):
     assert {r.k for r in met} == {1, 2}
 
 
+def test_groups_by_rare_titles_are_those_of_all_pairs(spark):
+    chance = random.Random(6)
+    rows = set()
+    for k in range(40):
+        base = random.Random(k // 4)
+        for hour in range(chance.randint(8, 14)):
+            title = "news" if hour % 3 == 0 else f"show {base.randrange(60)}"
+            rows.add((f"id{k}", hour * 2 + (chance.random() < 0.2), title if chance.random() < 0.95 else "changed"))
+    prints = spark.createDataFrame(sorted(rows), "epg_id string, bucket long, title string")
+    for least in (0.5, 0.8, 0.92):
+        every = {(r.a, r.b) for r in equivalence.schedule_similarity(prints, 1).where(F.col("similarity") >= least).collect()}
+        some = {(r.a, r.b) for r in equivalence.schedule_similarity(prints, 1, equivalence.candidate_pairs(prints, least)).where(F.col("similarity") >= least).collect()}
+        assert some == every and (every or least > 0.9)
+
+
 def test_greedy_similarity(spark):
     prints = spark.createDataFrame([("A", 1, "t"), ("A", 2, "t"), ("B", 0, "t"), ("B", 1, "t"), ("C", 1, "t"), ("C", 3, "t")], "epg_id string, bucket long, title string")
     got = {(r.a, r.b): r.same for r in equivalence.schedule_similarity(prints, 1).collect()}
