@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from guidemill.functions.names import ID_ENDING, with_candidates, with_channels
 from guidemill.functions.similarity import best_choices, blend_of, ratio_of
 from guidemill.functions.text import acronym, bag_key, compact_key, split_camel, strict_key, tokens
+from guidemill.functions.time import iso
 from guidemill.functions.vocabulary import BANK_CATEGORIES, BANK_WORDS, EDGE_SIGNS, MEANINGFUL, MOVIE_BANK_WORDS, OPTIONAL, TECHNICAL, Vocabulary
 from guidemill.sources.tables import written
 
@@ -338,13 +339,18 @@ def read_candidates(candidates: DataFrame, vocabulary: Vocabulary | None = None)
     return out.unionByName(out.where("region <> 'ALL'").withColumn("region", F.lit("ALL")))
 
 
-def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, aliases: DataFrame, rules: DataFrame, special: DataFrame, panel: DataFrame, covered: list[str] | None = None, vocabulary: Vocabulary | None = None, review: bool = True) -> DataFrame:
+#: What resolve() can show of a name beside its regions, core and market.
+DETAILS = ["category_namespace", "category_topic", "category_market", "inventory_role", "strict", "wrappers", "languages", "explicit"]
+
+
+def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, aliases: DataFrame, rules: DataFrame, special: DataFrame, panel: DataFrame, covered: list[str] | None = None, vocabulary: Vocabulary | None = None, review: bool = True, details: bool = False) -> DataFrame:
     """The waterfall over channels (stream_id, channel_name, category_name, panel_epg_id; category_id and regions if there are any).
 
     candidates: epg_id, feed, region, source_priority, display_name; family if there is one. dummies: name, epg_id; those named blank, movie and event stand for headings and
     numbered banks. aliases: see ordered_lookup(read). rules: see rule_match(). special: pos, pattern, dummy_name (null: UNMATCHED) on the strict key. panel: epg_id,
     status. covered: regions that have a catalogue, those of candidates if not given; a channel whose market was said outright and has none keeps a usable panel id or stays
-    unmatched before any similarity is tried. review: also look for similar names, which are never matched without a person.
+    unmatched before any similarity is tried. review: also look for similar names, which are never matched without a person. details:
+    also what was read of each name (DETAILS).
 
     Stages in order: heading, special case, numbered bank of the inventory, generic numbered channel, no catalogue, approved alias, rule, equal keys, containment of regional
     names, languages of the category, regional extension, spelling, panel id, station's call sign, similarity. Names are read once and written."""
@@ -391,7 +397,11 @@ def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, alia
     if review:
         short = ~F.contains("descriptor_relaxed", F.lit(" ")) & (F.length("descriptor_relaxed") < 5)
         later.append(fuzzy_match(left.where(~short).join(kept, "stream_id", "left_anti"), c, key="strict").withColumns({"action": F.lit("REVIEW"), "reason": F.lit("similar names are never matched without review")}))
-    out = first_stage(q.select(*channels.columns, *[x for x in ("regions", "core", "market") if x not in channels.columns]), [*exact, *later])
+    shown = ["regions", "core", "market"]
+    if details:
+        roles = bank_signals(q).select("stream_id", F.concat(F.col("role"), F.lit("_bank")).alias("inventory_role"))
+        q, shown = q.join(roles, "stream_id", "left").fillna("linear", ["inventory_role"]), [*shown, *DETAILS]
+    out = first_stage(q.select(*channels.columns, *[x for x in shown if x not in channels.columns]), [*exact, *later])
     return out.withColumn("source", F.when(F.col("action") == "REVIEW", "epgshare_candidate").when(F.col("feed") == "DUMMY_CHANNELS", "dummy").when(F.col("action") == "KEEP_PANEL", "panel").when(F.col("epg_id").isNotNull(), "epgshare").otherwise(""))
 
 
@@ -494,3 +504,47 @@ def review_report(resolved: DataFrame, quality: DataFrame) -> DataFrame:
     out = resolved.join(q, F.lower(F.trim("panel_epg_id")) == F.col("pid"), "left").drop("pid")
     blank = F.trim(F.coalesce("panel_epg_id", F.lit(""))) == ""
     return out.withColumns({"panel_status": F.when(blank, "NO_PANEL_ID").otherwise(F.coalesce("panel_status", F.lit("NOT_CHECKED"))), "live_rows": F.coalesce("live_rows", F.lit(0))})
+
+
+#: Columns of a match report, in their order: fixed values.
+REPORT = [
+    "server_id", "stream_id", "category_id", "category_name", "category_namespace", "category_topic", "category_market", "inventory_role", "channel_number", "channel_name", "normalized_name", "parsed_channel_name", "detected_region", "route_plan",
+    "route_reason", "provider_wrappers", "language_hints", "panel_epg_id", "panel_epg_status", "panel_usable_programmes", "panel_latest_stop_utc", "action", "source", "epg_id", "epg_feed", "best_score", "second_epg_id", "second_epg_feed", "second_score",
+    "score_margin", "reason", "match_method",
+]
+
+
+def match_report(resolved: DataFrame, candidates: DataFrame, quality: DataFrame, server_id: str) -> DataFrame:
+    """The report of a server's channels, columns REPORT, from resolve(details=True), its candidates and the quality of panel ids (panel_quality()).
+
+    Text is blank and scores are null where there is nothing to say."""
+    rows = review_report(resolved, quality)
+    feeds = candidates.groupBy(F.col("epg_id").alias("alternate")).agg(F.min(F.struct("source_priority", "feed"))["feed"].alias("second_epg_feed"))
+    rows = rows.join(feeds, "alternate", "left")
+    has = F.col("alternate").isNotNull()
+    said = lambda c, other="": F.coalesce(F.col(c).cast("string"), F.lit(other)) if c in rows.columns else F.lit(other)
+    fresh = {
+        "server_id": F.lit(server_id),
+        "channel_number": said("channel_number"),
+        "category_id": said("category_id"),
+        "normalized_name": said("strict"),
+        "parsed_channel_name": said("core"),
+        "detected_region": F.when(F.coalesce("market", F.lit("")) != "", F.col("market")).otherwise(F.coalesce(F.get("regions", F.lit(0)), F.lit("ALL"))),
+        "route_plan": F.array_join("regions", " > "),
+        "route_reason": F.when(F.col("explicit"), "the name or its category says so").when(F.coalesce("market", F.lit("")) != "", "the category suggests it").otherwise("no clue to a region"),
+        "provider_wrappers": F.array_join("wrappers", " | "),
+        "language_hints": F.array_join(F.array_sort("languages"), " | "),
+        "panel_epg_id": said("panel_epg_id"),
+        "panel_epg_status": said("panel_status"),
+        "panel_usable_programmes": F.col("live_rows").cast("long"),
+        "panel_latest_stop_utc": F.coalesce(iso(F.col("latest_stop")), F.lit("")),
+        "epg_id": said("epg_id"),
+        "epg_feed": said("feed"),
+        "best_score": F.when(F.col("source").isin("epgshare", "epgshare_candidate"), F.round("score", 1)),
+        "second_epg_id": said("alternate"),
+        "second_epg_feed": said("second_epg_feed"),
+        "second_score": F.when(has, F.round("score", 1)),
+        "score_margin": F.when(F.col("margin").isNotNull(), F.round("margin", 1)).when(F.col("source") == "epgshare", F.when(has, 0.0).otherwise(100.0)),
+        "match_method": F.col("method"),
+    }
+    return rows.select(*[fresh[c].alias(c) if c in fresh else said(c).alias(c) for c in REPORT])

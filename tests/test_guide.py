@@ -367,6 +367,22 @@ def test_banks_and_prefixes_of_an_inventory(spark):
     assert {r.stream_id: r.core for r in read.collect()}["10"] == "Station 10 News"  # ABC stands before 40 % of the category's names
 
 
+def test_match_report_has_all_columns(spark):
+    catalogue = [("Alpha.One.us", "US1", "US"), ("Alpha.One.HD.us", "US2", "US")]
+    c = spark.createDataFrame([(*x, 10 + k) for k, x in enumerate(catalogue)], CANDIDATES)
+    q = spark.createDataFrame([("1", "7", "NA | USA", "US: Alpha One", None), ("2", "7", "NA | USA", "Zeta", "p"), ("3", "8", "", "Nothing", "")], "stream_id string, category_id string, category_name string, channel_name string, panel_epg_id string")
+    none = lambda schema: spark.createDataFrame([], schema)
+    known = aliases.aliases(none("alias string, epg_ids string, row_idx int"))
+    found = resolve.resolve(q, c, none("name string, epg_id string"), known, none(RULES), none(SPECIAL), spark.createDataFrame([("p", "USABLE")], "epg_id string, status string"), details=True)
+    quality = spark.createDataFrame([("P", "USABLE", 4, NOW)], "epg_id string, status string, live_rows long, latest_stop long")
+    report = resolve.match_report(found, c, quality, "s")
+    assert report.columns == resolve.REPORT
+    got = {r.stream_id: r for r in report.collect()}
+    assert (got["1"].epg_id, got["1"].second_epg_id, got["1"].second_epg_feed, got["1"].best_score, got["1"].score_margin, got["1"].provider_wrappers, got["1"].category_namespace, got["1"].detected_region) == ("Alpha.One.us", "Alpha.One.HD.us", "US2", 100.0, 0.0, "US", "NA", "US")
+    assert (got["2"].action, got["2"].panel_usable_programmes, got["2"].panel_latest_stop_utc, got["2"].best_score) == ("KEEP_PANEL", 4, "2024-01-20T00:00:00Z", None)
+    assert (got["3"].action, got["3"].panel_epg_status, got["3"].route_plan, got["3"].inventory_role) == ("UNMATCHED", "NO_PANEL_ID", "ALL", "linear")
+
+
 def test_call_signs_and_extensions(spark):
     catalogue = [("KABC-DT.Los.Angeles.us_locals1", "US1", "US"), ("KSHB-DT.us_locals1", "US1", "US"), ("Khabar.Bihar.Jharkhand.Himachal.in", "IN1", "IN")]
     channels = [("1", "Seven Eyewitness (KABC) Southland", "USA", None), ("2", "KSHB-DT3 Retro Reruns Forever", "USA", None), ("3", "Zebra KIDS Unrelated Words", "USA", None), ("4", "Khabar Bihar Jharkhand HD", "INDIA", None), ("5", "Khabar Bihar", "INDIA", None), ("6", "Seven Eyewitness (KABC) Southland", "USA", "p"), ("7", "Nine KSHB-TV", "USA", None)]
