@@ -29,7 +29,7 @@ LANGUAGE_WORDS = {
 }
 #: Codes that stand before a name, from a separator or as a word.
 WRAPPERS = [
-    "pb", "mal", "tm", "tl", "tg", "guj", "kan", "kn", "ori", "cri", "cric", "airtel", "d2h", "ts", "at", "tata", "tata play", "tata sky", "dish tv", "videocon d2h", "skytv", "sky", "live", "ukhd", "ukfhd", "uksd", "ukuhd", "uk4k",
+    "pb", "mal", "tm", "tl", "tg", "guj", "kan", "kn", "ori", "cri", "cric", "airtel", "d2h", "ts", "at", "tata", "tata play", "tata sky", "dish tv", "videocon d2h", "sky", "live", "ukhd", "ukfhd", "uksd", "ukuhd", "uk4k",
     "uk hd", "uk fhd", "uk sd", "in news", "in guj", "in gujarati", "in punjabi", "in tamil", "in telugu", "in malayalam", "in kannada", "in marathi", "in bangla", "in bengali", "ca fr", "us spanish", "us english", "latin", "religious",
     "ph", "eng", "sports", "sport", "pjb", "mly", "gjr", "mrt", "tlg", "bgl", "tam", "bho", "bhoj", "my", "bd",
 ]

@@ -21,7 +21,7 @@ from guidemill.operators import export, guide, icons, mapping, publish
 from guidemill.sources.catalog import registry_json, registry_table
 
 #: Endings of a server's reports that are made public: fixed values.
-PUBLIC_REPORTS = ["_tivimate_manifest.json", "_validation.json", "_refresh_plan.json", "_next_refresh_utc.txt"]
+PUBLIC_REPORTS = ["_guide_manifest.json", "_validation.json", "_refresh_plan.json", "_next_refresh_utc.txt"]
 #: Columns that take part in a mapping's digest: fixed values.
 DIGEST_COLUMNS = ["server_id", "stream_id", "category_id", "category_name", "channel_name", "action", "source", "epg_id", "epg_feed", "reason"]
 
@@ -87,7 +87,7 @@ def build_package(rows: DataFrame, server_id: str, registry: DataFrame, programm
         none = rows.sparkSession.createDataFrame([], "feed string, epg_id string, url string")
         found = icons.resolve_icons(keyed, server_id, overrides, source_icons if source_icons is not None else none).cache()
 
-    data = out / f"{server_id}_tivimate.xml.gz"
+    data = out / f"{server_id}_guide.xml.gz"
     shown = found.select("output_id", "url") if found is not None else None
     digest = publish.write_guide(data, entries, window, shown)
     declared = entries.select("channel_id")
@@ -129,10 +129,10 @@ def build_package(rows: DataFrame, server_id: str, registry: DataFrame, programm
         covered = mapping.programme_coverage(inventory, final.select("stream_id", "has_programmes"), "stream_id", ["category_id", "category_name"], "has_programmes", "row_idx")
         write_csv(out / f"{server_id}_category_programme_coverage.csv", covered, F.desc("programme_percent"), F.desc("channels"), "category_name")
     write_json(out / f"{server_id}_validation.json", checked)
-    write_json(out / f"{server_id}_tivimate_manifest.json", manifest)
+    write_json(out / f"{server_id}_guide_manifest.json", manifest)
     lines = [f"Programme guide of {server_id}", "", f"Generated: {utc(now)}", f"Mapped streams: {streams['mapped']}, with programmes: {streams['with']}", f"Programme rows: {checked['programmes']}", f"Build again at: {plan['refresh_at_utc']}", "", f"{data.name} is all that a player needs. No address, name or password of the server is in any file."]
     (out / "README.txt").write_text("\n".join(lines) + "\n")
-    zipped(out, out.parent / f"{server_id}_tivimate_epg_output.zip")
+    zipped(out, out.parent / f"{server_id}_guide_output.zip")
     for df in (prepared, window, keyed, entries):
         df.unpersist()
     return manifest

@@ -103,11 +103,11 @@ def server_id(value: str, known: list[str] | None = None) -> str:
     return out
 
 
-def standard_addresses(base: str, code: str) -> tuple[str, str]:
-    """Where a source of a code keeps its catalogue and its guide below a base address."""
+def standard_addresses(base: str, code: str, names: tuple[str, str] = ("{code}.txt", "{code}.xml.gz")) -> tuple[str, str]:
+    """Where a source of a code keeps its catalogue and its guide below a base address, by patterns of their names."""
     if not re.fullmatch(SOURCE_CODE, code):
         raise ValueError(f"{code!r} is no source code")
-    return f"{base.rstrip('/')}/epg_ripper_{code}.txt", f"{base.rstrip('/')}/epg_ripper_{code}.xml.gz"
+    return tuple(f"{base.rstrip('/')}/{x.replace('{code}', code)}" for x in names)
 
 
 def with_cache_buster(url: str, stamp: int) -> str:

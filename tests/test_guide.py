@@ -162,9 +162,9 @@ def test_packages_and_public_folder(spark, tmp_path):
     out, public = tmp_path / "s" / "output", tmp_path / "public"
     manifest = package.build_package(rows, "s", registry(spark), programmes, out, NOW, inventory=inventory)
     assert (manifest["mappedStreams"], manifest["mappedStreamsWithProgrammes"], manifest["catalogStreams"], manifest["xmltvChannels"], manifest["programmeRows"]) == (3, 2, 4, 3, 15)
-    assert manifest["dataSha256"] == publish.sha256_file(out / manifest["dataFile"]) and json.loads((out / "s_tivimate_manifest.json").read_text()) == manifest
+    assert manifest["dataSha256"] == publish.sha256_file(out / manifest["dataFile"]) and json.loads((out / "s_guide_manifest.json").read_text()) == manifest
     assert (out / "s_missing_epg_ids.csv").read_text(encoding="utf-8-sig").splitlines()[1:] == ["US1,gone,1,Ch 2"]
-    assert (out / "s_category_programme_coverage.csv").read_text(encoding="utf-8-sig").count("\n") == 3 and (tmp_path / "s" / "s_tivimate_epg_output.zip").is_file()
+    assert (out / "s_category_programme_coverage.csv").read_text(encoding="utf-8-sig").count("\n") == 3 and (tmp_path / "s" / "s_guide_output.zip").is_file()
     again = package.build_package(rows.repartition(3), "s", registry(spark), programmes.repartition(2), tmp_path / "again" / "output", NOW, inventory=inventory)
     assert {k: v for k, v in again.items() if k != "compressedBytes"} == {k: v for k, v in manifest.items() if k != "compressedBytes"}
     with pytest.raises(ValueError, match="no mapped id"):
@@ -179,7 +179,7 @@ def test_packages_and_public_folder(spark, tmp_path):
     package.clear_public(public)
     build = package.publish_server("s", out, public, manifest)
     package.write_index(public, [build], NOW)
-    assert json.loads((public / "epg" / "index.json").read_text())["builds"] == [build] and "s_tivimate.xml.gz" in (public / "index.html").read_text()
+    assert json.loads((public / "epg" / "index.json").read_text())["builds"] == [build] and "s_guide.xml.gz" in (public / "index.html").read_text()
     assert (public / "reports" / "s" / "s_refresh_plan.json").is_file() and json.loads((public / "health.json").read_text())["servers"] == 1
     (tmp_path / "logos").mkdir()
     for name in ("a.PNG", "b.exe"):
@@ -226,7 +226,7 @@ def test_misnamed_guides_missing_catalogues_and_regions(spark, tmp_path):
         catalog.read_catalogs(spark, {"Y": str(tmp_path / "none.txt")}, [])
     sources = catalog.register([], {"source_code": "US1", "region": "us", "match_keywords": "Us, usa "}, base="https://h/x/")
     sources = catalog.register(sources, {"name": "d", "kind": "dummy", "region": "DUMMY", "xml_url": "https://h/d"})
-    assert [(x["name"], x["ordinal"], x["txt_url"]) for x in sources] == [("US1", 0, "https://h/x/epg_ripper_US1.txt"), ("D", 1, "")]
+    assert [(x["name"], x["ordinal"], x["txt_url"]) for x in sources] == [("US1", 0, "https://h/x/US1.txt"), ("D", 1, "")]
     with pytest.raises(ValueError, match="twice"):
         catalog.register(sources, {"source_code": "us1", "region": "UK"})
     assert [x["region"] for x in catalog.register(sources, {"name": "us1", "region": "UK"}, overwrite=True)] == ["DUMMY", "UK"]
