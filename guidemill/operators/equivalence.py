@@ -78,7 +78,8 @@ def equivalence_groups(prints: DataFrame, least_rows: int = 8, least_similarity:
     """node, component of ids with at least least_rows rows whose schedules agree; chains of agreeing ids are one group."""
     enough = prints.groupBy("epg_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).select("epg_id")
     prints = prints.join(enough, "epg_id", "left_semi")
-    near = schedule_similarity(prints, tolerance, candidate_pairs(prints, least_similarity)).where(F.col("similarity") >= least_similarity)
+    pairs = candidate_pairs(prints, least_similarity) if least_similarity >= 0.5 else None  # below that nearly all titles are among an id's rarest
+    near = schedule_similarity(prints, tolerance, pairs).where(F.col("similarity") >= least_similarity)
     return components(near.select("a", "b"), "a", "b")
 
 
