@@ -246,7 +246,9 @@ def fuzzy_candidates(channels: DataFrame, candidates: DataFrame, limit: int = 30
 
 def fuzzy_match(channels: DataFrame, candidates: DataFrame, least: float = 80.0, key: str = "descriptor_relaxed", **options) -> DataFrame:
     """Stage of similarity, for review only: the best family by blend, its margin over the second best family."""
-    top = fuzzy_candidates(channels, candidates, key=key, **options).withColumn("score", blend_of("q", "candidate_key"))
+    top = written(fuzzy_candidates(channels, candidates, key=key, **options), "similar")
+    scored = top.select("q", "candidate_key").distinct().withColumn("score", blend_of("q", "candidate_key"))  # each pair of names once, however many channels have it
+    top = top.join(scored, ["q", "candidate_key"])
     q = in_regions(channels)
     met = top.alias("t").join(q.alias("q"), (F.col("t.stream_id") == F.col("q.stream_id")) & (F.col("t.region") == F.col("q.region"))).join(candidates.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("t.candidate_key") == F.col(f"c.{key}")) & compatible("q", "c"))
     rows = met.select("t.stream_id", "t.score", "c.family", preference().alias("pref"))
