@@ -25,6 +25,8 @@ READ_METHODS = [("strict", "strict", 100.0), ("edition_aware", "edition_aware",
 #: Least length of a key of one word; of spacing_compact, of any.
 ONE_WORD = {"canonical_identity": 4, "edition_aware": 3, "descriptor_relaxed": 5}
 MARKS = ["words", "numbers", "direction", "plus", "extra", "alternate", "shift", "languages", "content", "meaningful"]
+#: What in_classes() says of a class c of candidates.
+CLASS = ["c.lo", "c.hi", "c.best", "c.next"]
 
 
 def key_columns(name: Column) -> dict[str, Column]:
@@ -92,6 +94,35 @@ def unique_family(matches: DataFrame, by: list[str]) -> DataFrame:
     return got.select(*by, "family", best["epg_id"].alias("epg_id"), best["feed"].alias("feed"), F.get(others, F.lit(0))["epg_id"].alias("alternate"))
 
 
+def _classes(rows: DataFrame, by: list[str]) -> DataFrame:
+    """rows (by..., family, pref) that are equal in `by` as one: lo and hi, their least and greatest family, best, the preferred one, and next, of one family's the preferred one with another id."""
+    one = rows.groupBy(*by).agg(F.min("family").alias("lo"), F.max("family").alias("hi"), F.min("pref").alias("best"))
+    other = rows.join(one.where("lo = hi"), by).where(F.lower("pref.epg_id") != F.lower("best.epg_id")).groupBy(*by).agg(F.min("pref").alias("next"))
+    return one.join(other, by, "left")
+
+
+def in_classes(candidates: DataFrame, by: list[str]) -> DataFrame:
+    """Candidates that are equal in `by` as one row (by..., lo, hi, best, next), so that many of one name meet a channel as one. A null in `by` agrees with nothing."""
+    return _classes(candidates.alias("c").select(*[F.col(f"c.{x}") for x in by], F.col("c.family").alias("family"), preference().alias("pref")), by)
+
+
+def unique_class(met: DataFrame, by: list[str]) -> DataFrame:
+    """unique_family() of matches with classes of candidates (by..., lo, hi, best, next)."""
+    got = met.groupBy(*by).agg(F.min("lo").alias("family"), F.max("hi").alias("other"), F.min("best").alias("best"), F.collect_set("best").alias("prefs"), F.collect_set("next").alias("more")).where("family = other")
+    others = F.filter(F.concat("prefs", "more"), lambda x: F.lower(x["epg_id"]) != F.lower(F.col("best.epg_id")))
+    return got.select(*by, "family", F.col("best.epg_id").alias("epg_id"), F.col("best.feed").alias("feed"), F.array_min(others)["epg_id"].alias("alternate"))
+
+
+def of_classes(channels: DataFrame, columns: list[str], stage) -> DataFrame:
+    """stage(channels), of which one row of a class of streams is made: those whose rows say the same in `columns`, all that the stage reads. Each stream gets its class's rows.
+
+    stage: takes stream_id and `columns`, gives rows by stream_id. All rows of a stream_id count together, as they do in the stage."""
+    streams = channels.select("stream_id", F.struct(*dict.fromkeys(columns)).alias("row")).groupBy("stream_id").agg(F.array_sort(F.collect_set("row")).alias("rows"))
+    classes = written(streams.groupBy("rows").agg(F.min("stream_id").alias("rep")), "classes")
+    found = stage(classes.select(F.col("rep").alias("stream_id"), F.explode("rows").alias("row")).select("stream_id", "row.*")).withColumnRenamed("stream_id", "for")
+    return streams.join(classes.join(found, F.col("rep").eqNullSafe(F.col("for"))).drop("rep", "for"), "rows").drop("rows")
+
+
 def _name_attempts(methods: list[tuple[str, float, int]]):
     some = F.array(*[F.struct(F.lit(k).alias("attempt"), F.lit(m).alias("method"), F.lit(s).alias("score"), F.lit(m).alias("index"), F.when(F.length(m) >= n, F.col(m)).alias("key")) for k, (m, s, n) in enumerate(methods)])
     return some, F.array(*[F.struct(F.lit(m).alias("index"), F.when(F.length(m) >= n, F.col(m)).alias("key")) for m, _, n in methods])
@@ -117,12 +148,18 @@ def exact_key_match(channels: DataFrame, candidates: DataFrame, methods: list[tu
     channels: stream_id, regions, key columns. candidates: epg_id, feed, region, family, source_priority, key columns. One equi-join over all keys.
     read: the columns are those of functions.names, and all its keys are tried in its order."""
     attempts, keys = _read_attempts() if read else _name_attempts(methods)
-    q = in_regions(channels).select("stream_id", "region_pos", "region", *MARKS, F.explode(attempts).alias("a")).select("stream_id", "region_pos", "region", *MARKS, "a.*").where("key is not null and key <> ''")
     c = candidates.select("epg_id", "feed", "region", "family", "source_priority", *MARKS, F.explode(keys).alias("a")).select("*", "a.index", "a.key").drop("a").where("key is not null and key <> ''")
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.index") == F.col("c.index")) & (F.col("q.key") == F.col("c.key")) & compatible("q", "c"))
-    rows = unique_family(met.select("q.stream_id", "q.region_pos", "q.attempt", "q.method", "q.score", "c.family", preference().alias("pref")), ["stream_id", "region_pos", "attempt", "method", "score"])
-    first = Window.partitionBy("stream_id").orderBy("region_pos", "attempt")
-    return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos", "attempt")
+    c = in_classes(c, ["region", "index", "key", *MARKS])
+    said = ["canonical_identity", "token_multiset", *[x for method in READ_METHODS for x in method[:2]]] if read else [m for m, _, _ in methods]
+
+    def stage(channels):
+        q = in_regions(channels).select("stream_id", "region_pos", "region", *MARKS, F.explode(attempts).alias("a")).select("stream_id", "region_pos", "region", *MARKS, "a.*").where("key is not null and key <> ''")
+        met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.index") == F.col("c.index")) & (F.col("q.key") == F.col("c.key")) & compatible("q", "c"))
+        rows = unique_class(met.select("q.stream_id", "q.region_pos", "q.attempt", "q.method", "q.score", *CLASS), ["stream_id", "region_pos", "attempt", "method", "score"])
+        first = Window.partitionBy("stream_id").orderBy("region_pos", "attempt")
+        return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos", "attempt")
+
+    return of_classes(channels, ["regions", *MARKS, *said], stage)
 
 
 def ordered_lookup(channels: DataFrame, aliases: DataFrame, candidates: DataFrame, key: str = "descriptor_relaxed", read: bool = False) -> DataFrame:
