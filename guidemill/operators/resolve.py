@@ -114,13 +114,13 @@ def unique_class(met: DataFrame, by: list[str]) -> DataFrame:
 
 
 def of_classes(channels: DataFrame, columns: list[str], stage) -> DataFrame:
-    """stage(channels), of which one row of a class of streams is made: those whose rows say the same in `columns`, all that the stage reads. Each stream gets its class's rows.
+    """The rows that stage(channels) has for each stream, found once for all streams whose rows say the same in `columns`, which are all that the stage reads.
 
     stage: takes stream_id and `columns`, gives rows by stream_id. All rows of a stream_id count together, as they do in the stage."""
     streams = channels.select("stream_id", F.struct(*dict.fromkeys(columns)).alias("row")).groupBy("stream_id").agg(F.array_sort(F.collect_set("row")).alias("rows"))
-    classes = written(streams.groupBy("rows").agg(F.min("stream_id").alias("rep")), "classes")
-    found = stage(classes.select(F.col("rep").alias("stream_id"), F.explode("rows").alias("row")).select("stream_id", "row.*")).withColumnRenamed("stream_id", "for")
-    return streams.join(classes.join(found, F.col("rep").eqNullSafe(F.col("for"))).drop("rep", "for"), "rows").drop("rows")
+    classes = written(streams.select("rows").distinct().withColumn("class", F.monotonically_increasing_id()), "classes")
+    found = stage(classes.select(F.col("class").alias("stream_id"), F.explode("rows").alias("row")).select("stream_id", "row.*"))
+    return streams.join(classes.join(found.withColumnRenamed("stream_id", "class"), "class").drop("class"), "rows").drop("rows")
 
 
 def _name_attempts(methods: list[tuple[str, float, int]]):
@@ -283,16 +283,21 @@ def fuzzy_candidates(channels: DataFrame, candidates: DataFrame, limit: int = 30
 
 def fuzzy_match(channels: DataFrame, candidates: DataFrame, least: float = 80.0, key: str = "descriptor_relaxed", **options) -> DataFrame:
     """Stage of similarity, for review only: the best family by blend, its margin over the second best family."""
-    top = written(fuzzy_candidates(channels, candidates, key=key, **options), "similar")
-    scored = top.select("q", "candidate_key").distinct().withColumn("score", blend_of("q", "candidate_key"))  # each pair of names once, however many channels have it
-    top = top.join(scored, ["q", "candidate_key"])
-    q = in_regions(channels)
-    met = top.alias("t").join(q.alias("q"), (F.col("t.stream_id") == F.col("q.stream_id")) & (F.col("t.region") == F.col("q.region"))).join(candidates.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("t.candidate_key") == F.col(f"c.{key}")) & compatible("q", "c"))
-    rows = met.select("t.stream_id", "t.score", "c.family", preference().alias("pref"))
-    by_family = rows.groupBy("stream_id", "family").agg(F.max(F.struct("score")).alias("s"), F.min("pref").alias("pref")).withColumn("score", F.col("s.score"))
-    order = Window.partitionBy("stream_id").orderBy(F.desc("score"), "family")
-    ranked = by_family.withColumn("k", F.row_number().over(order)).withColumn("second", F.lead("score").over(order)).where((F.col("k") == 1) & (F.col("score") >= least))
-    return ranked.select("stream_id", F.lit("contextual_fuzzy").alias("method"), "score", F.col("pref.epg_id").alias("epg_id"), F.col("pref.feed").alias("feed"), "family", (F.col("score") - F.coalesce("second", F.lit(0.0))).alias("margin"))
+    by = list(dict.fromkeys(["region", "family", key, *MARKS]))
+    c = candidates.alias("c").select(*by, preference().alias("pref")).groupBy(*by).agg(F.min("pref").alias("pref"))
+
+    def stage(channels):
+        top = written(fuzzy_candidates(channels, candidates, key=key, **options), "similar")
+        scored = top.select("q", "candidate_key").distinct().withColumn("score", blend_of("q", "candidate_key"))  # each pair of names once, however many channels have it
+        top = top.join(scored, ["q", "candidate_key"])
+        q = in_regions(channels)
+        met = top.alias("t").join(q.alias("q"), (F.col("t.stream_id") == F.col("q.stream_id")) & (F.col("t.region") == F.col("q.region"))).join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("t.candidate_key") == F.col(f"c.{key}")) & compatible("q", "c"))
+        by_family = met.select("t.stream_id", "t.score", "c.family", "c.pref").groupBy("stream_id", "family").agg(F.max("score").alias("score"), F.min("pref").alias("pref"))
+        order = Window.partitionBy("stream_id").orderBy(F.desc("score"), "family")
+        ranked = by_family.withColumn("k", F.row_number().over(order)).withColumn("second", F.lead("score").over(order)).where((F.col("k") == 1) & (F.col("score") >= least))
+        return ranked.select("stream_id", F.lit("contextual_fuzzy").alias("method"), "score", F.col("pref.epg_id").alias("epg_id"), F.col("pref.feed").alias("feed"), "family", (F.col("score") - F.coalesce("second", F.lit(0.0))).alias("margin"))
+
+    return of_classes(channels, ["regions", key, *MARKS], stage)
 
 
 def first_stage(channels: DataFrame, stages: list[DataFrame]) -> DataFrame:

@@ -29,6 +29,7 @@ def sides(spark, channel, candidate):
 
 STAGES = {
     "exact": ("hot gear", "hot gear", resolve.exact_key_match),
+    "similar": ("hot gear", "hot gaer", resolve.fuzzy_match),
 }
 
 
