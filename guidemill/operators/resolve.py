@@ -212,12 +212,16 @@ def containment_match(channels: DataFrame, candidates: DataFrame, extras: list[s
         channels = core(channels).where(F.size("words") >= 3)
         brand = F.filter("words", lambda x: ~F.array_contains(known, x) & (x != "and"))
         candidates = core(candidates).where((F.size(F.array_intersect("words", known)) > 0) & (F.size(brand) > 0))
-    c = candidates.where(F.size("words") >= least).withColumn("block", rare(F.col("words")))
-    q = in_regions(channels).select("*", F.explode(F.array_distinct("words")).alias("block"))
-    extra = F.array_except("q.words", "c.words")
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("c.words", "q.words")) == 0) & (F.size(extra) > 0) & (F.size(F.array_except(extra, known)) == 0) & compatible("q", "c"))
-    most = met.select("q.stream_id", "c.family", preference().alias("pref"), F.size("c.words").alias("n")).withColumn("top", F.max("n").over(Window.partitionBy("stream_id"))).where("n = top")
-    return unique_family(most.withColumns({"method": F.lit("regional_context_containment"), "score": F.lit(97.5)}), ["stream_id", "method", "score"])
+    c = in_classes(candidates.where(F.size("words") >= least), ["region", *MARKS]).withColumn("block", rare(F.col("words")))
+
+    def stage(channels):
+        q = in_regions(channels).select("*", F.explode(F.array_distinct("words")).alias("block"))
+        extra = F.array_except("q.words", "c.words")
+        met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("c.words", "q.words")) == 0) & (F.size(extra) > 0) & (F.size(F.array_except(extra, known)) == 0) & compatible("q", "c"))
+        most = met.select("q.stream_id", *CLASS, F.size("c.words").alias("n")).withColumn("top", F.max("n").over(Window.partitionBy("stream_id"))).where("n = top")
+        return unique_class(most.withColumns({"method": F.lit("regional_context_containment"), "score": F.lit(97.5)}), ["stream_id", "method", "score"])
+
+    return of_classes(channels, ["regions", *MARKS], stage)
 
 
 def near_exact_match(channels: DataFrame, candidates: DataFrame, least_ratio: float = 84.0, careful: bool = False) -> DataFrame:

@@ -30,6 +30,7 @@ def sides(spark, channel, candidate):
 STAGES = {
     "exact": ("hot gear", "hot gear", resolve.exact_key_match),
     "similar": ("hot gear", "hot gaer", resolve.fuzzy_match),
+    "containment": ("small hot gear", "hot gear", lambda q, c: resolve.containment_match(q, c, ["small"])),
 }
 
 
