@@ -235,20 +235,25 @@ def near_exact_match(channels: DataFrame, candidates: DataFrame, least_ratio: fl
         channels, candidates = split(channels), split(candidates)
     without = lambda: F.transform(F.sequence(F.lit(1), F.size("words")), lambda k: F.struct(bag_key(F.concat(F.slice("words", 1, k - 1), F.slice(F.col("words"), k + 1, F.size("words")))).alias("rest"), F.element_at("words", k).alias("word")))
     some = lambda df: df.where(F.size("words") > 1).select("*", F.explode(without()).alias("w")).select("*", "w.rest", "w.word").drop("w")
-    q, c = some(in_regions(channels)), some(candidates)
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.rest") == F.col("c.rest")) & (F.col("q.word") != F.col("c.word")) & compatible("q", "c"))
-    if careful:
-        fine = lambda w: (F.length(w) >= 5) & ~w.rlike("^[0-9]+$") & ~w.isin(MEANINGFUL)
-        one, other = F.col("q.word"), F.col("c.word")
-        met = met.where(fine(one) & fine(other) & (F.abs(F.length(one) - F.length(other)) <= 2) & (F.substring(one, 1, 1) == F.substring(other, 1, 1)) & (F.contains("q.rest", F.lit(" ")) | (F.length("q.rest") >= 4)))
-        scored = met.select("q.stream_id", "q.region_pos", "c.family", preference().alias("pref"), ratio_of(one, other).alias("score")).where(F.col("score") >= least_ratio)
-        best = scored.withColumn("top", F.max("score").over(Window.partitionBy("stream_id", "region_pos"))).where("score = top")
-        rows = unique_family(best.select("stream_id", "region_pos", F.round("score", 1).alias("score"), "family", "pref"), ["stream_id", "region_pos", "score"])
-        first = Window.partitionBy("stream_id").orderBy("region_pos")
-        return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos").withColumn("method", F.lit("near_exact_orthography"))
-    scored = met.select("q.stream_id", "c.family", preference().alias("pref"), ratio_of(F.col("q.word"), F.col("c.word")).alias("score")).where(F.col("score") >= least_ratio)
-    best = scored.withColumn("top", F.max("score").over(Window.partitionBy("stream_id"))).where("score = top").withColumn("method", F.lit("near_exact_orthography"))
-    return unique_family(best.select("stream_id", "method", "score", "family", "pref"), ["stream_id", "method", "score"])
+    c = some(in_classes(candidates, ["region", *MARKS]))
+
+    def stage(channels):
+        q = some(in_regions(channels))
+        met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.rest") == F.col("c.rest")) & (F.col("q.word") != F.col("c.word")) & compatible("q", "c"))
+        if careful:
+            fine = lambda w: (F.length(w) >= 5) & ~w.rlike("^[0-9]+$") & ~w.isin(MEANINGFUL)
+            one, other = F.col("q.word"), F.col("c.word")
+            met = met.where(fine(one) & fine(other) & (F.abs(F.length(one) - F.length(other)) <= 2) & (F.substring(one, 1, 1) == F.substring(other, 1, 1)) & (F.contains("q.rest", F.lit(" ")) | (F.length("q.rest") >= 4)))
+            scored = met.select("q.stream_id", "q.region_pos", *CLASS, ratio_of(one, other).alias("score")).where(F.col("score") >= least_ratio)
+            best = scored.withColumn("top", F.max("score").over(Window.partitionBy("stream_id", "region_pos"))).where("score = top")
+            rows = unique_class(best.withColumn("score", F.round("score", 1)), ["stream_id", "region_pos", "score"])
+            first = Window.partitionBy("stream_id").orderBy("region_pos")
+            return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos").withColumn("method", F.lit("near_exact_orthography"))
+        scored = met.select("q.stream_id", *CLASS, ratio_of(F.col("q.word"), F.col("c.word")).alias("score")).where(F.col("score") >= least_ratio)
+        best = scored.withColumn("top", F.max("score").over(Window.partitionBy("stream_id"))).where("score = top").withColumn("method", F.lit("near_exact_orthography"))
+        return unique_class(best, ["stream_id", "method", "score"])
+
+    return of_classes(channels, ["regions", *MARKS], stage)
 
 
 def _blocks(keys: DataFrame, name: str, size: int) -> DataFrame:

@@ -31,6 +31,7 @@ STAGES = {
     "exact": ("hot gear", "hot gear", resolve.exact_key_match),
     "similar": ("hot gear", "hot gaer", resolve.fuzzy_match),
     "containment": ("small hot gear", "hot gear", lambda q, c: resolve.containment_match(q, c, ["small"])),
+    "spelling": ("hot gear", "hot gears", lambda q, c: resolve.near_exact_match(q, c, 80.0)),
 }
 
 
