@@ -517,14 +517,21 @@ def callsign_match(channels: DataFrame, candidates: DataFrame, display: str | No
     display: the candidates' column of names to look in instead of their ids. A sign that no candidate has doesn't count, unless it has a subchannel: then the channel is left alone."""
     said = F.concat_ws(" ", "channel_name", "panel_epg_id") if "panel_epg_id" in channels.columns else F.col("channel_name")
     signs = callsigns(said) if display is None else callsigns_of_words(said)
-    q = channels.select("stream_id", signs.alias("signs")).where(F.size("signs") > 0).select("stream_id", F.explode("signs").alias("s")).select("stream_id", "s.sign", "s.sub")
-    c = candidates.select("epg_id", "feed", "family", "source_priority", "words", F.explode(candidate_callsigns(F.col("epg_id")) if display is None else callsigns_of_words(F.col(display))).alias("s")).select("*", "s.sign", "s.sub")
-    have = c.select("sign", "sub").distinct().withColumn("known", F.lit(True))
-    q = q.join(have, ["sign", "sub"], "left")
-    wanted = q.groupBy("stream_id").agg(F.count("known").alias("wanted"), F.max(F.col("known").isNull() & (F.col("sub") != "")).alias("lost")).where("wanted > 0 and not lost").select("stream_id", "wanted")
-    met = q.where("known").join(wanted, "stream_id").alias("q").join(c.alias("c"), ["sign", "sub"])
-    rows = met.select("q.stream_id", "q.wanted", "sign", "c.family", preference().alias("pref")).groupBy("stream_id", "wanted", "family", "pref").agg(F.countDistinct("sign").alias("n")).where("n = wanted")
-    return unique_family(rows.withColumns({"method": F.lit("verified_station_identity"), "score": F.lit(99.0)}), ["stream_id", "method", "score"])
+    found = candidate_callsigns(F.col("epg_id")) if display is None else callsigns_of_words(F.col(display))
+    c = candidates.select("epg_id", "feed", "family", "source_priority", "words", F.explode(found).alias("s")).alias("c").select("c.family", preference().alias("pref"), "s")
+    c = _classes(c.groupBy("family", "pref").agg(F.array_sort(F.collect_set("s")).alias("signs")), ["signs"])
+    c = c.select("*", F.explode("signs").alias("s")).select("*", "s.sign", "s.sub")
+
+    def stage(channels):
+        q = channels.where(F.size("signs") > 0).select("stream_id", F.explode("signs").alias("s")).select("stream_id", "s.sign", "s.sub")
+        have = c.select("sign", "sub").distinct().withColumn("known", F.lit(True))
+        q = q.join(have, ["sign", "sub"], "left")
+        wanted = q.groupBy("stream_id").agg(F.count("known").alias("wanted"), F.max(F.col("known").isNull() & (F.col("sub") != "")).alias("lost")).where("wanted > 0 and not lost").select("stream_id", "wanted")
+        met = q.where("known").join(wanted, "stream_id").alias("q").join(c.alias("c"), ["sign", "sub"])
+        rows = met.select("q.stream_id", "q.wanted", "sign", "c.signs", *CLASS).groupBy("stream_id", "wanted", "signs", "lo", "hi", "best", "next").agg(F.countDistinct("sign").alias("n")).where("n = wanted")
+        return unique_class(rows.withColumns({"method": F.lit("verified_station_identity"), "score": F.lit(99.0)}), ["stream_id", "method", "score"])
+
+    return of_classes(channels.select("stream_id", signs.alias("signs")), ["signs"], stage)
 
 
 def callsigns_of_words(name: Column) -> Column:
