@@ -545,11 +545,15 @@ def extension_match(channels: DataFrame, candidates: DataFrame, region_words: li
 
     marks: the marks of both must agree, too."""
     rare = lambda w: F.element_at(F.array_sort(F.transform(w, lambda x: F.struct((-F.length(x)).alias("l"), x.alias("w")))), 1)["w"]
-    q = in_regions(channels).where(F.size("words") > 0).withColumn("block", rare(F.col("words")))
-    c = candidates.select("*", F.explode(F.array_distinct("words")).alias("block"))
+    c = in_classes(candidates, ["region", *MARKS]).select("*", F.explode(F.array_distinct("words")).alias("block"))
     extra = F.array_except("c.words", "q.words")
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("q.words", "c.words")) == 0) & F.size(extra).between(1, most) & (F.size(F.array_except(extra, F.array(*[F.lit(x) for x in region_words]))) == 0) & (compatible("q", "c") if marks else F.lit(True)))
-    return unique_family(met.select("q.stream_id", F.lit("regional_catalog_extension").alias("method"), F.lit(97.0).alias("score"), "c.family", preference().alias("pref")), ["stream_id", "method", "score"])
+
+    def stage(channels):
+        q = in_regions(channels).where(F.size("words") > 0).withColumn("block", rare(F.col("words")))
+        met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.block") == F.col("c.block")) & (F.size(F.array_except("q.words", "c.words")) == 0) & F.size(extra).between(1, most) & (F.size(F.array_except(extra, F.array(*[F.lit(x) for x in region_words]))) == 0) & (compatible("q", "c") if marks else F.lit(True)))
+        return unique_class(met.select("q.stream_id", F.lit("regional_catalog_extension").alias("method"), F.lit(97.0).alias("score"), *CLASS), ["stream_id", "method", "score"])
+
+    return of_classes(channels, ["regions", *MARKS], stage)
 
 
 def multiset_difference(a: Column, b: Column) -> Column:

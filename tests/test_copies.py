@@ -33,6 +33,7 @@ STAGES = {
     "containment": ("small hot gear", "hot gear", lambda q, c: resolve.containment_match(q, c, ["small"])),
     "spelling": ("hot gear", "hot gears", lambda q, c: resolve.near_exact_match(q, c, 80.0)),
     "callsign": ("News WABC", "WABC TV", lambda q, c: resolve.callsign_match(q, c, display="name")),
+    "extension": ("hot gear", "hot gear large", lambda q, c: resolve.extension_match(q, c, ["large"])),
 }
 
 
