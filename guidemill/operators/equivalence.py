@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from guidemill.functions.text import is_informative, normal_title
 from guidemill.functions.time import bucket
 from guidemill.operators.components import components
+from guidemill.sources.tables import written
 
 
 def fingerprints(programmes: DataFrame, now: int, horizon_hours: int = 72, minutes: int = 5, folded: bool = False) -> DataFrame:
@@ -50,11 +51,34 @@ def candidate_pairs(prints: DataFrame, least: float) -> DataFrame:
     return met.select(F.col("p.epg_id").alias("a"), F.col("q.epg_id").alias("b")).distinct()
 
 
-def schedule_similarity(prints: DataFrame, tolerance: int = 1, pairs: DataFrame | None = None) -> DataFrame:
-    """a, b (a < b), similarity of ids that share a title within the tolerance: matched rows, title by title, over the larger number of rows.
+def same_schedules(prints: DataFrame) -> DataFrame:
+    """Classes of ids with equal fingerprints: members in order, node (the first of them), n (rows). An id with repeated rows or rows without title or bucket is a class of its own."""
+    odd = F.max(F.col("title").isNull() | F.col("bucket").isNull())
+    got = prints.where("epg_id is not null").groupBy("epg_id").agg(F.count("*").alias("n"), F.array_sort(F.collect_set(F.struct("title", "bucket"))).alias("said"), odd.alias("odd"))
+    own = F.when(F.col("odd") | (F.size("said") < F.col("n")), F.col("epg_id"))
+    return got.groupBy(own.alias("own"), "said", "n").agg(F.array_sort(F.collect_list("epg_id")).alias("members")).select(F.element_at("members", 1).alias("node"), "members", "n")
+
+
+def schedule_similarity(prints: DataFrame, tolerance: int = 1, pairs: DataFrame | None = None, places: int | None = None) -> DataFrame:
+    """a, b (a < b), similarity of ids that share a title within the tolerance: matched rows, title by title, over the larger number of rows; rounded to `places`, if given.
 
     Ids meet by title and bucket only, or, if they are given, are the pairs (a, b); each title's rows of two ids are matched one to one, a's in order of time with the nearest
-    of b's that is left."""
+    of b's that is left. Ids with equal fingerprints are compared with others once; their pairs are written out at the end, without another shuffle."""
+    fine = lambda c: F.round(c, places) if places is not None else F.col(c)
+    if pairs is not None:
+        return _similar(prints, tolerance, pairs).select("a", "b", "same", fine("similarity").alias("similarity"))
+    classes = written(same_schedules(prints), "classes")
+    met = _similar(prints.join(classes.select(F.col("node").alias("epg_id")), "epg_id", "left_semi"), tolerance)
+    met = met.select("a", "b", F.struct("same", fine("similarity").alias("similarity")).alias("there"), F.struct(F.col("back").alias("same"), fine("back_similarity").alias("similarity")).alias("back"))
+    met = met.join(classes.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a").join(classes.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b")
+    each = met.select(F.explode("ma").alias("x"), "mb", "there", "back").select("x", F.explode("mb").alias("y"), "there", "back")
+    other = each.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("there")).otherwise(F.col("back")).alias("s")).select("a", "b", "s.same", "s.similarity")
+    copies = classes.where(F.size("members") > 1).select(F.posexplode("members").alias("k", "a"), "members", "n").select("a", F.explode(F.slice(F.col("members"), F.col("k") + 2, F.size("members"))).alias("b"), "n")
+    return other.union(copies.select("a", "b", F.col("n").alias("same"), F.lit(1.0).alias("similarity")))
+
+
+def _similar(prints: DataFrame, tolerance: int, pairs: DataFrame | None = None) -> DataFrame:
+    """a, b, same and similarity, a's rows taking b's; back and back_similarity, b's taking a's."""
     sizes = prints.groupBy("epg_id").agg(F.count("*").alias("n"))
     near = lambda df: df.select(*[c for c in df.columns if c != "bucket"], "bucket", F.explode(F.sequence(F.col("bucket") - tolerance, F.col("bucket") + tolerance)).alias("at")) if tolerance else df.withColumn("at", F.col("bucket"))
     if pairs is None:
@@ -66,21 +90,27 @@ def schedule_similarity(prints: DataFrame, tolerance: int = 1, pairs: DataFrame
         q = near(prints).select(F.col("epg_id").alias("b"), "title", F.col("bucket").alias("y"), "at")
         rows = p.alias("p").join(q.alias("q"), (F.col("p.b") == F.col("q.b")) & (F.col("p.title") == F.col("q.title")) & (F.col("p.x") == F.col("q.at"))).select("a", "p.b", "p.title", "x", "y").distinct()
     if tolerance == 0:
-        counts = rows.groupBy("a", "b").agg(F.count("*").alias("same"))
+        counts = rows.groupBy("a", "b").agg(F.count("*").alias("same")).withColumn("back", F.col("same"))
     else:
         by_title = rows.groupBy("a", "b", "title").agg(F.collect_set("x").alias("x"), F.collect_set("y").alias("y"))
-        counts = by_title.select("a", "b", _matched(F.col("x"), F.col("y"), tolerance).alias("n")).groupBy("a", "b").agg(F.sum("n").alias("same"))
+        counts = by_title.select("a", "b", _matched(F.col("x"), F.col("y"), tolerance).alias("n"), _matched(F.col("y"), F.col("x"), tolerance).alias("m")).groupBy("a", "b").agg(F.sum("n").alias("same"), F.sum("m").alias("back"))
     sized = counts.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-    return sized.select("a", "b", "same", (F.col("same") / F.greatest("na", "nb")).alias("similarity"))
+    share = lambda c: (F.col(c) / F.greatest("na", "nb")).alias({"same": "similarity", "back": "back_similarity"}[c])
+    return sized.select("a", "b", "same", share("same"), "back", share("back"))
 
 
 def equivalence_groups(prints: DataFrame, least_rows: int = 8, least_similarity: float = 0.92, tolerance: int = 1) -> DataFrame:
     """node, component of ids with at least least_rows rows whose schedules agree; chains of agreeing ids are one group."""
     enough = prints.groupBy("epg_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).select("epg_id")
     prints = prints.join(enough, "epg_id", "left_semi")
+    classes = written(same_schedules(prints), "classes")
+    prints = prints.join(classes.select(F.col("node").alias("epg_id")), "epg_id", "left_semi")
     pairs = candidate_pairs(prints, least_similarity) if least_similarity >= 0.5 else None  # below that nearly all titles are among an id's rarest
-    near = schedule_similarity(prints, tolerance, pairs).where(F.col("similarity") >= least_similarity)
-    return components(near.select("a", "b"), "a", "b")
+    last = classes.select(F.col("node").alias("a"), F.array_max("members").alias("last"))
+    # a's first member is before b's; b's rows take a's only in pairs whose member of b comes first
+    near = _similar(prints, tolerance, pairs).join(last, "a").where((F.col("similarity") >= least_similarity) | (F.col("last") > F.col("b")) & (F.col("back_similarity") >= least_similarity))
+    copies = classes.where(F.size("members") > 1).select("node", F.explode("members").alias("b")).where("node <> b")
+    return components(near.select("a", "b").union(copies), "a", "b")
 
 
 def group_labels(groups: DataFrame) -> DataFrame:
