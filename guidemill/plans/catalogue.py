@@ -240,7 +240,7 @@ def q28_fingerprint(spark, sf_dir):
 
 
 def q29_similarity(spark, sf_dir):
-    return equivalence.schedule_similarity(_prints(spark, sf_dir), 0).withColumn("similarity", F.round("similarity", 6))
+    return equivalence.schedule_similarity(_prints(spark, sf_dir), 0, places=6)
 
 
 def q30_components(spark, sf_dir):
@@ -375,7 +375,7 @@ RESOLVE_MARKETS = ["US", "CA", "UK", "FR"]
 
 
 def q48_similarity_tolerance(spark, sf_dir):
-    return equivalence.schedule_similarity(_prints(spark, sf_dir), 1).withColumn("similarity", F.round("similarity", 6))
+    return equivalence.schedule_similarity(_prints(spark, sf_dir), 1, places=6)
 
 
 QUERIES = {k: f for k, f in dict(globals()).items() if k[0] == "q" and k[1:3].isdigit()}
