@@ -341,15 +341,19 @@ def language_equivalence_match(channels: DataFrame, candidates: DataFrame, vocab
     words = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
     plain = F.array_join(F.filter(words("token_multiset"), lambda x: ~x.isin(every)), " ")
     ordered = F.transform(words("strict"), lambda w: F.coalesce(F.try_element_at(forms, w), w))
-    q = in_regions(channels).where(F.size("category_languages") > 0).select("stream_id", "region_pos", "region", *MARKS, "token_multiset", ordered.alias("ordered"), plain.alias("plain"), F.flatten(F.transform("category_languages", lambda x: F.coalesce(F.try_element_at(by_language, x), F.array().cast("array<string>")))).alias("gone"))
-    c = candidates.select("epg_id", "feed", "region", "family", "source_priority", *MARKS, "token_multiset", ordered.alias("ordered"), plain.alias("plain"))
+    c = in_classes(candidates, ["region", *MARKS, "token_multiset", "strict"]).withColumns({"ordered": ordered, "plain": plain})
     left = lambda side: F.array_join(F.filter(words(f"{side}.token_multiset"), lambda x: ~F.array_contains(F.col("q.gone"), x)), " ")
     inner = lambda side: F.slice(F.col(f"{side}.ordered"), 2, F.greatest(F.size(f"{side}.ordered") - 2, F.lit(0)))
     at_ends = lambda side: ~F.exists(inner(side), lambda x: F.array_contains(F.col("q.gone"), x))
-    met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.plain") == F.col("c.plain")) & (left("q") == left("c")) & (F.length(F.replace(left("q"), F.lit(" "))) >= 4) & at_ends("q") & at_ends("c") & compatible("q", "c"))
-    rows = unique_family(met.select("q.stream_id", "q.region_pos", "c.family", preference().alias("pref")), ["stream_id", "region_pos"])
-    first = Window.partitionBy("stream_id").orderBy("region_pos")
-    return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos").withColumns({"method": F.lit("category_language_equivalence"), "score": F.lit(97.5)})
+
+    def stage(channels):
+        q = in_regions(channels).select("stream_id", "region_pos", "region", *MARKS, "token_multiset", ordered.alias("ordered"), plain.alias("plain"), F.flatten(F.transform("category_languages", lambda x: F.coalesce(F.try_element_at(by_language, x), F.array().cast("array<string>")))).alias("gone"))
+        met = q.alias("q").join(c.alias("c"), (F.col("q.region") == F.col("c.region")) & (F.col("q.plain") == F.col("c.plain")) & (left("q") == left("c")) & (F.length(F.replace(left("q"), F.lit(" "))) >= 4) & at_ends("q") & at_ends("c") & compatible("q", "c"))
+        rows = unique_class(met.select("q.stream_id", "q.region_pos", *CLASS), ["stream_id", "region_pos"])
+        first = Window.partitionBy("stream_id").orderBy("region_pos")
+        return rows.withColumn("__k", F.row_number().over(first)).where("__k = 1").drop("__k", "region_pos").withColumns({"method": F.lit("category_language_equivalence"), "score": F.lit(97.5)})
+
+    return of_classes(channels.where(F.size("category_languages") > 0), ["regions", *MARKS, "token_multiset", "strict", "category_languages"], stage)
 
 
 def bank_signals(read: DataFrame, least: int = 3) -> DataFrame:
@@ -375,12 +379,19 @@ def learned_prefixes(read: DataFrame, least: int = 2, share: float = 0.35, enoug
 def read_channels(channels: DataFrame, vocabulary: Vocabulary | None = None) -> DataFrame:
     """with_channels() with the prefixes that each category's names teach; regions: the plan of a channel's name and category, unless the table has one; then ALL where neither says any.
 
-    Names are read twice: prefixes have to be counted before they can be taken off."""
+    Names are read twice: prefixes have to be counted before they can be taken off. Each name of a category is read once, however many channels have it."""
     if "category_id" not in channels.columns:
         channels = channels.withColumn("category_id", F.col("category_name"))
-    first = with_channels(channels.select("stream_id", "category_id", "channel_name", "category_name"), vocabulary=vocabulary)
+    said = lambda *some: F.struct(*[(F.col(x).cast("string") if x != "learned" else F.col(x)).alias(x) for x in some])
+
+    def read(rows: DataFrame, *some: str) -> DataFrame:
+        once = with_channels(rows.select(said(*some).alias("said")).distinct().select("said", "said.*"), learned="learned" if "learned" in some else None, vocabulary=vocabulary).drop(*some)
+        fresh = [x for x in once.columns if x != "said"]
+        return rows.drop(*fresh).withColumn("said", said(*some)).join(once, "said").drop("said")
+
+    first = read(channels.select("stream_id", "category_id", "channel_name", "category_name"), "channel_name", "category_name")
     taught = channels.join(learned_prefixes(first), "category_id", "left")
-    out = with_channels(taught, learned="learned", vocabulary=vocabulary).drop("learned")
+    out = read(taught, "channel_name", "category_name", "learned").drop("learned")
     plan = F.when(F.size("plan") > 0, F.col("plan")).otherwise(F.array(F.lit("ALL")))
     return out.withColumn("regions", F.coalesce("regions", plan) if "regions" in channels.columns else plan)
 
@@ -436,6 +447,7 @@ def resolve(channels: DataFrame, candidates: DataFrame, dummies: DataFrame, alia
     outside = outside.where(~F.array_contains("regions", "ALL"))
     blocked = outside.select("stream_id", F.lit("unsupported_catalog_scope").alias("method"), F.lit("UNMATCHED").alias("action"), F.concat(F.lit("no catalogue covers "), F.array_join("regions", "/")).alias("reason"))
     exact = [heading, safety, bank, slot, as_panel.join(outside, "stream_id", "left_semi"), blocked, ordered_lookup(q, aliases, c, read=True), rule_match(q, rules, c), exact_key_match(q, c, read=True)]
+    exact = [written(x, "attempts") for x in exact]
     decided = exact[0].select("stream_id")
     for x in exact[1:]:
         decided = decided.union(x.select("stream_id"))

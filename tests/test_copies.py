@@ -72,3 +72,14 @@ def test_pairs_of_copies_are_those_of_single_ids(spark, tolerance, monkeypatch):
     monkeypatch.setattr(equivalence, "_similar", lambda some, *a: seen.append(some.select("epg_id").distinct().count()) or plain(some, *a))
     assert sorted(map(tuple, equivalence.schedule_similarity(prints, tolerance).collect())) == sorted(wanted)
     assert seen == [7]
+
+
+def test_each_name_is_read_once(spark, monkeypatch):
+    """Names and categories that many channels have, nulls among them, go to the reader once; every channel is kept."""
+    seen, plain = [], resolve.with_channels
+    monkeypatch.setattr(resolve, "with_channels", lambda df, **options: seen.append(df.count()) or plain(df, **options))
+    names = F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 4 == 1, "US: Hot Gear HD").otherwise("Hot Gear")
+    q = spark.range(400).select(F.col("id").alias("stream_id"), names.alias("channel_name"), F.when(F.col("id") % 4 == 3, "US | things").alias("category_name"))
+    out = resolve.read_channels(q)
+    assert out.count() == 400 and out.where("strict = 'hot gear'").count() == 300
+    assert seen == [4, 4]
