@@ -38,10 +38,10 @@ def _power(n: int) -> np.ndarray:
     return _powers
 
 
-def utf8_slices(column, budget: int = 1 << 20):
+def utf8_slices(column, budget: int = 1 << 18):
     """(first row, bytes, offsets of rows) for runs of rows of an Arrow string column, each of about `budget` bytes or one row.
 
-    Null counts as empty."""
+    Null counts as empty. The word kernel takes some 60 bytes for each byte of a slice, which a worker then keeps."""
     import pyarrow as pa
 
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column

@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import SparkSession
 
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20  # of a batch, or one row; Spark itself counts rows, so long texts come by tens of MB, several times in the JVM and in Python
 _shipped: set[str] = set()
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow functions get their rows in batches of some MB, unless the session says otherwise. Every row still comes, in the same order."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
+
+
 def ship(spark: SparkSession) -> None:
     """Send the package to the executors, once for each application."""
     sc = spark.sparkContext
@@ -35,11 +43,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shipped(f: Callable) -> Callable:
-    """f, whose first argument is the session, with the package sent before."""
+    """f, whose first argument is the session, with the package sent and batches bounded before."""
 
     @functools.wraps(f)
     def run(spark: SparkSession, *args):
         ship(spark)
+        bound_batches(spark)
         return f(spark, *args)
 
     return run
