@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from guidemill.functions.text import is_informative, normal_title
 from guidemill.functions.time import bucket
+from guidemill.operators import blocks
 from guidemill.operators.components import components
 from guidemill.sources.tables import written
 
@@ -101,14 +102,17 @@ def _similar(prints: DataFrame, tolerance: int, pairs: DataFrame | None = None)
 
 def equivalence_groups(prints: DataFrame, least_rows: int = 8, least_similarity: float = 0.92, tolerance: int = 1) -> DataFrame:
     """node, component of ids with at least least_rows rows whose schedules agree; chains of agreeing ids are one group."""
+    prints = written(prints, "prints")
     enough = prints.groupBy("epg_id").agg(F.count("*").alias("n")).where(F.col("n") >= least_rows).select("epg_id")
     prints = prints.join(enough, "epg_id", "left_semi")
     classes = written(same_schedules(prints), "classes")
     prints = prints.join(classes.select(F.col("node").alias("epg_id")), "epg_id", "left_semi")
-    pairs = candidate_pairs(prints, least_similarity) if least_similarity >= 0.5 else None  # below that nearly all titles are among an id's rarest
-    last = classes.select(F.col("node").alias("a"), F.array_max("members").alias("last"))
-    # a's first member is before b's; b's rows take a's only in pairs whose member of b comes first
-    near = _similar(prints, tolerance, pairs).join(last, "a").where((F.col("similarity") >= least_similarity) | (F.col("last") > F.col("b")) & (F.col("back_similarity") >= least_similarity))
+    if least_similarity < 0.5:  # nearly all titles are among an id's rarest
+        near = blocks.links(prints, tolerance, classes, least_similarity)
+    else:
+        last = classes.select(F.col("node").alias("a"), F.array_max("members").alias("last"))
+        # a's first member is before b's; b's rows take a's only in pairs whose member of b comes first
+        near = _similar(prints, tolerance, candidate_pairs(prints, least_similarity)).join(last, "a").where((F.col("similarity") >= least_similarity) | (F.col("last") > F.col("b")) & (F.col("back_similarity") >= least_similarity))
     copies = classes.where(F.size("members") > 1).select("node", F.explode("members").alias("b")).where("node <> b")
     return components(near.select("a", "b").union(copies), "a", "b")
 
