@@ -64,32 +64,23 @@ def schedule_similarity(prints: DataFrame, tolerance: int = 1, pairs: DataFrame
     """a, b (a < b), similarity of ids that share a title within the tolerance: matched rows, title by title, over the larger number of rows; rounded to `places`, if given.
 
     Ids meet by title and bucket only, or, if they are given, are the pairs (a, b); each title's rows of two ids are matched one to one, a's in order of time with the nearest
-    of b's that is left. Ids with equal fingerprints are compared with others once; their pairs are written out at the end, without another shuffle."""
-    fine = lambda c: F.round(c, places) if places is not None else F.col(c)
+    of b's that is left. Ids with equal fingerprints are compared with others once; no pair is shuffled."""
     if pairs is not None:
-        return _similar(prints, tolerance, pairs).select("a", "b", "same", fine("similarity").alias("similarity"))
+        return _similar(prints, tolerance, pairs).select("a", "b", "same", (F.round("similarity", places) if places is not None else F.col("similarity")).alias("similarity"))
+    prints = written(prints, "prints")
     classes = written(same_schedules(prints), "classes")
-    met = _similar(prints.join(classes.select(F.col("node").alias("epg_id")), "epg_id", "left_semi"), tolerance)
-    met = met.select("a", "b", F.struct("same", fine("similarity").alias("similarity")).alias("there"), F.struct(F.col("back").alias("same"), fine("back_similarity").alias("similarity")).alias("back"))
-    met = met.join(classes.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a").join(classes.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b")
-    each = met.select(F.explode("ma").alias("x"), "mb", "there", "back").select("x", F.explode("mb").alias("y"), "there", "back")
-    other = each.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(F.col("x") < F.col("y"), F.col("there")).otherwise(F.col("back")).alias("s")).select("a", "b", "s.same", "s.similarity")
-    copies = classes.where(F.size("members") > 1).select(F.posexplode("members").alias("k", "a"), "members", "n").select("a", F.explode(F.slice(F.col("members"), F.col("k") + 2, F.size("members"))).alias("b"), "n")
-    return other.union(copies.select("a", "b", F.col("n").alias("same"), F.lit(1.0).alias("similarity")))
+    return _similar(prints.join(classes.select(F.col("node").alias("epg_id")), "epg_id", "left_semi"), tolerance, None, classes, places)
 
 
-def _similar(prints: DataFrame, tolerance: int, pairs: DataFrame | None = None) -> DataFrame:
-    """a, b, same and similarity, a's rows taking b's; back and back_similarity, b's taking a's."""
+def _similar(prints: DataFrame, tolerance: int, pairs: DataFrame | None = None, classes: DataFrame | None = None, places: int | None = None) -> DataFrame:
+    """a, b, same and similarity, a's rows taking b's, of all ids, or members of classes, that share a title; of pairs also back and back_similarity, b's taking a's."""
+    if pairs is None:
+        return blocks.pairs(prints, tolerance, classes, places)
     sizes = prints.groupBy("epg_id").agg(F.count("*").alias("n"))
     near = lambda df: df.select(*[c for c in df.columns if c != "bucket"], "bucket", F.explode(F.sequence(F.col("bucket") - tolerance, F.col("bucket") + tolerance)).alias("at")) if tolerance else df.withColumn("at", F.col("bucket"))
-    if pairs is None:
-        p, q = prints.alias("p"), near(prints).alias("q")
-        met = p.join(q, (F.col("p.title") == F.col("q.title")) & (F.col("p.bucket") == F.col("q.at")) & (F.col("p.epg_id") < F.col("q.epg_id")))
-        rows = met.select(F.col("p.epg_id").alias("a"), F.col("q.epg_id").alias("b"), F.col("p.title").alias("title"), F.col("p.bucket").alias("x"), F.col("q.bucket").alias("y")).distinct()
-    else:
-        p = pairs.join(prints.toDF(*["a" if c == "epg_id" else c for c in prints.columns]), "a").select("a", "b", "title", F.col("bucket").alias("x"))
-        q = near(prints).select(F.col("epg_id").alias("b"), "title", F.col("bucket").alias("y"), "at")
-        rows = p.alias("p").join(q.alias("q"), (F.col("p.b") == F.col("q.b")) & (F.col("p.title") == F.col("q.title")) & (F.col("p.x") == F.col("q.at"))).select("a", "p.b", "p.title", "x", "y").distinct()
+    p = pairs.join(prints.toDF(*["a" if c == "epg_id" else c for c in prints.columns]), "a").select("a", "b", "title", F.col("bucket").alias("x"))
+    q = near(prints).select(F.col("epg_id").alias("b"), "title", F.col("bucket").alias("y"), "at")
+    rows = p.alias("p").join(q.alias("q"), (F.col("p.b") == F.col("q.b")) & (F.col("p.title") == F.col("q.title")) & (F.col("p.x") == F.col("q.at"))).select("a", "p.b", "p.title", "x", "y").distinct()
     if tolerance == 0:
         counts = rows.groupBy("a", "b").agg(F.count("*").alias("same")).withColumn("back", F.col("same"))
     else:

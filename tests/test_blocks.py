@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from guidemill.operators import blocks, equivalence
 
@@ -34,6 +35,30 @@ def frame(spark, said):
     return spark.createDataFrame([(k, x, t) for k, some in said.items() for t, x in some], "epg_id string, bucket long, title string")
 
 
+@pytest.mark.parametrize("tolerance,block,piece", [(0, 5, 2), (1, 5, 2), (2, 8192, 256), (3, 5, 1)])
+def test_blocks_give_what_each_pair_gives(spark, monkeypatch, tolerance, block, piece):
+    monkeypatch.setattr(blocks, "BLOCK", block)
+    monkeypatch.setattr(blocks, "PIECE", piece)
+    said = schedules(40, tolerance)
+    got = equivalence.schedule_similarity(frame(spark, said), tolerance).collect()
+    assert len(got) == len({(r.a, r.b) for r in got})
+    assert {(r.a, r.b): (r.same, r.similarity) for r in got} == every(said, tolerance)
+
+
+def test_shares_are_rounded_as_spark_rounds(spark):
+    said = {"a": {("x", 2 * k) for k in range(128)}, **{f"b{n}": {("x", 2 * k) for k in range(n)} for n in range(1, 128)}}
+    got = equivalence.schedule_similarity(frame(spark, said), 0, places=6)
+    plain = equivalence.schedule_similarity(frame(spark, said), 0).withColumn("similarity", F.round("similarity", 6))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+    assert got.where("b = 'b1'").first().similarity == 0.007813
+
+
+@pytest.mark.parametrize("tolerance", [0, 1])
+def test_pairs_are_not_shuffled(spark, tolerance):
+    plan = equivalence.schedule_similarity(frame(spark, schedules(40, 1)), tolerance)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan and plan.count("Exchange") == 1
+
+
 @pytest.mark.parametrize("block,piece,least", [(5, 2, 0.3), (8192, 256, 0.12), (7, 1, 0.45)])
 def test_links_hold_together_what_all_pairs_do(spark, monkeypatch, block, piece, least):
     """Groups below 0.5 are those of all pairs, from no more links than there are ids in the blocks that met."""
