@@ -168,6 +168,12 @@ def _meetings(rows: pa.Table, sides: list[_Side]) -> list[tuple[_Side, _Side]]:
     return [(sides[0], sides[1]), (sides[1], sides[0])] if len(sides) == 2 else []
 
 
+def _alike(same: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """An order in which equal counts are neighbours. There are few of them, so columnar files keep them, and their shares, as runs that hardly take room."""
+    code = same * (int(most.max()) + 1) + most
+    return np.argsort(code.astype(np.uint16) if code.max() < 1 << 16 else code, kind="stable")  # 16 bits are sorted by their digits
+
+
 def _pairs(tolerance: int, places: int | None) -> Callable:
     def run(batches):
         for rows in _groups(batches):
@@ -176,6 +182,8 @@ def _pairs(tolerance: int, places: int | None) -> Callable:
                 held, size = [], 0
                 for e, met, same in _walked(walkers, targets, tolerance):
                     most = np.maximum(walkers.n[e], targets.n[met])
+                    order = _alike(same, most)
+                    met, same, most = met[order], same[order], most[order]
                     if targets.single:
                         those = targets.starts[met]
                     else:

@@ -59,6 +59,15 @@ def test_pairs_are_not_shuffled(spark, tolerance):
     assert "Join" not in plan and "Aggregate" not in plan and plan.count("Exchange") == 1
 
 
+@pytest.mark.parametrize("tolerance", [0, 1])
+def test_equal_counts_are_neighbours(spark, tolerance):
+    """Of one id's pairs, those with the same count and share come in one run, so that a file of all pairs is small."""
+    said = schedules(300, 5) | {f"w{k}": {("x", k), ("y", k + 1), ("z", 2 * k)} for k in range(100)}
+    rows = [(r.a, r.same, r.similarity) for r in equivalence.schedule_similarity(frame(spark, {k: v for k, v in said.items() if k[0] == "w" or len(v) > 3}), tolerance).collect()]
+    runs = sum(x != y for x, y in zip(rows, rows[1:])) + 1
+    assert runs == len(set(rows)) < len(rows) / 2
+
+
 @pytest.mark.parametrize("block,piece,least", [(5, 2, 0.3), (8192, 256, 0.12), (7, 1, 0.45)])
 def test_links_hold_together_what_all_pairs_do(spark, monkeypatch, block, piece, least):
     """Groups below 0.5 are those of all pairs, from no more links than there are ids in the blocks that met."""
