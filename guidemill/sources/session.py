@@ -6,6 +6,7 @@ import functools
 import io
 import os
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
 
@@ -14,7 +15,9 @@ from pyspark.sql import SparkSession
 PACKAGE = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 BATCH_BYTES = 4 << 20  # of a batch, or one row; Spark itself counts rows, so long texts come by tens of MB, several times in the JVM and in Python
+TRIM_SECONDS = 5  # between two calls that give memory back
 _shipped: set[str] = set()
+_trimmed = float("-inf")
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -42,6 +45,33 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def give_back(spark: SparkSession) -> str | None:
+    """Memory outside the heap that the driver's JVM has freed goes back to the system; what the JVM says to it, or None where it can't.
+
+    Hundreds of threads (compilers, compressors, senders of blocks) allocate it in dozens of arenas, and the C library keeps what they free:
+    over a long chain of jobs that adds up to hundreds of MB."""
+    jvm = spark._jvm
+    try:
+        named = jvm.java.lang.Class.forName
+        kinds = spark.sparkContext._gateway.new_array(jvm.java.lang.Class, 4)
+        for k, name in enumerate(["javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"]):
+            kinds[k] = named(name)
+        args = spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 4)
+        args[0], args[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        # by reflection, because the server's own class isn't open to Py4J
+        return named("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), args)
+    except Exception:  # another JVM or system: nothing depends on it
+        return None
+
+
+def give_back_now_and_then(spark: SparkSession) -> None:
+    """give_back(), TRIM_SECONDS after the last time at the earliest: it takes some ms and forces pages to be touched again."""
+    global _trimmed
+    if time.monotonic() - _trimmed >= TRIM_SECONDS:
+        give_back(spark)
+        _trimmed = time.monotonic()
+
+
 def shipped(f: Callable) -> Callable:
     """f, whose first argument is the session, with the package sent and batches bounded before."""
 

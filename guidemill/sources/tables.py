@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from guidemill.sources.session import give_back_now_and_then
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir. Only a local session without one gets a folder of its own."""
@@ -29,6 +31,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     out.written_path = path
     system, where = _file_system(spark, path)
     system.deleteOnExit(where)  # what isn't removed before goes with the application
+    give_back_now_and_then(spark)
     return out
 
 
